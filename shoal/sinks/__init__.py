@@ -20,11 +20,19 @@ SINGLE_FILE_MAX_ROWS = 5_000_000
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
     """CSV with header and no index; values holding the separator are quoted."""
-    df.write.mode(mode).option("header", header).option("sep", sep).option("escape", '"').csv(path)
+    (df.write.mode(mode).options(**TS_OPTIONS).option("header", header).option("sep", sep)
+     .option("escape", '"').csv(path))
+
+
+# Timestamp text formats with full microsecond precision (the JSON
+# and CSV defaults keep only milliseconds and would lose data on a round trip).
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+TS_OPTIONS = {"timestampNTZFormat": TS_NTZ_FORMAT, "timestampFormat": TS_FORMAT}
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+    df.write.mode(mode).options(**TS_OPTIONS).json(path)
 
 
 def flatten_nested_as_json(df: DataFrame) -> DataFrame:
@@ -124,7 +132,7 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], n_files: int
                     mode: str = "overwrite") -> None:
     """Clustered layout: range-partition and sort on the key, so each file holds
     a narrow key range and row-group min/max statistics prune well."""
-    n = n_files or df.rdd.getNumPartitions()
+    n = n_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
      .write.mode(mode).parquet(path))
 

@@ -72,7 +72,9 @@ def read_csv_with_rejects(spark: SparkSession, path: str | list[str], schema: T.
     tagged = raw.withColumn("_bad", F.col(CORRUPT).isNotNull())
     rejected = tagged.where("_bad").drop("_bad")
     good = tagged.where(~F.col("_bad")).drop("_bad", CORRUPT)
-    n_bad = rejected.agg(F.count(F.lit(1))).first()[0]
+    # count over the corrupt column *and* a data column: Spark refuses a scan of
+    # raw CSV that needs the corrupt-record column alone
+    n_bad = tagged.agg(F.count_if("_bad").alias("bad"), F.count(schema.fields[0].name)).first()["bad"]
     if n_bad > max_rejects:
         raise ValueError(f"{n_bad} rejected rows exceed the threshold of {max_rejects}")
     return good, rejected
