@@ -19,3 +19,60 @@ def file_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}_null_count"),
                  F.min(c).alias(f"{c}_lower"), F.max(c).alias(f"{c}_upper")]
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*aggs)
+
+
+def expire_snapshots(table, older_than=None, retain_last: int = 1, execute: bool = False) -> DataFrame:
+    """Plan (and on request carry out) the expiry of old snapshots.
+
+    Kept: the newest ``retain_last`` ancestors of the current snapshot, and
+    every snapshot committed at or after ``older_than``. Everything else goes —
+    staged snapshots that were never published included, since they are no
+    ancestors. With ``execute`` the expiry is committed and the data
+    directories that no kept snapshot lists are deleted.
+    Returns ``snapshot_id, committed_at, operation`` of the expired snapshots.
+    """
+    import datetime as dt
+
+    snaps = table.snapshots_meta()
+    keep = set(table.current_ancestors()[:max(1, retain_last)])
+    if older_than is not None:
+        keep |= {s["snapshot_id"] for s in snaps if dt.datetime.fromisoformat(s["committed_at"]) >= older_than}
+    gone = [s for s in snaps if s["snapshot_id"] not in keep]
+    if execute and gone:
+        kept_dirs = {d["dir"] for s in snaps if s["snapshot_id"] in keep for d in s["dirs"]}
+        dead_dirs = {d["dir"] for s in gone for d in s["dirs"]} - kept_dirs
+        expired = sorted(set(table.state().get("expired", [])) | {s["snapshot_id"] for s in gone})
+        table._commit_state("expire-snapshots", expired=expired)
+        for d in dead_dirs:
+            table.fs.delete(f"{table.data}/_dir={d}")
+    rows = [(s["snapshot_id"], dt.datetime.fromisoformat(s["committed_at"]), s["operation"]) for s in gone]
+    return table.spark.createDataFrame(rows, "snapshot_id bigint, committed_at timestamp_ntz, operation string")
+
+
+def orphan_files(table, older_than_ms: int | None = None) -> DataFrame:
+    """Data files under the table that no live snapshot references (dry run).
+
+    The listing is a distributed ``binaryFile`` scan that reads paths, sizes and
+    times only; referenced directories (metadata, one row per directory) are
+    removed with a ``left_anti`` join. ``older_than_ms`` guards files that a
+    running writer may still be committing.
+    """
+    spark = table.spark
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table.data)
+             .select("path", "length", "modificationTime"))
+    files = files.withColumn("dir", F.regexp_extract("path", r"/_dir=([^/]+)/", 1))
+    live = sorted({d["dir"] for s in table.snapshots_meta() for d in s["dirs"]})
+    live_df = spark.createDataFrame([(d,) for d in live], "dir string")
+    orphans = files.join(F.broadcast(live_df) if len(live) <= 100_000 else live_df, "dir", "left_anti")
+    if older_than_ms is not None:
+        orphans = orphans.where(F.col("modificationTime") < F.timestamp_millis(F.lit(older_than_ms)))
+    return orphans.select("path", "length", "modificationTime")
+
+
+def remove_orphans(table, orphans: DataFrame) -> int:
+    """Delete the listed orphan files (streamed to the driver, never collected whole)."""
+    n = 0
+    for r in orphans.select("path").toLocalIterator():
+        table.fs.delete(r["path"], recursive=False)
+        n += 1
+    return n
