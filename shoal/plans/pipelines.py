@@ -1,0 +1,125 @@
+"""Registered queries: the two end-to-end pipelines."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from shoal import functions as X
+from shoal import sinks as W
+from shoal import sources as S
+from shoal.operators.loads import idempotent_append
+from shoal.plans.base import load, query
+from shoal.session import scratch_path
+
+# ---------------------------------------------------------------- 3.1 daily rates
+
+
+def land_rates(spark, sf, path: str) -> None:
+    """Rates documents as JSON Lines, one per event: base = event type, a rate
+    map and the text date of the update (derived from events)."""
+    ev = load(spark, sf, "events")
+    rates = F.map_concat(F.from_json("props", "map<string,double>"),
+                         F.create_map(F.lit("USD"), F.col("value")))
+    doc = ev.select(F.col("event_type").alias("base"), F.date_format("ts", "yyyy-MM-dd").alias("last_update"),
+                    rates.alias("rates"), F.col("ts").alias("fetched_at"), F.col("event_id").alias("seq"))
+    W.write_json(doc, path)
+
+
+RATES_SCHEMA = "base string, last_update string, rates map<string,double>, fetched_at timestamp_ntz, seq bigint"
+
+
+@query("rates_pipeline", """
+SELECT event_type AS base, CAST(ts AS DATE) AS last_update, CAST(value AS DOUBLE) AS usd,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, CAST(0 AS DOUBLE) AS cad
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1
+""")
+def rates_pipeline(spark, sf):
+    """Land → read with a schema → map lookups (case as stored, missing → NULL)
+    → text date to DATE → dedup per (base, day) keeping the latest fetch → fill
+    0 → append by name, twice: the re-run adds nothing."""
+    landing = scratch_path(spark, "rates_landing")
+    land_rates(spark, sf, landing)
+    table = f"rates_{uuid.uuid4().hex[:10]}"
+    # target column order differs from the batch: the insert must go by name
+    spark.sql(f"CREATE TABLE {table} (base STRING, last_update DATE, cad DOUBLE, k DOUBLE, usd DOUBLE) "
+              f"USING parquet LOCATION '{scratch_path(spark, table)}'")
+    for _run in range(2):
+        raw = S.read_json_lines(spark, landing, RATES_SCHEMA)
+        batch = raw.select("base", F.to_date("last_update", "yyyy-MM-dd").alias("last_update"),
+                           F.try_element_at("rates", F.lit("USD")).alias("usd"),
+                           F.try_element_at("rates", F.lit("k")).alias("k"),
+                           F.try_element_at("rates", F.lit("CAD")).alias("cad"),
+                           "fetched_at", "seq")
+        idempotent_append(spark, batch, table, ["base", "last_update"], ["fetched_at", "seq"],
+                          fill=["usd", "k", "cad"])
+    return spark.table(table)
+
+
+# ---------------------------------------------------------------- 3.3 weather ELT
+
+
+def land_forecasts(spark, sf, path: str) -> None:
+    """A text landing CSV whose ``list`` column holds a Python-style (single
+    quoted) array of forecast entries, one document per event; error events
+    carry a ``None`` that strict JSON cannot parse."""
+    ev = load(spark, sf, "events")
+    entry = F.struct(
+        F.col("event_id").alias("id"),
+        X.epoch_seconds("ts").alias("dt"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("dt_txt"),
+        F.struct(F.col("value").alias("temp"),
+                 F.get_json_object("props", "$.k").cast("int").alias("humidity")).alias("main"),
+        F.lit(0.5).alias("pop"),
+        F.when(F.col("event_type") == "purchase",
+               F.struct((F.col("value") / 100).alias("3h"))).alias("rain"),
+        F.array(F.struct(F.col("event_type").alias("main"))).alias("weather"))
+    text = F.replace(F.to_json(F.array(entry)), F.lit('"'), F.lit("'"))
+    text = F.when(F.col("event_type") == "error", F.replace(text, F.lit("'pop':0.5"), F.lit("'pop':None"))) \
+        .otherwise(text)
+    landed = ev.select(F.lit("200").alias("cod"), F.col("user_id").cast("string").alias("city"), text.alias("list"))
+    W.write_csv(landed, path)
+
+
+FORECAST_ENTRY = ("id bigint, dt bigint, dt_txt string, main struct<temp: double, humidity: int>, pop double, "
+                  "rain struct<`3h`: double>, weather array<struct<main: string>>")
+
+
+def weather_elt(spark, landing: str):
+    """Returns ``(typed rows, quarantined landing rows)``."""
+    raw = S.read_csv_landing(spark, landing, ["cod", "city", "list"])
+    rows, quarantine = X.json_shred(raw, "list", FORECAST_ENTRY, {
+        "id": "id", "dt": "dt", "dt_txt": F.to_timestamp_ntz(F.col("e.dt_txt")),
+        "temp": "main.temp", "humidity": "main.humidity", "precip_prob": "pop",
+        "rain": F.col("e.rain").getField("3h"), "main": F.col("e.weather")[0]["main"]})
+    return rows, quarantine
+
+
+@query("weather_pipeline", """
+SELECT event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) AS dt, date_trunc('second', ts) AS dt_txt, value AS temp,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS humidity, CAST(0.5 AS DOUBLE) AS precip_prob,
+       CASE WHEN event_type = 'purchase' THEN value / 100 END AS rain, event_type AS main,
+       true AS dt_consistent
+FROM events WHERE event_type <> 'error'
+""")
+def weather_pipeline(spark, sf):
+    landing = scratch_path(spark, "weather_landing")
+    land_forecasts(spark, sf, landing)
+    rows, _quarantine = weather_elt(spark, landing)
+    table = f"weather_{uuid.uuid4().hex[:10]}"
+    # typed target in another column order than the shredded rows: insert by name
+    spark.sql(f"CREATE TABLE {table} (humidity INT, temp DOUBLE, rain DOUBLE, precip_prob DOUBLE, main STRING, "
+              f"id BIGINT, dt BIGINT, dt_txt TIMESTAMP_NTZ) USING parquet LOCATION '{scratch_path(spark, table)}'")
+    W.insert_by_name(spark, rows, table)
+    out = spark.table(table)
+    return out.withColumn("dt_consistent", X.from_epoch("dt") == F.col("dt_txt"))
+
+
+@query("weather_quarantine", "SELECT CAST(user_id AS VARCHAR) AS city FROM events WHERE event_type = 'error'")
+def weather_quarantine(spark, sf):
+    landing = scratch_path(spark, "weather_landing")
+    land_forecasts(spark, sf, landing)
+    _rows, quarantine = weather_elt(spark, landing)
+    return quarantine.select("city")
