@@ -46,7 +46,10 @@ def _select_ranks(x: DataFrame, lo, hi, n: int, offset: int, ranks: list[int],
         return {r: stats["mn"] for r in ranks}
     from pyspark.ml.feature import Bucketizer  # JVM-side binary search over the splits
 
-    splits = sorted({s for s in stats["s"] if stats["mn"] < s <= stats["mx"]})
+    mn, mx = stats["mn"], stats["mx"]
+    splits = sorted({s for s in stats["s"] if mn < s <= mx})
+    if not splits:  # heavy ties at the minimum: split off the maximum and halve the range
+        splits = sorted({s for s in (mn + (mx - mn) / 2, mx) if mn < s <= mx})
     edges = [-math.inf] + splits + [math.inf]
     bucketed = Bucketizer(splits=edges, inputCol="x", outputCol="b").transform(frame)
     counts = sorted((int(r["b"]), r["n"], r["mn"], r["mx"]) for r in

@@ -116,17 +116,16 @@ def with_time_partitions(df: DataFrame, ts: str, grain: str = "day") -> DataFram
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite",
-                      fmt: str = "parquet", max_records_per_file: int | None = None,
-                      salt_tasks: int = 16) -> None:
+                      fmt: str = "parquet", max_records_per_file: int | None = None) -> None:
     """Directory-partitioned layout.
 
-    Rows are first shuffled on the partition columns plus a bounded salt, so
-    each directory is written by at most ``salt_tasks`` tasks (no task ×
-    partition explosion of small files) and a hot value still spreads over
-    that many tasks.
+    ``REBALANCE`` on the partition columns lets AQE size the write tasks: rows
+    of one partition value go to the same task (few files per directory),
+    small partitions are coalesced, and a hot value is split into
+    advisory-size pieces instead of landing in one task.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salt_tasks))
-    w = df.repartition(*[F.col(c) for c in by], salt).write.mode(mode).format(fmt).partitionBy(*by)
+    out = df.hint("rebalance", *by)
+    w = out.write.mode(mode).format(fmt).partitionBy(*by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(path)
