@@ -123,3 +123,41 @@ def weather_quarantine(spark, sf):
     land_forecasts(spark, sf, landing)
     _rows, quarantine = weather_elt(spark, landing)
     return quarantine.select("city")
+
+
+@query("rates_incremental", """
+SELECT event_type AS base, CAST(ts AS DATE) AS last_update, CAST(value AS DOUBLE) AS usd,
+       CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, CAST(0 AS DOUBLE) AS cad
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1
+""")
+def rates_incremental(spark, sf):
+    """The daily load as a trigger-once file stream: two landings (first and second
+    half of the month) arrive between runs; a third run finds nothing new."""
+    from shoal.streaming import incremental_load
+
+    ev = load(spark, sf, "events")
+    root = scratch_path(spark, "rates_stream")
+    landing, ckpt = f"{root}/landing", f"{root}/_checkpoint"
+    table = f"rates_s_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE TABLE {table} (base STRING, last_update DATE, cad DOUBLE, k DOUBLE, usd DOUBLE) "
+              f"USING parquet LOCATION '{root}/table'")
+
+    def lookups(raw):
+        return raw.select("base", F.to_date("last_update", "yyyy-MM-dd").alias("last_update"),
+                          F.try_element_at("rates", F.lit("USD")).alias("usd"),
+                          F.try_element_at("rates", F.lit("k")).alias("k"),
+                          F.try_element_at("rates", F.lit("CAD")).alias("cad"), "fetched_at", "seq")
+
+    mid = F.lit("2024-01-16").cast("timestamp_ntz")
+    rates = F.map_concat(F.from_json("props", "map<string,double>"), F.create_map(F.lit("USD"), F.col("value")))
+    for part in (ev.where(F.col("ts") < mid), ev.where(F.col("ts") >= mid), None):
+        if part is not None:
+            doc = part.select(F.col("event_type").alias("base"),
+                              F.date_format("ts", "yyyy-MM-dd").alias("last_update"), rates.alias("rates"),
+                              F.col("ts").alias("fetched_at"), F.col("event_id").alias("seq"))
+            W.write_json(doc, f"{landing}/{uuid.uuid4().hex[:8]}", mode="errorifexists")
+        incremental_load(spark, landing, RATES_SCHEMA, "json", table, ["base", "last_update"],
+                         ["fetched_at", "seq"], ckpt, transform=lookups, fill=["usd", "k", "cad"],
+                         options={"recursiveFileLookup": "true"})
+    return spark.table(table)

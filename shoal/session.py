@@ -49,8 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from the session (``spark.checkpoint.dir`` or an already set
-    checkpoint directory). Only when neither is set — local runs, tests — a
-    private folder is created and registered.
+    checkpoint directory). Only when neither is set *and* the master is local
+    (local runs, tests) is a private folder created and registered; on a
+    cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to other executors and lost with them
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, object store)")
         conf_dir = tempfile.mkdtemp(prefix="shoal-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
