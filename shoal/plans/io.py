@@ -127,7 +127,7 @@ def parquet_read(spark, sf):
 
 
 @query("text_lines", r"""
-SELECT count(*) AS n_lines, sum(length(line)) AS n_chars
+SELECT count(*) AS n_lines, CAST(sum(length(line)) AS BIGINT) AS n_chars
 FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
 """)
 def text_lines(spark, sf):

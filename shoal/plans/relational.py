@@ -212,7 +212,7 @@ def normalize_3nf(spark, sf):
 
 
 @query("normalize_roundtrip", """
-SELECT count(*) AS n_source, count(*) AS n_rebuilt, 0 AS n_diff
+SELECT count(*) AS n_source, count(*) AS n_rebuilt, CAST(0 AS BIGINT) AS n_diff
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 """)
 def normalize_roundtrip(spark, sf):
