@@ -251,3 +251,11 @@ def array_column(spark, sf):
     tags = F.array("o_orderstatus", "o_orderpriority")
     return od.select("o_orderkey", F.array_join(tags, "|").alias("tags_text"), F.size(tags).alias("n_tags"),
                      F.lit("2024-01-01").cast("date").alias("as_of"))
+
+
+@query("filter_is_null", _LEFT_TOTALS + """
+SELECT c_custkey FROM customer LEFT JOIN p ON c_custkey = o_custkey WHERE pending_total IS NULL
+""")
+def filter_is_null(spark, sf):
+    t = _left_joined_totals(spark, sf)
+    return t.where(F.col("pending_total").isNull()).select("c_custkey")

@@ -282,3 +282,28 @@ def clustered_write(spark, sf):
     W.write_clustered(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path,
                       ["o_custkey"])
     return spark.read.parquet(path)
+
+
+@query("single_file_csv", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1")
+def single_file_csv(spark, sf):
+    """A small aggregated result written as one CSV file (guarded by a row bound)."""
+    path = scratch_path(spark, "single_csv")
+    counts = load(spark, sf, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    W.write_single_csv(counts, path, max_rows=10_000)
+    files = [f for f in spark.read.text(path).inputFiles()]
+    if len(files) != 1:
+        raise AssertionError(f"expected one file, got {len(files)}")
+    return S.read_csv_typed(spark, path, {"c_mktsegment": "string", "n": "bigint"})
+
+
+@query("table_by_identifier", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
+def table_by_identifier(spark, sf):
+    """Load a table by identifier and the same data by format + path."""
+    name = _table_name("orders_id")
+    path = scratch_path(spark, name)
+    W.save_table(load(spark, sf, "orders").select("o_orderkey", "o_orderpriority"), name, path=path)
+    by_name = S.read_table(spark, name)
+    by_path = S.read_table(spark, fmt="parquet", path=path)
+    if by_name.count() != by_path.count():
+        raise AssertionError("identifier and path disagree")
+    return by_name.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))

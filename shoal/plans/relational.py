@@ -329,3 +329,9 @@ FROM iv WHERE start_date <= DATE '1998-06-30' AND DATE '1998-06-30' < end_date G
 def status_as_of(spark, sf):
     return IV.status_as_of(status_intervals(spark, sf), "id", "start_date", "end_date", "status",
                            "1998-06-30", "seq")
+
+
+@query("dedup_exact", "SELECT DISTINCT user_id, event_type FROM events")
+def dedup_exact(spark, sf):
+    """``dropDuplicates`` on a key when all kept columns agree."""
+    return R.dedup_exact(load(spark, sf, "events").select("user_id", "event_type"), ["user_id", "event_type"])
