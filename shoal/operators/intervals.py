@@ -5,7 +5,7 @@ intervals — a prefix aggregate. A per-key window would sort a hot key (say a
 third of all rows) inside one task; :func:`prefix_aggregate` instead
 range-partitions on (key, order) so a hot key is spread over many tasks, takes
 the prefix inside each piece, and adds the carry from earlier pieces through a
-small per-(key, piece) summary.
+summary with one row per partition.
 """
 
 from __future__ import annotations
@@ -24,12 +24,20 @@ _AGG = {"max": F.max, "sum": F.sum, "min": F.min}
 def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column,
                      how: str = "max", out: str = "prefix", inclusive: bool = False,
                      partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = ``how``(value) over the rows before this one (or up to it) within ``keys``."""
+    """Add ``out`` = ``how``(value) over the rows before this one (or up to it) within ``keys``.
+
+    Rows are range-partitioned on (keys, order), so a key is split only where a
+    partition boundary falls inside it, and only the *first* key of a partition
+    can continue from earlier partitions. The carry into each partition is
+    therefore computed from a table with one row per partition (bounded by the
+    partition count, broadcast), never from a join over all rows.
+    """
     checkpoint_root(df.sparkSession)
     agg = _AGG[how]
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     val = F.col(value) if isinstance(value, str) else value
     ordered = [*[F.col(k) for k in keys], *[F.col(o) for o in order]]
+    key = F.struct(*[F.col(k) for k in keys])
     pos = (df.withColumn("_val", val)
            .repartitionByRange(n_parts, *ordered).sortWithinPartitions(*ordered)
            .withColumn("_mid", F.monotonically_increasing_id())
@@ -38,10 +46,23 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
     upper = 0 if inclusive else -1
     w_local = Window.partitionBy(*keys, "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, upper)
     local = pos.withColumn("_local", agg("_val").over(w_local))
-    summary = pos.groupBy(*keys, "_pid").agg(agg("_val").alias("_tot"))
-    w_carry = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*keys, "_pid", agg("_tot").over(w_carry).alias("_carry"))
-    joined = local.join(carry, [*keys, "_pid"], "left")
+    # one row per partition: its first and last key
+    ends = pos.groupBy("_pid").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    # aggregate of the rows holding each partition's last key (one row per partition)
+    tail = (pos.join(F.broadcast(ends), "_pid").where(key == F.col("_last"))
+            .groupBy("_pid", "_last").agg(agg("_val").alias("_tail")))
+    # running aggregate of those tails over consecutive partitions ending in the same key
+    w_tail = Window.partitionBy("_last").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
+    cum = tail.select(F.col("_pid").alias("_cpid"), F.col("_last").alias("_prev_last"),
+                      agg("_tail").over(w_tail).alias("_cum"))
+    # the carry into a partition comes from the nearest earlier non-empty partition
+    # (a window over one row per partition)
+    prev = ends.withColumn("_prev_pid", F.lag("_pid").over(Window.orderBy("_pid")))
+    carry = (prev.join(cum, prev["_prev_pid"] == cum["_cpid"], "left")
+             .select("_pid", "_first",
+                     F.when(F.col("_prev_last") == F.col("_first"), F.col("_cum")).alias("_carry")))
+    joined = (local.join(F.broadcast(carry), "_pid")
+              .withColumn("_carry", F.when(key == F.col("_first"), F.col("_carry"))))
     if how == "sum":
         combined = F.when(F.col("_local").isNull() & F.col("_carry").isNull(), F.lit(None)).otherwise(
             F.coalesce(F.col("_local"), F.lit(0)) + F.coalesce(F.col("_carry"), F.lit(0)))
@@ -49,7 +70,7 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
         combined = F.greatest(F.col("_local"), F.col("_carry"))
     else:
         combined = F.least(F.col("_local"), F.col("_carry"))
-    return joined.withColumn(out, combined).drop("_val", "_mid", "_pid", "_local", "_carry")
+    return joined.withColumn(out, combined).drop("_val", "_mid", "_pid", "_local", "_carry", "_first")
 
 
 def overlaps(df: DataFrame, key: str, start: str, end: str, tiebreak: str) -> DataFrame:

@@ -12,21 +12,34 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoal.operators.relational import dedup_latest, fill_zero
 from shoal.sinks import align_to_table, insert_by_name
 
 
 def idempotent_append(spark: SparkSession, batch: DataFrame, table: str, keys: Sequence[str],
-                      order: Sequence[str], fill: Sequence[str] = ()) -> DataFrame:
+                      order: Sequence[str], fill: Sequence[str] = (), range_col: str | None = None
+                      ) -> DataFrame:
     """Dedup ``batch`` on ``keys`` (greatest ``order`` wins), fill ``fill`` with 0,
     append the rows whose key is new to ``table``. Returns the appended rows
-    (lazily; they were computed once for the insert)."""
+    (lazily; they were computed once for the insert).
+
+    ``range_col`` (a key column, typically the load date) bounds the target
+    scan: the batch's min and max — one row — become literal filters that reach
+    the target's Parquet scan (partition pruning, row-group skipping), so a
+    daily batch does not re-read the table's whole history.
+    """
     latest = dedup_latest(batch, list(keys), list(order))
     if fill:
         latest = fill_zero(latest, list(fill))
     aligned = align_to_table(spark, latest, table, strict=False)
     existing = spark.table(table).select(*keys)
+    if range_col is not None:
+        lo, hi = aligned.agg(F.min(range_col), F.max(range_col)).first()
+        if lo is None:
+            return aligned.limit(0)
+        existing = existing.where(F.col(range_col).between(F.lit(lo), F.lit(hi)))
     new_rows = aligned.join(existing, list(keys), "left_anti")
     insert_by_name(spark, new_rows, table)
     return new_rows

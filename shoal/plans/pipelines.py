@@ -54,7 +54,7 @@ def rates_pipeline(spark, sf):
                            F.try_element_at("rates", F.lit("CAD")).alias("cad"),
                            "fetched_at", "seq")
         idempotent_append(spark, batch, table, ["base", "last_update"], ["fetched_at", "seq"],
-                          fill=["usd", "k", "cad"])
+                          fill=["usd", "k", "cad"], range_col="last_update")
     return spark.table(table)
 
 

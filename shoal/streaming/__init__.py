@@ -22,7 +22,7 @@ def incremental_load(spark: SparkSession, landing: str, schema: str, fmt: str, t
                      keys: Sequence[str], order: Sequence[str], checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame] = lambda d: d,
                      fill: Sequence[str] = (), options: dict[str, str] | None = None,
-                     max_files_per_trigger: int | None = None) -> int:
+                     max_files_per_trigger: int | None = None, range_col: str | None = None) -> int:
     """Load the files landed since the previous run; returns the number of batches."""
     reader = spark.readStream.schema(schema).format(fmt).options(**(options or {}))
     if max_files_per_trigger:
@@ -31,7 +31,7 @@ def incremental_load(spark: SparkSession, landing: str, schema: str, fmt: str, t
     batches = []
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        idempotent_append(batch.sparkSession, batch, table, keys, order, fill)
+        idempotent_append(batch.sparkSession, batch, table, keys, order, fill, range_col=range_col)
         batches.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
