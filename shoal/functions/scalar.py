@@ -58,14 +58,22 @@ def clock12_timestamp(date_col: ColumnOrName, time_col: ColumnOrName) -> Column:
     return F.to_timestamp_ntz(F.concat_ws(" ", _c(date_col), _c(time_col)), F.lit(CLOCK12_PATTERN))
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
 def epoch_seconds(ts: ColumnOrName) -> Column:
-    """Whole epoch seconds of a (local, UTC-pinned) timestamp."""
-    return F.unix_timestamp(_c(ts).cast("timestamp"))
+    """Whole epoch seconds (floor) of a wall-clock UTC timestamp (``timestamp_ntz``).
+
+    Computed as a difference of local timestamps, so the result does not depend
+    on the session time zone (a cast to ``timestamp`` would shift it).
+    """
+    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(ts).cast("timestamp_ntz"))
+    return F.floor(micros / F.lit(1_000_000)).cast("bigint")
 
 
 def from_epoch(seconds: ColumnOrName) -> Column:
-    """Epoch seconds → local timestamp (``timestamp_seconds`` in a UTC session)."""
-    return F.timestamp_seconds(_c(seconds)).cast("timestamp_ntz")
+    """Epoch seconds → wall-clock UTC ``timestamp_ntz``, independent of the session time zone."""
+    return F.timestamp_add("SECOND", _c(seconds), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def typed(c: ColumnOrName, spark_type: str, fmt: str | None = None) -> Column:
@@ -78,7 +86,9 @@ def typed(c: ColumnOrName, spark_type: str, fmt: str | None = None) -> Column:
     if t == "date":
         return F.try_to_date(F.trim(col), fmt) if fmt else F.try_to_date(F.trim(col))
     if t in ("timestamp", "timestamp_ntz"):
-        return F.try_to_timestamp(F.trim(col), F.lit(fmt)) if fmt else F.try_to_timestamp(F.trim(col))
+        parsed = F.try_to_timestamp(F.trim(col), F.lit(fmt)) if fmt else F.try_to_timestamp(F.trim(col))
+        # parse and cast back in the same session zone: the wall-clock text is kept
+        return parsed.cast("timestamp_ntz") if t == "timestamp_ntz" else parsed
     return F.trim(col).try_cast(spark_type)
 
 

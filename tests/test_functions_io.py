@@ -102,3 +102,15 @@ def test_partitioned_write_prunes(spark, tmp):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ts_day" in plan
     assert [r.id for r in back.collect()] == [2]
+
+
+def test_epoch_helpers_ignore_session_time_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("2024-01-01 00:00:07.5",), ("1969-12-31 23:59:59.5",)], "s string")
+        out = df.select(X.epoch_seconds(F.to_timestamp_ntz("s")).alias("e")).collect()
+        assert [r.e for r in out] == [1704067207, -1]  # floor, like epoch() in SQL engines
+        back = df.select(X.from_epoch(F.lit(1704067207)).alias("t")).first().t
+        assert back == dt.datetime(2024, 1, 1, 0, 0, 7)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
