@@ -1,4 +1,4 @@
-"""Re-run-safe loads into tables (pipeline steps of 3.1 and 3.3).
+"""Re-run-safe loads into tables (the load steps of SURVEY §3.1 and §3.3).
 
 A daily job that appends must be idempotent: running it twice for the same
 day may not duplicate rows. The batch is deduplicated on its key (latest row

@@ -1,4 +1,4 @@
-"""Registered queries: the two end-to-end pipelines."""
+"""Registered queries: the daily rates load and the weather ELT, end to end."""
 
 from __future__ import annotations
 
@@ -30,13 +30,13 @@ def land_rates(spark, sf, path: str) -> None:
 RATES_SCHEMA = "base string, last_update string, rates map<string,double>, fetched_at timestamp_ntz, seq bigint"
 
 
-@query("rates_pipeline", """
+@query("rates_daily_load", """
 SELECT event_type AS base, CAST(ts AS DATE) AS last_update, CAST(value AS DOUBLE) AS usd,
        CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, CAST(0 AS DOUBLE) AS cad
 FROM events
 QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1
 """)
-def rates_pipeline(spark, sf):
+def rates_daily_load(spark, sf):
     """Land → read with a schema → map lookups (case as stored, missing → NULL)
     → text date to DATE → dedup per (base, day) keeping the latest fetch → fill
     0 → append by name, twice: the re-run adds nothing."""
@@ -87,7 +87,7 @@ FORECAST_ENTRY = ("id bigint, dt bigint, dt_txt string, main struct<temp: double
                   "rain struct<`3h`: double>, weather array<struct<main: string>>")
 
 
-def weather_elt(spark, landing: str):
+def shred_forecasts(spark, landing: str):
     """Returns ``(typed rows, quarantined landing rows)``."""
     raw = S.read_csv_landing(spark, landing, ["cod", "city", "list"])
     rows, quarantine = X.json_shred(raw, "list", FORECAST_ENTRY, {
@@ -97,17 +97,17 @@ def weather_elt(spark, landing: str):
     return rows, quarantine
 
 
-@query("weather_pipeline", """
+@query("weather_elt", """
 SELECT event_id AS id, CAST(floor(epoch(ts)) AS BIGINT) AS dt, date_trunc('second', ts) AS dt_txt, value AS temp,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS humidity, CAST(0.5 AS DOUBLE) AS precip_prob,
        CASE WHEN event_type = 'purchase' THEN value / 100 END AS rain, event_type AS main,
        true AS dt_consistent
 FROM events WHERE event_type <> 'error'
 """)
-def weather_pipeline(spark, sf):
+def weather_elt_load(spark, sf):
     landing = scratch_path(spark, "weather_landing")
     land_forecasts(spark, sf, landing)
-    rows, _quarantine = weather_elt(spark, landing)
+    rows, _quarantine = shred_forecasts(spark, landing)
     table = f"weather_{uuid.uuid4().hex[:10]}"
     # typed target in another column order than the shredded rows: insert by name
     spark.sql(f"CREATE TABLE {table} (humidity INT, temp DOUBLE, rain DOUBLE, precip_prob DOUBLE, main STRING, "
@@ -121,7 +121,7 @@ def weather_pipeline(spark, sf):
 def weather_quarantine(spark, sf):
     landing = scratch_path(spark, "weather_landing")
     land_forecasts(spark, sf, landing)
-    _rows, quarantine = weather_elt(spark, landing)
+    _rows, quarantine = shred_forecasts(spark, landing)
     return quarantine.select("city")
 
 
