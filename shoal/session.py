@@ -70,3 +70,29 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the checkpoint root."""
     return f"{checkpoint_root(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024
+               ) -> dict[str, str]:
+    """Settings sized from the input volume and the cluster's cores.
+
+    The shuffle-partition count is an *upper bound* from which AQE coalesces
+    small partitions; it is chosen so that a shuffle of the whole input gives
+    partitions of about ``target_partition_bytes`` (fits executor memory, spills
+    rarely) and never fewer than two waves of tasks. Scan splits are as large
+    as the target; skewed shuffle partitions larger than five times the median
+    (and the target) are split by AQE.
+    """
+    import math
+
+    partitions = max(2 * total_cores, math.ceil(input_bytes / target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
