@@ -91,9 +91,20 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], max_exact: int
     return res
 
 
-def quantile_table(df: DataFrame, col: str, probs: dict[str, float], digits: int = 4, **kw) -> DataFrame:
-    """One-row DataFrame of named exact quantiles."""
+def approx_quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = 10_000) -> DataFrame:
+    """One-pass approximate quantiles (rank error about n / accuracy), lazily, one row."""
+    arr = F.percentile_approx(F.col(col).cast("double"), probs, accuracy)
+    return df.agg(arr.alias("_q")).select(*[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+
+
+def quantile_table(df: DataFrame, col: str, probs: dict[str, float], digits: int = 4,
+                   method: str = "exact", **kw) -> DataFrame:
+    """One-row DataFrame of named quantiles; ``method="approx"`` trades exactness
+    for a single pass without the narrowing rounds."""
     spark = df.sparkSession
+    if method == "approx":
+        q = approx_quantiles(df, col, list(probs.values()), **kw)
+        return q.select(*[F.round(F.col(f"q{i}"), digits).alias(k) for i, k in enumerate(probs)])
     vals = exact_quantiles(df, col, list(probs.values()), **kw)
     row = [None if v is None else round(v, digits) for v in vals]
     schema = ", ".join(f"{k} double" for k in probs)

@@ -85,3 +85,10 @@ def test_last_per_period(spark):
     got = [(r["year"], r["v"]) for r in S.last_per_period(df, "d", "v", "id").collect()]
     assert got == [(2020, 4.0), (2021, 3.0)]
     assert not math.isnan(got[0][1])
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    vals = [float(v) for v in range(1, 1001)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = Q.quantile_table(df, "x", {"median": 0.5}, method="approx").first()
+    assert abs(r["median"] - float(np.median(vals))) <= 1.0
