@@ -21,28 +21,31 @@ _POS_BITS = 33
 _AGG = {"max": F.max, "sum": F.sum, "min": F.min}
 
 
-def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column,
-                     how: str = "max", out: str = "prefix", inclusive: bool = False,
-                     partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = ``how``(value) over the rows before this one (or up to it) within ``keys``.
-
-    Rows are range-partitioned on (keys, order), so a key is split only where a
-    partition boundary falls inside it, and only the *first* key of a partition
-    can continue from earlier partitions. The carry into each partition is
-    therefore computed from a table with one row per partition (bounded by the
-    partition count, broadcast), never from a join over all rows.
-    """
+def positioned(df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None
+               ) -> DataFrame:
+    """Range-partition and sort on (keys, order), number the rows (``_mid``,
+    ``_pid``) and checkpoint them, so several prefix aggregates can share one
+    shuffle and see the same rows even if executors are lost."""
     checkpoint_root(df.sparkSession)
-    agg = _AGG[how]
     n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    val = F.col(value) if isinstance(value, str) else value
     ordered = [*[F.col(k) for k in keys], *[F.col(o) for o in order]]
+    return (df.repartitionByRange(n_parts, *ordered).sortWithinPartitions(*ordered)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
+            .checkpoint(eager=True))
+
+
+def prefix_on_positioned(pos: DataFrame, keys: Sequence[str], value: str | Column, how: str = "max",
+                         out: str = "prefix", inclusive: bool = False) -> DataFrame:
+    """Prefix aggregate over rows numbered by :func:`positioned` (keeps ``_mid``, ``_pid``).
+
+    Only the first key of a partition can continue from earlier partitions, so
+    the carry into each partition comes from a table with one row per partition
+    (bounded by the partition count, broadcast), never from a join over all rows.
+    """
+    agg = _AGG[how]
     key = F.struct(*[F.col(k) for k in keys])
-    pos = (df.withColumn("_val", val)
-           .repartitionByRange(n_parts, *ordered).sortWithinPartitions(*ordered)
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .withColumn("_pid", F.shiftright(F.col("_mid"), _POS_BITS))
-           .checkpoint(eager=True))
+    pos = pos.withColumn("_val", F.col(value) if isinstance(value, str) else value)
     upper = 0 if inclusive else -1
     w_local = Window.partitionBy(*keys, "_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, upper)
     local = pos.withColumn("_local", agg("_val").over(w_local))
@@ -70,7 +73,19 @@ def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str], v
         combined = F.greatest(F.col("_local"), F.col("_carry"))
     else:
         combined = F.least(F.col("_local"), F.col("_carry"))
-    return joined.withColumn(out, combined).drop("_val", "_mid", "_pid", "_local", "_carry", "_first")
+    return joined.withColumn(out, combined).drop("_val", "_local", "_carry", "_first")
+
+
+def prefix_aggregate(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | Column,
+                     how: str = "max", out: str = "prefix", inclusive: bool = False,
+                     partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = ``how``(value) over the rows before this one (or up to it) within ``keys``.
+
+    Rows are range-partitioned on (keys, order), so a key is split only where a
+    partition boundary falls inside it; see :func:`prefix_on_positioned`.
+    """
+    pos = positioned(df, keys, order, partitions)
+    return prefix_on_positioned(pos, keys, value, how, out, inclusive).drop("_mid", "_pid")
 
 
 def overlaps(df: DataFrame, key: str, start: str, end: str, tiebreak: str) -> DataFrame:
@@ -87,11 +102,11 @@ def islands(df: DataFrame, key: str, status: str, start: str, end: str, tiebreak
     such starts.
     """
     keys = [key, status]
-    p = prefix_aggregate(df, keys, [start, end, tiebreak], end, "max", out="_prev_end")
+    pos = positioned(df, keys, [start, end, tiebreak])  # one shuffle and checkpoint for both prefixes
+    p = prefix_on_positioned(pos, keys, end, "max", out="_prev_end")
     flagged = p.withColumn("_new", F.when(F.col("_prev_end").isNull() | (F.col(start) > F.col("_prev_end")), 1)
                            .otherwise(0))
-    numbered = prefix_aggregate(flagged, keys, [start, end, tiebreak], "_new", "sum", out="island",
-                                inclusive=True)
+    numbered = prefix_on_positioned(flagged, keys, "_new", "sum", out="island", inclusive=True)
     return (numbered.groupBy(key, status, "island")
             .agg(F.min(start).alias("start_date"), F.max(end).alias("end_date"),
                  F.count(F.lit(1)).alias("n_intervals")))
