@@ -45,6 +45,9 @@ def expire_snapshots(table, older_than=None, retain_last: int = 1, execute: bool
         table._commit_state("expire-snapshots", expired=expired)
         for d in dead_dirs:
             table.fs.delete(f"{table.data}/_dir={d}")
+        # partitions every remaining snapshot excludes are unreachable as well
+        for d, part in table.dead_partitions():
+            table.fs.delete(f"{table.data}/_dir={d}/{part}")
     rows = [(s["snapshot_id"], dt.datetime.fromisoformat(s["committed_at"]), s["operation"]) for s in gone]
     return table.spark.createDataFrame(rows, "snapshot_id bigint, committed_at timestamp_ntz, operation string")
 
@@ -60,10 +63,14 @@ def orphan_files(table, older_than_ms: int | None = None) -> DataFrame:
     spark = table.spark
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table.data)
              .select("path", "length", "modificationTime"))
-    files = files.withColumn("dir", F.regexp_extract("path", r"/_dir=([^/]+)/", 1))
+    files = (files.withColumn("dir", F.regexp_extract("path", r"/_dir=([^/]+)/", 1))
+             .withColumn("part", F.regexp_extract("path", r"/_dir=[^/]+/(.+)/[^/]+$", 1)))
     live = sorted({d["dir"] for s in table.snapshots_meta() for d in s["dirs"]})
-    live_df = spark.createDataFrame([(d,) for d in live], "dir string")
-    orphans = files.join(F.broadcast(live_df) if len(live) <= 100_000 else live_df, "dir", "left_anti")
+    live_df = spark.createDataFrame([(d,) for d in live], "dir string")  # one row per directory
+    dead = spark.createDataFrame(table.dead_partitions(), "dir string, part string")  # per excluded partition
+    unreferenced = files.join(F.broadcast(live_df) if len(live) <= 100_000 else live_df, "dir", "left_anti")
+    excluded = files.join(dead, ["dir", "part"], "left_semi")
+    orphans = unreferenced.unionByName(excluded)
     if older_than_ms is not None:
         orphans = orphans.where(F.col("modificationTime") < F.timestamp_millis(F.lit(older_than_ms)))
     return orphans.select("path", "length", "modificationTime")
