@@ -1,3 +1,5 @@
+"""Landing readers (group A): CSV, JSON, Parquet, text, tables, JDBC — always with an explicit schema."""
+
 from shoal.sources.files import (
     CORRUPT, cast_table, read_csv_landing, read_csv_typed, read_csv_with_rejects, read_json_documents,
     read_json_lines, read_parquet, read_table, read_text_lines, split_packed_list, text_schema,
