@@ -124,6 +124,7 @@ def drop_missing(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.dropna(how="any", subset=list(cols) if cols else None)
 
 
-def null_mask(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    cols = list(cols or df.columns)
-    return df.select(*[F.isnull(c).alias(f"{c}_isnull") for c in cols])
+def null_mask(df: DataFrame, cols: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``<col>_isnull`` flags for ``cols`` (default: all), beside the ``keep`` columns."""
+    cols = list(cols or [c for c in df.columns if c not in keep])
+    return df.select(*keep, *[F.isnull(c).alias(f"{c}_isnull") for c in cols])

@@ -197,8 +197,7 @@ def drop_missing(spark, sf):
 SELECT c_custkey, pending_total IS NULL AS pending_total_isnull FROM customer LEFT JOIN p ON c_custkey = o_custkey
 """)
 def null_mask(spark, sf):
-    t = _left_joined_totals(spark, sf)
-    return t.select("c_custkey", F.isnull("pending_total").alias("pending_total_isnull"))
+    return R.null_mask(_left_joined_totals(spark, sf), ["pending_total"], keep=["c_custkey"])
 
 
 @query("zscore_filter", """
