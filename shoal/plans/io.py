@@ -94,13 +94,7 @@ def json_multiline_read(spark, sf):
     multi-line files are many and small."""
     path = scratch_path(spark, "json_multiline")
     ev = load(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    rows_per_doc = 50_000
-    n_docs = max(1, -(-ev.count() // rows_per_doc))
-    doc = F.pmod(F.xxhash64("event_id"), F.lit(n_docs)).alias("doc")
-    docs = (ev.select(doc, F.to_json(F.struct(*ev.columns), W.TS_OPTIONS).alias("j"))
-            .groupBy("doc").agg(F.concat(F.lit("[\n  "), F.array_join(F.collect_list("j"), ",\n  "),
-                                         F.lit("\n]")).alias("value")))
-    docs.write.partitionBy("doc").text(path)
+    W.write_json_array_documents(ev.withColumn("_spread", F.col("event_id")), path, "_spread")
     back = S.read_json_documents(spark, path, "event_id bigint, ts timestamp_ntz, user_id bigint, "
                                               "event_type string, value double")
     return back.drop("doc")

@@ -161,3 +161,28 @@ def rates_incremental(spark, sf):
                          ["fetched_at", "seq"], ckpt, transform=lookups, fill=["usd", "k", "cad"],
                          options={"recursiveFileLookup": "true"})
     return spark.table(table)
+
+
+@query("json_dates_to_csv", """
+SELECT user_id, value AS x_coordinate, CAST(json_extract_string(props, '$.k') AS INTEGER) AS y_coordinate,
+       strftime(ts, '%Y-%m-%d') AS date, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+       CAST(day(ts) AS INTEGER) AS day
+FROM events
+""")
+def json_dates_to_csv(spark, sf):
+    """JSON array documents of user events with a text date → strict date parse →
+    year / month / day columns → CSV with a header → read back typed."""
+    ev = load(spark, sf, "events")
+    events = ev.select("user_id", F.col("value").alias("x_coordinate"),
+                       F.get_json_object("props", "$.k").cast("int").alias("y_coordinate"),
+                       F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_id").alias("_id"))
+    root = scratch_path(spark, "json_dates")
+    W.write_json_array_documents(events, f"{root}/json", "_id")
+    raw = S.read_json_documents(spark, f"{root}/json",
+                                "user_id bigint, x_coordinate double, y_coordinate int, date string")
+    parts = raw.select("user_id", "x_coordinate", "y_coordinate", "date",
+                       *X.date_parts("date", "yyyy-MM-dd", strict=True)[1:])
+    W.write_csv(parts, f"{root}/csv")
+    return S.read_csv_typed(spark, f"{root}/csv", {"user_id": "bigint", "x_coordinate": "double",
+                                                   "y_coordinate": "int", "date": "string", "year": "int",
+                                                   "month": "int", "day": "int"})

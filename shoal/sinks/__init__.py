@@ -35,6 +35,22 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**TS_OPTIONS).json(path)
 
 
+def write_json_array_documents(df: DataFrame, path: str, spread_by: str, rows_per_doc: int = 50_000) -> None:
+    """Pretty-printed JSON array documents (one document spans many lines).
+
+    A multi-line document cannot be split when read, so rows are hashed on
+    ``spread_by`` into about ``rows_per_doc``-row documents, one file each: many
+    bounded files instead of one huge one. ``spread_by`` is not written.
+    """
+    cols = [c for c in df.columns if c != spread_by]
+    n_docs = max(1, -(-df.count() // rows_per_doc))
+    doc = F.pmod(F.xxhash64(spread_by), F.lit(n_docs)).alias("doc")
+    docs = (df.select(doc, F.to_json(F.struct(*cols), TS_OPTIONS).alias("j"))
+            .groupBy("doc").agg(F.concat(F.lit("[\n  "), F.array_join(F.collect_list("j"), ",\n  "),
+                                         F.lit("\n]")).alias("value")))
+    docs.write.partitionBy("doc").text(path)
+
+
 def flatten_nested_as_json(df: DataFrame) -> DataFrame:
     """Struct / array / map columns → JSON text, so they survive a CSV file."""
     nested = (T.StructType, T.ArrayType, T.MapType)
