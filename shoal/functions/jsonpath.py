@@ -38,7 +38,8 @@ def json_shred(df: DataFrame, text_col: str, element_schema: str,
     quarantine = parsed.where(bad).drop("_doc")
     good = parsed.where(~bad)
     if array:
-        good = good.select(*keep, F.explode_outer("_doc").alias("e"))
+        # one row per element: an empty array yields no rows (it is not an error)
+        good = good.select(*keep, F.explode("_doc").alias("e"))
     else:
         good = good.select(*keep, F.col("_doc").alias("e"))
     cols = [(F.col(f"e.{p}") if isinstance(p, str) else p).alias(name) for name, p in paths.items()]
