@@ -82,6 +82,19 @@ def assert_same_set(actual: DataFrame, col: str, expected: Iterable[str]) -> Non
         raise AuditError("value sets differ: " + ", ".join(f"{r.side}:{r.value}" for r in diff))
 
 
+def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
+          null_safe: bool = True) -> DataFrame:
+    """Join on common key columns like a data-frame ``merge``: one output column
+    per key and, with ``null_safe``, missing keys match each other (``<=>``)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = [(F.col(c).eqNullSafe(F.col(f"_r_{c}")) if null_safe else F.col(c) == F.col(f"_r_{c}")) for c in on]
+    joined = left.join(r, cond, how)
+    keys = [F.coalesce(F.col(c), F.col(f"_r_{c}")).alias(c) if how in ("right", "full", "outer") else F.col(c)
+            for c in on]
+    rest = [c for c in joined.columns if c not in on and not c.startswith("_r_")]
+    return joined.select(*keys, *rest)
+
+
 def anti_join(left: DataFrame, right: DataFrame, on: str | list[str] | Column) -> DataFrame:
     """Rows of ``left`` with no match in ``right`` (``NOT EXISTS``)."""
     return left.join(right, on, "left_anti")

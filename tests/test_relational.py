@@ -63,3 +63,16 @@ def test_sort_nulls_last_and_bottom_k(spark):
 def test_fill_zero_is_case_insensitive(spark):
     df = spark.createDataFrame([(1, None)], "id int, EUR double")
     assert R.fill_zero(df, ["eur"]).first()["EUR"] == 0.0
+
+
+def test_merge_matches_missing_keys_and_keeps_one_key_column(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c")], "k int, l string")
+    right = spark.createDataFrame([(1, "x"), (None, "y"), (4, "z")], "k int, r string")
+    inner = {(r.k, r.l, r.r) for r in R.merge(left, right, ["k"]).collect()}
+    assert inner == {(None, "b", "y"), (1, "a", "x")}
+    full = R.merge(left, right, ["k"], how="full")
+    assert full.columns == ["k", "l", "r"]
+    assert {(r.k, r.l, r.r) for r in full.collect()} == {(1, "a", "x"), (3, "c", None), (4, None, "z"),
+                                                         (None, "b", "y")}
+    strict = R.merge(left, right, ["k"], null_safe=False)
+    assert strict.count() == 1
