@@ -28,8 +28,15 @@ def threshold_flag(c: ColumnOrName, threshold, true_text: str = "true",
 
 
 def string_template(fmt: str, *cols: ColumnOrName) -> Column:
-    """``printf``-style template over columns (``format_string``)."""
-    return F.format_string(fmt, *[_c(c) for c in cols])
+    """``printf``-style template over columns; NULL when any input is NULL (as
+    ``concat``), not the text ``null`` that ``format_string`` alone would print."""
+    args = [_c(c) for c in cols]
+    if not args:
+        return F.format_string(fmt)
+    present = args[0].isNotNull()
+    for a in args[1:]:
+        present = present & a.isNotNull()
+    return F.when(present, F.format_string(fmt, *args))
 
 
 def replace_char(c: ColumnOrName, old: str, new: str) -> Column:

@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def histogram(df: DataFrame, col: str, bins: int, digits: int = 4) -> DataFrame:
+# Fixed value: the bin count a plotting call uses when none is given.
+DEFAULT_BINS = 10
+
+
+def histogram(df: DataFrame, col: str, bins: int = DEFAULT_BINS, digits: int = 4) -> DataFrame:
     """Counts in ``bins`` equal-width bins between min and max.
 
     Bins are 1-based, the last bin is closed (the maximum goes into bin

@@ -114,3 +114,9 @@ def test_epoch_helpers_ignore_session_time_zone(spark):
         assert back == dt.datetime(2024, 1, 1, 0, 0, 7)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_string_template_null_propagates(spark):
+    df = spark.createDataFrame([("ann", 30), (None, 40)], "name string, age int")
+    out = [r[0] for r in df.select(X.string_template("%s is %d", "name", "age")).collect()]
+    assert out == ["ann is 30", None]
