@@ -14,11 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoal.operators.keys import surrogate_keys
+from shoal.session import checkpoint_root
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it from there:
+    for inputs used many times (one pass per entity, joins back, checks) that
+    would otherwise recompute their joins each time. Survives executor loss."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def normalize(flat: DataFrame, entities: dict[str, Sequence[str]], fact_cols: Sequence[str]
               ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Split ``flat`` into ``{entity: table}`` and a fact table with ``<entity>_id`` columns."""
+    """Split ``flat`` into ``{entity: table}`` and a fact table with ``<entity>_id`` columns.
+
+    ``flat`` is read once per entity and once more for the fact table; pass a
+    :func:`materialize`-d frame when it is an expensive join."""
     tables = {name: surrogate_keys(flat, cols, out=f"{name}_id") for name, cols in entities.items()}
     fact = flat
     for name, cols in entities.items():
