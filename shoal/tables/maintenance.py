@@ -43,11 +43,9 @@ def expire_snapshots(table, older_than=None, retain_last: int = 1, execute: bool
         dead_dirs = {d["dir"] for s in gone for d in s["dirs"]} - kept_dirs
         expired = sorted(set(table.state().get("expired", [])) | {s["snapshot_id"] for s in gone})
         table._commit_state("expire-snapshots", expired=expired)
-        for d in dead_dirs:
-            table.fs.delete(f"{table.data}/_dir={d}")
+        delete_paths(table, [f"{table.data}/_dir={d}" for d in sorted(dead_dirs)])
         # partitions every remaining snapshot excludes are unreachable as well
-        for d, part in table.dead_partitions():
-            table.fs.delete(f"{table.data}/_dir={d}/{part}")
+        delete_paths(table, [f"{table.data}/_dir={d}/{part}" for d, part in table.dead_partitions()])
     rows = [(s["snapshot_id"], dt.datetime.fromisoformat(s["committed_at"]), s["operation"]) for s in gone]
     return table.spark.createDataFrame(rows, "snapshot_id bigint, committed_at timestamp_ntz, operation string")
 
@@ -76,10 +74,24 @@ def orphan_files(table, older_than_ms: int | None = None) -> DataFrame:
     return orphans.select("path", "length", "modificationTime")
 
 
-def remove_orphans(table, orphans: DataFrame) -> int:
-    """Delete the listed orphan files (streamed to the driver, never collected whole)."""
+# Concurrent file-system deletions issued by the driver (I/O bound metadata calls).
+DELETE_THREADS = 16
+
+
+def delete_paths(table, paths, recursive: bool = True, batch: int = 1000) -> int:
+    """Delete ``paths`` with a bounded thread pool, ``batch`` at a time."""
+    from concurrent.futures import ThreadPoolExecutor
+    from itertools import islice
+
     n = 0
-    for r in orphans.select("path").toLocalIterator():
-        table.fs.delete(r["path"], recursive=False)
-        n += 1
+    it = iter(paths)
+    with ThreadPoolExecutor(max_workers=DELETE_THREADS) as pool:
+        while chunk := list(islice(it, batch)):
+            list(pool.map(lambda p: table.fs.delete(p, recursive), chunk))
+            n += len(chunk)
     return n
+
+
+def remove_orphans(table, orphans: DataFrame) -> int:
+    """Delete the listed orphan files (streamed to the driver, never collected whole)."""
+    return delete_paths(table, (r["path"] for r in orphans.select("path").toLocalIterator()), recursive=False)
