@@ -55,6 +55,11 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def octet(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) <= 3 and int(part or 0) <= 255
+
+
 def emails(text: str) -> list[Span]:
     """Each at-sign with the run of address characters before it (none of an earlier match) and a dotted domain."""
     out, free, at = [], 0, text.find("@")
@@ -83,7 +88,7 @@ def base_spans(text: str) -> list[Span]:
                 ends.append((at, at + len(part)))
                 at += len(part) + 1
             for i in range(0, len(parts) - 3, 4):
-                if all(len(p := p.lstrip("0")) <= 3 and int(p or 0) <= 255 for p in parts[i:i + 4]):
+                if all(map(octet, parts[i:i + 4])):
                     out.append(("ip", ends[i][0], ends[i + 3][1]))
     for m in CARD.finditer(text):
         d = digits_of(m.group())
@@ -187,7 +192,7 @@ def segment_features(text: str, start: int, end: int, kind: int) -> list[str]:
             out.append("check" if luhn(d) else "nocheck")
             out.append(f"check{len(d)}" if luhn(d) else "nocheck" + str(len(groups)))
         if kind == 1:
-            out.append("octets" if all(int(g) <= 255 for g in groups) else "big")
+            out.append("octets" if all(map(octet, groups)) else "big")
     else:
         sign = AT.search(x)
         out += ["sign" + sign.group().strip().lower() if sign else "sign", f"labels{len(re.split('[.]| dot |dot', x[sign.end():] if sign else x))}",
