@@ -8,9 +8,9 @@
 3. Classes that agree on a band share a bucket. Each bucket proposes a star: its smallest member
    against every other, so a bucket of m members gives m - 1 pairs.
 4. Proposed pairs are confirmed on the full shingle sets of both texts.
-5. A star can miss a link between two of its points. For a bucket whose members are not yet in one
-   component, members outside the centre's component are also compared with the others, except
-   where the known distances to the centre rule the link out (Jaccard distance is a metric).
+5. A star can miss a link between two of its points. Where the members of a bucket are not in one component after
+   that, those outside the centre's component are a query set that is compared with all members under that
+   centre, block against block inside a task, on whole shingle sets. Only links that join two components leave the task.
 6. Components of the confirmed links.
 
 With 40 bands of 5 a pair of similarity 0.8 shares no band with probability 1e-7.
@@ -36,6 +36,8 @@ from shoal.llm.common import (MIX1, ODD, Texts, append_columns, bounded_batches,
 BANDS, ROWS = 40, 5
 #: Pairs of texts that one Python worker holds at a time while it confirms them.
 PAIR_ROWS = 64
+#: Documents and shingles of one side of a block, shingles counted at a time.
+BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 512, 200_000, 4096
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -156,6 +158,55 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, inter long, total long")
 
 
+def cross_links(table: pa.Table, width: int, percent: int) -> pa.Table:
+    """Rows that ask against the others of a block: (a, b) for links between different groups, one per asking
+    row and group. Overlaps are counted on hashes and every link is confirmed on the sets of words."""
+    asks, node, group = (table.column(c).to_numpy() for c in ("asks", "node", "group"))
+    text = table.column("text").combine_chunks()
+    pairs = [np.zeros((0, 2), np.int64)]
+    if asks.any() and not asks.all():
+        found, owner = [], []
+        for t in chunks(text.chunk(0) if isinstance(text, pa.ChunkedArray) else text):
+            h, own = shingle_hashes(t, width)
+            found.append(h)
+            owner.append(own + t.first)
+        names, at = np.unique(np.concatenate(found), return_inverse=True)
+        own = np.concatenate(owner)
+        size = np.bincount(own, minlength=len(node))
+        left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+        place = np.zeros(len(node), np.int64)
+        place[left], place[right] = np.arange(len(left)), np.arange(len(right))
+        mine = asks[own]
+        both = np.zeros(len(names), bool)  # only shingles on both sides can be shared
+        both[at[mine]] = True
+        there = np.zeros(len(names), bool)
+        there[at[~mine]] = True
+        both &= there
+        column = np.cumsum(both) - 1
+        use = both[at]
+        row, col, mine = place[own[use]], column[at[use]], mine[use]
+        order = np.argsort(col, kind="stable")
+        row, col, mine = row[order], col[order], mine[order]
+        inter = np.zeros((len(left), len(right)), np.float32)
+        for lo in range(0, int(both.sum()), COLUMNS):
+            a, b = np.searchsorted(col, [lo, lo + COLUMNS])
+            x, y = (np.zeros((n, COLUMNS), np.float32) for n in inter.shape)
+            x[row[a:b][mine[a:b]], col[a:b][mine[a:b]] - lo] = 1
+            y[row[a:b][~mine[a:b]], col[a:b][~mine[a:b]] - lo] = 1
+            inter += x @ y.T
+        whole = size[left][:, None] + size[right][None] - inter
+        i, j = np.nonzero((100 * inter >= percent * whole) & (group[left][:, None] != group[right][None]))
+        if len(i):
+            keys = np.stack([node[left[i]], group[right[j]]])
+            _, first = np.unique(keys, axis=1, return_index=True)
+            for a, b in zip(left[i[first]], right[j[first]]):
+                u, v = (shingle_set(text[int(k)].as_py(), width) for k in (a, b))
+                if 100 * len(u & v) >= percent * len(u | v):
+                    pairs.append(np.array([[node[a], node[b]]]))
+    out = np.concatenate(pairs)
+    return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs`` (doc_id, text).
     Documents are linked when 100 * intersection >= percent * union of their shingle sets."""
@@ -173,36 +224,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     wanted = members.select("node").distinct()
     texts = materialise(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
                         .select(F.col("doc_id").alias("node"), "text").distinct(), "minhash-texts")
-    fits = "100 * least(size, other) >= {p} * greatest(size, other)".format(p=percent)
     stars = members.filter("node <> centre").select("node", "centre").distinct()
     first = materialise(confirm(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), texts, width, percent),
                         "minhash-stars")
     link = f"100 * inter >= {percent} * total"
     groups = components(first.filter(link))
 
-    # buckets whose members are in several components after the first stars
-    tagged = (members.join(groups, "node", "left").withColumn("group", F.coalesce("component", "node")).drop("component")
-              .join(first.select(F.col("a").alias("node"), F.col("b").alias("centre"),
-                                 (1 - F.col("inter") / F.col("total")).alias("far")), ["node", "centre"], "left")
-              .fillna(0.0, ["far"]))
-    tagged = materialise(tagged, "minhash-tagged")
+    # buckets whose members are in several components after the first stars, folded by centre
+    tagged = materialise(members.join(groups, "node", "left")
+                         .select("bucket", "centre", "node", "size", F.coalesce("component", "node").alias("group")),
+                         "minhash-tagged")
     mixed = tagged.groupBy("bucket").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi")
-    centre = groups.select(F.col("node").alias("centre"), F.col("component").alias("centre_group"))
-    rest = (tagged.join(mixed.select("bucket"), "bucket").join(centre, "centre", "left")
-            .withColumn("outside", F.col("group") != F.coalesce("centre_group", "centre")).drop("centre_group"))
+    rest = (tagged.join(mixed.select("bucket"), "bucket").select("centre", "node", "size", "group").distinct()
+            .join(groups.select(F.col("node").alias("centre"), "component"), "centre", "left")
+            .withColumn("outside", F.col("group") != F.coalesce("component", "centre")).drop("component"))
     rest = materialise(rest, "minhash-rest")
-    left = rest.filter("outside").select("bucket", "node", "size", "group", "far")
-    right = rest.filter("node <> centre").select("bucket", F.col("node").alias("b"), F.col("size").alias("other"),
-                                                 F.col("group").alias("b_group"), F.col("far").alias("b_far"),
-                                                 F.col("outside").alias("b_outside"))
-    slack = 1 - percent / 100 + 1e-9
-    more = (left.join(right, "bucket")
-            .filter(F.expr(fits) & (F.col("group") != F.col("b_group"))
-                    & (F.abs(F.col("far") - F.col("b_far")) <= slack)
-                    & (~F.col("b_outside") | (F.col("node") < F.col("b"))))
-            .select(F.col("node").alias("a"), "b").distinct())
-    second = materialise(confirm(more, texts, width, percent), "minhash-rest-links")
-    links = first.filter(link).select("a", "b").union(second.filter(link).select("a", "b"))
+    blocks = lambda when: F.ceil(F.greatest(F.count(when) / BLOCK_DOCS,
+                                            F.sum(F.when(when.isNotNull(), F.col("size"))) / BLOCK_SHINGLES)).cast("int")
+    sizes = materialise(rest.groupBy("centre").agg(blocks(F.when(F.col("outside"), 1)).alias("ls"),
+                                                   blocks(F.lit(1)).alias("rs")), "minhash-sizes")
+    part = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sized = rest.join(sizes, "centre").join(texts, "node")
+    body = ["centre", "node", "group", "text"]
+    asked = sized.filter("outside").select(*body, F.lit(True).alias("asks"), part("ls", 1).alias("lb"), every("rs").alias("rb"))
+    there = sized.select(*body, F.lit(False).alias("asks"), every("ls").alias("lb"), part("rs", 2).alias("rb"))
+    second = materialise(asked.unionByName(there).groupBy("centre", "lb", "rb")
+                         .applyInArrow(lambda t: cross_links(t, width, percent), "a long, b long"), "minhash-rest-links")
+    links = first.filter(link).select("a", "b").union(second)
     groups = components(links)
 
     of_class = classes.select("d1", "d2", "node").join(groups, "node", "left") \
