@@ -28,6 +28,8 @@ SEQ_LEN, END_ID = 2048, 1
 #: Pieces that share one ranking group, on average; words that a worker's token cache holds.
 GROUP_ROWS, CACHE_WORDS = 2000, 200_000
 
+OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
 
 def default_vocabulary() -> str:
     import public_tokenizers
@@ -58,11 +60,13 @@ class Encoder:
         self.cache = _Cache(self.encoding)
 
     def plain(self, text: str) -> bytes:
-        words = text.split(" ")
-        if len(words) > 1 and all(map(_solid, words)):
+        # every space must stand between two characters that are no white space
+        if not (text.startswith(" ") or text.endswith(" ") or "  " in text or " \n" in text or "\n " in text
+                or any(c in text for c in OTHER_SPACE)):
+            words = text.split(" ")
             if len(self.cache) > CACHE_WORDS:
                 self.cache.clear()
-            return self._ids(words[0]) + b"".join(map(self.cache.__getitem__, words[1:]))
+            return (self._ids(words[0]) if words[0] else b"") + b"".join(map(self.cache.__getitem__, words[1:]))
         return self._ids(text)
 
     def _ids(self, text: str) -> bytes:
@@ -80,11 +84,6 @@ class Encoder:
         return out
 
 
-def _solid(word: str) -> bool:
-    """Not empty and no white space at either end."""
-    return word != "" and not word[0].isspace() and not word[-1].isspace()
-
-
 class _Cache(dict):
     def __init__(self, encoding):
         self.encoding = encoding
