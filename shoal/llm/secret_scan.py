@@ -30,7 +30,7 @@ BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "der", "ssh", "jwt")
 
 #: Candidates for decoding: long runs of base64 characters that may be broken by line ends, dotted token parts, hex.
-RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}(?:(?:\r?\n|\.)[A-Za-z0-9+/_-]+)*={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:(?:\r?\n|\.)[A-Za-z0-9+/_-]+)*={0,2}")
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
 
 
