@@ -20,17 +20,19 @@ def histogram(df: DataFrame, col: str, bins: int = DEFAULT_BINS, digits: int = 4
 
     Bins are 1-based, the last bin is closed (the maximum goes into bin
     ``bins``), empty bins are kept with count 0. A column whose values are all
-    equal uses the range ``[v - 0.5, v + 0.5]`` as NumPy does.
+    equal uses the range ``[v - 0.5, v + 0.5]`` as NumPy does. NULL, NaN and
+    infinite values have no bin and do not move the bounds.
     """
     if bins < 1:
         raise ValueError("bins must be positive")
     spark = df.sparkSession
     v = F.col(col).cast("double")
+    df = df.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     bounds = df.agg(F.min(v).alias("mn"), F.max(v).alias("mx")).select(
         F.when(F.col("mn") == F.col("mx"), F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
         F.when(F.col("mn") == F.col("mx"), F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    counts = (df.where(v.isNotNull()).select(v.alias("_v")).crossJoin(F.broadcast(bounds))
+    counts = (df.select(v.alias("_v")).crossJoin(F.broadcast(bounds))
               .select(F.least(F.floor((F.col("_v") - F.col("lo")) / width).cast("int") + 1,
                               F.lit(bins)).alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
@@ -46,11 +48,12 @@ def zscore_filter(df: DataFrame, col: str, limit: float = 3.0) -> DataFrame:
     """Keep rows with ``|x - mean| / stddev_pop < limit``, then ``x > 0``.
 
     Both statistics come from the unfiltered data (one-row aggregate joined by
-    broadcast); rows with NULL ``x`` drop out like in the reference.
+    broadcast); rows with NULL ``x`` drop out like in the reference, and so does a constant
+    column, which has no z-score.
     """
     x = F.col(col)
     st = df.agg(F.avg(x).alias("_mu"), F.stddev_pop(x).alias("_sd"))
-    z = F.abs(x - F.col("_mu")) / F.col("_sd")
+    z = F.try_divide(F.abs(x - F.col("_mu")).cast("double"), F.col("_sd"))
     return df.crossJoin(F.broadcast(st)).where((z < limit) & (x > 0)).drop("_mu", "_sd")
 
 

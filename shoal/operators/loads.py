@@ -3,8 +3,9 @@
 A daily job that appends must be idempotent: running it twice for the same
 day may not duplicate rows. The batch is deduplicated on its key (latest row
 wins, a partial aggregate), missing measures are filled, rows whose key is
-already in the target are dropped with a ``left_anti`` join, and the rest is
-inserted *by name*.
+already in the target are dropped with a NULL-safe ``left_anti`` join (a NULL
+key is a key like any other), and the rest is inserted *by name*. A row for a
+key that an earlier batch loaded is not appended, also when it is newer.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.operators.relational import dedup_latest, fill_zero
+from shoal.session import checkpoint_root
 from shoal.sinks import align_to_table, insert_by_name
 
 
@@ -22,13 +24,14 @@ def idempotent_append(spark: SparkSession, batch: DataFrame, table: str, keys: S
                       order: Sequence[str], fill: Sequence[str] = (), range_col: str | None = None
                       ) -> DataFrame:
     """Dedup ``batch`` on ``keys`` (greatest ``order`` wins), fill ``fill`` with 0,
-    append the rows whose key is new to ``table``. Returns the appended rows
-    (lazily; they were computed once for the insert).
+    append the rows whose key is new to ``table``. Returns the appended rows, read
+    from the checkpoint that the insert read too, so they stay what was appended.
 
     ``range_col`` (a key column, typically the load date) bounds the target
     scan: the batch's min and max — one row — become literal filters that reach
     the target's Parquet scan (partition pruning, row-group skipping), so a
-    daily batch does not re-read the table's whole history.
+    daily batch does not re-read the table's whole history. Rows without a
+    ``range_col`` are compared with the target's rows without one.
     """
     latest = dedup_latest(batch, list(keys), list(order))
     if fill:
@@ -36,10 +39,12 @@ def idempotent_append(spark: SparkSession, batch: DataFrame, table: str, keys: S
     aligned = align_to_table(spark, latest, table, strict=False)
     existing = spark.table(table).select(*keys)
     if range_col is not None:
-        lo, hi = aligned.agg(F.min(range_col), F.max(range_col)).first()
-        if lo is None:
-            return aligned.limit(0)
-        existing = existing.where(F.col(range_col).between(F.lit(lo), F.lit(hi)))
-    new_rows = aligned.join(existing, list(keys), "left_anti")
+        lo, hi, empty = aligned.agg(F.min(range_col), F.max(range_col), F.count_if(F.col(range_col).isNull())).first()
+        inside = F.lit(False) if lo is None else F.col(range_col).between(F.lit(lo), F.lit(hi))
+        existing = existing.where(inside | F.col(range_col).isNull() if empty else inside)
+    existing = existing.select(*[F.col(k).alias(f"_e_{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_e_{i}")) for i, k in enumerate(keys)]
+    checkpoint_root(spark)
+    new_rows = aligned.join(existing, same, "left_anti").checkpoint()
     insert_by_name(spark, new_rows, table)
     return new_rows

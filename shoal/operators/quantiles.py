@@ -10,7 +10,9 @@ Here the k-th smallest value is found by narrowing ranges instead:
    bucket (a distributed ``groupBy`` on a ``Bucketizer`` index), keep only the
    bucket that holds the rank (its value range is pushed into the next scan);
    a bucket whose min equals its max answers every rank in it at once;
-3. once small, sort that remainder in one task and read the ranks.
+3. the last range, at most ``max_exact`` values, is sorted and the ranks read.
+
+There is one path: any column with more values than that is narrowed.
 
 Each round shrinks the range by about ``fanout``, so a 10^12-row column needs
 three or four scans. Only counts and split points reach the driver.
@@ -73,21 +75,26 @@ def _select_ranks(x: DataFrame, lo, hi, n: int, offset: int, ranks: list[int],
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], max_exact: int = 2_000_000,
-                    fanout: int = 1000, n: int | None = None) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], max_exact: int = 1000,
+                    fanout: int = 1000) -> list[float | None]:
     """Exact quantiles (linear interpolation, as NumPy / ``quantile_cont``)."""
     x = df.select(F.col(col).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    if n is None:
-        n = x.count()
+    low, high = F.col("x") == -math.inf, F.col("x") == math.inf
+    n, first, above = x.agg(F.count(F.lit(1)), F.count_if(low), F.count_if(high)).first()
     if n == 0:
         return [None for _ in probs]
     wanted = sorted({k for q in probs for k in (math.floor((n - 1) * q), math.ceil((n - 1) * q))})
-    vals = _select_ranks(x, None, None, n, 0, wanted, max_exact, fanout)
+    # infinite values hold the outermost ranks; the finite ones between are narrowed down
+    vals = {r: -math.inf if r < first else math.inf for r in wanted if r < first or r >= n - above}
+    inner = [r for r in wanted if r not in vals]
+    if inner:
+        finite = x.where(~low & ~high)
+        vals |= _select_ranks(finite, None, None, n - first - above, first, inner, max_exact, fanout)
     res = []
     for q in probs:
         h = (n - 1) * q
         a, b = vals[math.floor(h)], vals[math.ceil(h)]
-        res.append(a + (h - math.floor(h)) * (b - a))
+        res.append(a if a == b else a + (h - math.floor(h)) * (b - a))
     return res
 
 
@@ -121,7 +128,7 @@ def describe(df: DataFrame, col: str, digits: int = 4, **kw) -> DataFrame:
     c = F.col(col)
     s = df.agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                F.min(c).alias("min"), F.max(c).alias("max")).first()
-    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], n=s["count"], **kw)
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], **kw)
     r = lambda v: None if v is None else round(float(v), digits)
     row = (s["count"], r(s["mean"]), r(s["std"]), r(s["min"]), r(q[0]), r(q[1]), r(q[2]), r(s["max"]))
     return spark.createDataFrame(

@@ -13,26 +13,23 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Above this many literal entries a lookup is no longer "inline"; join it as a table.
-MAX_INLINE_LOOKUP = 100_000
-
 
 def inline_lookup(spark: SparkSession, mapping: dict, key: str, value: str,
                   key_type: str = "string", value_type: str = "string") -> DataFrame:
     """A literal (member, class) table; its size is the size of the mapping."""
-    if len(mapping) > MAX_INLINE_LOOKUP:
-        raise ValueError("mapping too large for an inline lookup")
     return spark.createDataFrame(list(mapping.items()), f"{key} {key_type}, {value} {value_type}")
 
 
 def classify(df: DataFrame, col: str, classes: dict[str, Iterable], out: str = "class") -> DataFrame:
     """Label rows by membership in named lists; unknown members get NULL.
 
-    The (member, class) table is literal and therefore bounded: broadcast.
+    The lists are literals of the projection (one hashed ``IN`` per class), so no
+    join is planned. A member of several lists gets the last one's label.
     """
-    pairs = {m: name for name, members in classes.items() for m in members}
-    lk = inline_lookup(df.sparkSession, pairs, "_member", out)
-    return df.join(F.broadcast(lk), F.col(col) == F.col("_member"), "left").drop("_member")
+    label = F.lit(None).cast("string")
+    for name, members in classes.items():
+        label = F.when(F.col(col).isin(list(members)), F.lit(name)).otherwise(label)
+    return df.withColumn(out, label)
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -56,12 +53,13 @@ def set_difference(actual: DataFrame, col: str, expected: DataFrame, expected_co
     """Members present on one side only: ``(value, side)``; zero rows means equal sets.
 
     Compares *sets* both ways (a chained ``!=`` lets equal-sized different sets pass).
+    NULL is a member like any other.
     """
-    a = actual.select(F.col(col).alias("value")).distinct().withColumn("_a", F.lit(True))
-    e = expected.select(F.col(expected_col).alias("value")).distinct().withColumn("_e", F.lit(True))
-    j = a.join(e, "value", "full")
+    a = actual.select(F.col(col).alias("_av")).distinct().withColumn("_a", F.lit(True))
+    e = expected.select(F.col(expected_col).alias("_ev")).distinct().withColumn("_e", F.lit(True))
+    j = a.join(e, F.col("_av").eqNullSafe(F.col("_ev")), "full")
     return j.where(F.col("_a").isNull() | F.col("_e").isNull()).select(
-        "value", F.when(F.col("_a").isNull(), F.lit("missing")).otherwise(F.lit("unexpected")).alias("side"))
+        F.coalesce("_av", "_ev").alias("value"), F.when(F.col("_a").isNull(), F.lit("missing")).otherwise(F.lit("unexpected")).alias("side"))
 
 
 def set_audit(actual: DataFrame, col: str, expected: Iterable[str]) -> DataFrame:
@@ -72,21 +70,35 @@ def set_audit(actual: DataFrame, col: str, expected: Iterable[str]) -> DataFrame
 
 
 class AuditError(AssertionError):
-    pass
+    """Value sets differ; ``differences`` is the whole (value, side) frame."""
+
+    def __init__(self, message: str, differences: DataFrame | None = None):
+        super().__init__(message)
+        self.differences = differences
+
+
+def raise_if_different(diff: DataFrame, what: str) -> None:
+    """Raise with the number of differing values, some of them as examples, and the frame of all."""
+    n = diff.count()
+    if n:
+        some = ", ".join(f"{r.side}:{r.value}" for r in diff.orderBy("side", "value").take(5))
+        raise AuditError(f"{what}: {n} values, e.g. {some}", diff)
 
 
 def assert_same_set(actual: DataFrame, col: str, expected: Iterable[str]) -> None:
     """Raise with the differing values when the value sets differ."""
-    diff = set_audit(actual, col, expected).orderBy("side", "value").limit(1000).collect()
-    if diff:
-        raise AuditError("value sets differ: " + ", ".join(f"{r.side}:{r.value}" for r in diff))
+    raise_if_different(set_audit(actual, col, expected), "value sets differ")
 
 
 def merge(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
           null_safe: bool = True) -> DataFrame:
     """Join on common key columns like a data-frame ``merge``: one output column
-    per key and, with ``null_safe``, missing keys match each other (``<=>``)."""
-    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
+    per key and, with ``null_safe``, missing keys match each other (``<=>``). Other
+    columns that both sides have get the suffixes ``_x`` and ``_y``."""
+    both = {c for c in left.columns if c in right.columns and c not in on}
+    left = left.select(*[F.col(c).alias(f"{c}_x") if c in both else F.col(c) for c in left.columns])
+    r = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c).alias(f"{c}_y") if c in both else F.col(c)
+                       for c in right.columns])
     cond = [(F.col(c).eqNullSafe(F.col(f"_r_{c}")) if null_safe else F.col(c) == F.col(f"_r_{c}")) for c in on]
     joined = left.join(r, cond, how)
     keys = [F.coalesce(F.col(c), F.col(f"_r_{c}")).alias(c) if how in ("right", "full", "outer") else F.col(c)

@@ -14,10 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Refuse to funnel more rows than this through a single writer task.
-SINGLE_FILE_MAX_ROWS = 5_000_000
-
-
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True, mode: str = "overwrite") -> None:
     """CSV with header and no index; values holding the separator are quoted."""
     (df.write.mode(mode).options(**TS_OPTIONS).option("header", header).option("sep", sep)
@@ -58,11 +54,9 @@ def flatten_nested_as_json(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """A small result as one CSV file; refuses results above ``max_rows``."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for a single-file write")
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """A result with one row per a fixed set of values (a report) as one CSV file. One task
+    writes it; results that grow with the data go through :func:`write_csv`."""
     write_csv(flatten_nested_as_json(df).coalesce(1), path)
 
 

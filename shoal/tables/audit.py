@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 
-from shoal.operators.relational import AuditError, set_audit
+from shoal.operators.relational import AuditError, raise_if_different, set_audit  # noqa: F401
 from shoal.tables.versioned import VersionedTable
 
 
@@ -45,7 +45,5 @@ def audit_value_set(table: VersionedTable, wap_id: str, col: str, expected: Iter
 
 def audit_and_publish(table: VersionedTable, wap_id: str, col: str, expected: Iterable[str]) -> int:
     """Raise :class:`AuditError` with the differing values, else publish."""
-    diff = audit_value_set(table, wap_id, col, list(expected)).orderBy("side", "value").limit(1000).collect()
-    if diff:
-        raise AuditError("audit failed: " + ", ".join(f"{r.side}:{r.value}" for r in diff))
+    raise_if_different(audit_value_set(table, wap_id, col, list(expected)), "audit failed")
     return table.cherry_pick(table.staged_snapshot(wap_id))

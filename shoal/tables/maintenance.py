@@ -66,7 +66,7 @@ def orphan_files(table, older_than_ms: int | None = None) -> DataFrame:
     live = sorted({d["dir"] for s in table.snapshots_meta() for d in s["dirs"]})
     live_df = spark.createDataFrame([(d,) for d in live], "dir string")  # one row per directory
     dead = spark.createDataFrame(table.dead_partitions(), "dir string, part string")  # per excluded partition
-    unreferenced = files.join(F.broadcast(live_df) if len(live) <= 100_000 else live_df, "dir", "left_anti")
+    unreferenced = files.join(live_df, "dir", "left_anti")
     excluded = files.join(dead, ["dir", "part"], "left_semi")
     orphans = unreferenced.unionByName(excluded)
     if older_than_ms is not None:

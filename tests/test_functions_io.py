@@ -120,3 +120,12 @@ def test_string_template_null_propagates(spark):
     df = spark.createDataFrame([("ann", 30), (None, 40)], "name string, age int")
     out = [r[0] for r in df.select(X.string_template("%s is %d", "name", "age")).collect()]
     assert out == ["ann is 30", None]
+
+
+def test_idempotent_append_loads_rows_without_a_key_or_range_value_once(spark, tmp):
+    spark.sql("DROP TABLE IF EXISTS fx_null")
+    spark.sql(f"CREATE TABLE fx_null (base string, day date, v double) USING parquet LOCATION '{tmp}/fx_null'")
+    batch = spark.createDataFrame([("EUR", None, 1.0, 1), (None, None, 2.0, 1)], "base string, day date, v double, seq int")
+    for n in (2, 0):
+        got = idempotent_append(spark, batch, "fx_null", ["base", "day"], ["seq"], range_col="day")
+        assert got.count() == n and spark.table("fx_null").count() == 2

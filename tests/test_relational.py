@@ -76,3 +76,19 @@ def test_merge_matches_missing_keys_and_keeps_one_key_column(spark):
                                                          (None, "b", "y")}
     strict = R.merge(left, right, ["k"], null_safe=False)
     assert strict.count() == 1
+
+
+def test_set_audit_counts_null_as_a_member(spark):
+    df = spark.createDataFrame([("a",), (None,)], "b string")
+    assert R.set_audit(df, "b", ["a", None]).count() == 0
+    with pytest.raises(R.AuditError) as e:
+        R.assert_same_set(df, "b", ["a"])
+    assert e.value.differences.count() == 1
+
+
+def test_merge_suffixes_columns_that_both_sides_have(spark):
+    left = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    right = spark.createDataFrame([(1, "x"), (3, "y")], "k int, v string")
+    out = R.merge(left, right, ["k"], how="full")
+    assert out.columns == ["k", "v_x", "v_y"]
+    assert {tuple(r) for r in out.collect()} == {(1, "a", "x"), (None, "b", None), (3, None, "y")}

