@@ -53,6 +53,46 @@ def join_full(spark, sf):
                                                                     "o_totalprice")
 
 
+@query("join_left_all", """
+SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN orders ON c_custkey = o_custkey
+""")
+def join_left_all(spark, sf):
+    cu, od = load(spark, sf, "customer"), load(spark, sf, "orders")
+    return cu.join(od, cu.c_custkey == od.o_custkey, "left").select("c_custkey", "c_name", "o_orderkey", "o_totalprice")
+
+
+@query("join_right", """
+SELECT o_orderkey, o_totalprice, c_custkey, c_name FROM orders RIGHT JOIN customer ON c_custkey = o_custkey
+""")
+def join_right(spark, sf):
+    cu, od = load(spark, sf, "customer"), load(spark, sf, "orders")
+    return od.join(cu, cu.c_custkey == od.o_custkey, "right").select("o_orderkey", "o_totalprice", "c_custkey", "c_name")
+
+
+def _merge_query(how: str):
+    """Data-frame style merge on a key that is NULL on both sides for some rows: NULL keys match each other."""
+    @query(f"merge_{how}", f"""
+WITH l AS (SELECT CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS k, count(*) AS n, min(c_name) AS first
+           FROM customer GROUP BY 1),
+     r AS (SELECT CASE WHEN o_custkey % 70 <> 0 THEN o_custkey END AS k, count(*) AS n, max(o_orderkey) AS last
+           FROM orders GROUP BY 1)
+SELECT {'l.k' if how in ('inner', 'left') else 'r.k' if how == 'right' else 'coalesce(l.k, r.k)'} AS k,
+       l.n AS n_x, first, r.n AS n_y, last FROM l {how} JOIN r ON l.k IS NOT DISTINCT FROM r.k
+""")
+    def merge(spark, sf):
+        key = lambda c, m: F.when(F.col(c) % m != 0, F.col(c)).alias("k")
+        left = load(spark, sf, "customer").groupBy(key("c_custkey", 50)).agg(
+            F.count(F.lit(1)).alias("n"), F.min("c_name").alias("first"))
+        right = load(spark, sf, "orders").groupBy(key("o_custkey", 70)).agg(
+            F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last"))
+        return R.merge(left, right, ["k"], how)
+    return merge
+
+
+for _how in ("inner", "left", "right", "full"):
+    _merge_query(_how)
+
+
 @query("lookup_join", """
 SELECT s_suppkey, s_name, n_name, r_name
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey

@@ -107,6 +107,18 @@ def distinct_values(spark, sf):
     return S.distinct_values(load(spark, sf, "part"), "p_brand")
 
 
+@query("count_distinct", """
+SELECT l_returnflag, count(DISTINCT l_suppkey) AS n_suppliers, count(DISTINCT l_partkey) AS n_parts
+FROM lineitem GROUP BY 1
+""")
+def count_distinct(spark, sf):
+    """Distinct members per group: pairs are made distinct first, so a hot group is spread over its members."""
+    li = load(spark, sf, "lineitem")
+    counted = [li.select("l_returnflag", c).distinct().groupBy("l_returnflag").agg(F.count(c).alias(n))
+               for c, n in (("l_suppkey", "n_suppliers"), ("l_partkey", "n_parts"))]
+    return counted[0].join(counted[1], "l_returnflag")
+
+
 @query("most_common", """
 SELECT o_orderpriority AS value, count(*) AS frequency FROM orders
 GROUP BY o_orderpriority ORDER BY frequency DESC, value LIMIT 1
