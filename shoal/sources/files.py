@@ -69,12 +69,13 @@ def read_csv_with_rejects(spark: SparkSession, path: str | list[str], schema: T.
            .option("quote", '"').option("escape", '"')
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .csv(path))
-    tagged = raw.withColumn("_bad", F.col(CORRUPT).isNotNull())
+    # the flag also depends on every column, so that whatever is selected later, each line is
+    # parsed whole (the second half can only be true if the first is)
+    data = [f"`{f.name}`" for f in schema.fields]
+    tagged = raw.withColumn("_bad", F.col(CORRUPT).isNotNull() | (F.xxhash64(*data, CORRUPT) != F.xxhash64(*data)))
     rejected = tagged.where("_bad").drop("_bad")
     good = tagged.where(~F.col("_bad")).drop("_bad", CORRUPT)
-    # count over the corrupt column *and* a data column: Spark refuses a scan of
-    # raw CSV that needs the corrupt-record column alone
-    n_bad = tagged.agg(F.count_if("_bad").alias("bad"), F.count(schema.fields[0].name)).first()["bad"]
+    n_bad = tagged.agg(F.count_if("_bad").alias("bad")).first()["bad"]
     if n_bad > max_rejects:
         raise ValueError(f"{n_bad} rejected rows exceed the threshold of {max_rejects}")
     return good, rejected

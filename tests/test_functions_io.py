@@ -129,3 +129,17 @@ def test_idempotent_append_loads_rows_without_a_key_or_range_value_once(spark, t
     for n in (2, 0):
         got = idempotent_append(spark, batch, "fx_null", ["base", "day"], ["seq"], range_col="day")
         assert got.count() == n and spark.table("fx_null").count() == 2
+
+
+def test_rejects_do_not_depend_on_what_is_selected(spark, tmp):
+    from pyspark.sql import types as T
+
+    from shoal.sources.files import read_csv_with_rejects
+    with open(f"{tmp}/r.csv", "w") as f:
+        f.write("a,b\n1,2\n2,x\n3,4\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
+    with pytest.raises(ValueError):
+        read_csv_with_rejects(spark, f"{tmp}/r.csv", schema, max_rejects=0)
+    good, bad = read_csv_with_rejects(spark, f"{tmp}/r.csv", schema, max_rejects=1)
+    assert good.count() == 2 and good.select("a").count() == 2 and [r["a"] for r in good.select("a").orderBy("a").collect()] == [1, 3]
+    assert bad.count() == 1 and bad.first()["_corrupt_record"] == "2,x"
