@@ -347,12 +347,13 @@ def train(texts: list[str]) -> Field:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """Train on about ``sample`` documents with a digit or an at-sign, picked by hashed text, in one task.
+    """Train on about ``sample`` distinct texts of less than 20,000 characters with a digit or an at-sign, picked by
+    hashed text, in one task. Copies share a hash, so they are folded before that task, however many there are.
     The model (a few thousand named weights) comes to the driver."""
     spark = docs.sparkSession
     bounded_batches(spark)
     some = docs.select("text").filter(F.col("text").rlike("@|[0-9]") & (F.length("text") < 20_000))
-    picked = hash_sample(some, "text", sample, some.count(), salt=5)
+    picked = hash_sample(some, "text", sample, some.count(), salt=5).distinct()
 
     def learn(table: pa.Table) -> pa.Table:
         texts = sorted(set(table.column("text").to_pylist()))

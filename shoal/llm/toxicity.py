@@ -6,7 +6,7 @@ weights at exactly zero, so the model is a short list of (bucket, weight) that e
 
 Edge cases: NULL, empty or letterless text: the bias alone. NULL label or NULL doc_id: not learned from; NULL doc_id is
 scored, held_out false. Several labels for a document: toxic if one says so. One class or no labels: the bias alone, near the
-smoothed share. Repeated rows are scored alike, extra columns ignored.
+smoothed share. Repeated rows are learned from once and scored alike, extra columns ignored.
 """
 
 from __future__ import annotations
@@ -100,7 +100,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray,
         k = np.flatnonzero(w)
         return pa.table({"at": pa.array(np.r_[-1, k]), "w": pa.array(np.r_[bias, w[k]])})
 
-    sampled = rows.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
+    # a repeated row is learned from once, so copies of one cannot fill the learning task
+    sampled = rows.select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text").distinct()
     got = (sampled.mapInArrow(extract, "doc_id long, toxic int, at array<int>, all int").groupBy("all").applyInArrow(learn, "at long, w double").toPandas())
     at, w = got["at"].to_numpy(np.int64), got["w"].to_numpy()
     return at[at >= 0], w[at >= 0], float(w[at < 0].sum())

@@ -373,3 +373,14 @@ def test_minhash_edges(docs, none):
     out = {(r["doc_id"], r["component_id"], r["kept"], r["n_shingles"]) for r in minhash.near_duplicates(docs, 2).collect()}
     assert {(1, 1, True, 11), (2, 1, False, 11), (3, 3, True, 0), (6, 6, True, 1), (9, 8, False, 20_000), (None, None, False, 4)} <= out
     assert minhash.near_duplicates(none, 2).count() == 0
+
+
+def test_copies_of_one_text_do_not_fill_the_learning_task(spark):
+    """Any number of copies in the hashed sample trains the same field as one."""
+    texts = [f"write to user{i}@mail.example or call +1 555 010 {1000 + i}" for i in range(12)]
+    once = spark.createDataFrame([(t,) for t in texts], "text string")
+    often = spark.createDataFrame([(t,) for t in texts + texts[:1] * 300], "text string")
+    assert pii.fit(often).weights == pii.fit(once).weights
+    rows = [(i, f"{'vile' if i % 3 == 0 else 'kind'} words number {i}", int(i % 3 == 0)) for i in range(30)]
+    one, many = (toxicity.fit(spark.createDataFrame(r, "doc_id long, text string, toxic int")) for r in (rows, rows + rows[:1] * 300))
+    assert (one[0] == many[0]).all() and (one[1] == many[1]).all() and one[2] == many[2]
