@@ -104,8 +104,10 @@ def islands(df: DataFrame, key: str, status: str, start: str, end: str, tiebreak
     keys = [key, status]
     pos = positioned(df, keys, [start, end, tiebreak])  # one shuffle and checkpoint for both prefixes
     p = prefix_on_positioned(pos, keys, end, "max", out="_prev_end")
-    flagged = p.withColumn("_new", F.when(F.col("_prev_end").isNull() | (F.col(start) > F.col("_prev_end")), 1)
-                           .otherwise(0))
+    # stored once: the second prefix reads it three times
+    flagged = p.select(key, status, start, end, "_mid", "_pid",
+                       F.when(F.col("_prev_end").isNull() | (F.col(start) > F.col("_prev_end")), 1)
+                       .otherwise(0).alias("_new")).checkpoint(eager=True)
     numbered = prefix_on_positioned(flagged, keys, "_new", "sum", out="island", inclusive=True)
     return (numbered.groupBy(key, status, "island")
             .agg(F.min(start).alias("start_date"), F.max(end).alias("end_date"),

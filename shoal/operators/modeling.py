@@ -30,11 +30,13 @@ def normalize(flat: DataFrame, entities: dict[str, Sequence[str]], fact_cols: Se
     """Split ``flat`` into ``{entity: table}`` and a fact table with ``<entity>_id`` columns.
 
     ``flat`` is read once per entity and once more for the fact table; pass a
-    :func:`materialize`-d frame when it is an expensive join."""
+    :func:`materialize`-d frame when it is an expensive join. A NULL in a natural
+    key is a value like any other: such rows get their entity's id too."""
     tables = {name: surrogate_keys(flat, cols, out=f"{name}_id") for name, cols in entities.items()}
     fact = flat
     for name, cols in entities.items():
-        fact = fact.join(tables[name], list(cols), "left")
+        entity = tables[name].select(f"{name}_id", *[F.col(c).alias(f"_{name}_{c}") for c in cols])
+        fact = fact.join(entity, [F.col(c).eqNullSafe(F.col(f"_{name}_{c}")) for c in cols], "left")
     keep = [*fact_cols, *[f"{n}_id" for n in entities]]
     return tables, fact.select(*keep)
 
