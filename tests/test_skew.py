@@ -45,3 +45,14 @@ def test_hot_join_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_clustered_write_spreads_a_hot_key(spark, tmp):
+    from shoal import sinks as W
+
+    df = spark.range(4000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"))
+    W.write_clustered(df, tmp + "/clustered", ["k"], n_files=8)
+    back = spark.read.parquet(tmp + "/clustered")
+    assert back.count() == 4000
+    hot = back.where("k = 7").groupBy(F.col("_metadata.file_path")).count().collect()
+    assert len(hot) >= 3
