@@ -1,16 +1,20 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-A text is its words (A-Z lowered) and one end token. The root of the tree is the add-one unigram
-distribution over the V training tokens and one unknown. Contexts of one and two preceding tokens are candidates
-if they make up a share of at least ``MIN_CONTEXT`` of all training tokens, so there are at most
-``1 / MIN_CONTEXT`` per length whatever the corpus. A candidate stays if its next-token distribution diverges
-enough from that of its longest kept suffix (Kullback-Leibler, and as total gain). A kept context
-lists its common next tokens with discounted probabilities; the mass left over is spread as its suffix spreads it over the
+A text is a begin, its words (A-Z lowered) and one end token. The root of the tree is the add-one unigram
+distribution over the V training tokens and one unknown. Contexts of one to ``DEPTH`` preceding tokens are
+candidates if they occur at least ``MIN_CONTEXT`` times, a number that does not follow the corpus, so more data
+admit more and longer contexts. A candidate stays if its next-token distribution diverges enough from that of its
+longest kept suffix (Kullback-Leibler, and as total gain). A kept context lists the next tokens seen at least
+``MIN_COUNT`` times in it with discounted probabilities; the mass left over is spread as its suffix spreads it over the
 others, so every state is a distribution. A token is scored in the longest kept suffix of what precedes it.
 
-Counts cover all training tokens. Words with a share of at least ``FREQUENT`` (at most ``1 / FREQUENT``)
-are held by every task; the others meet their counts in a join, one row per document and rare word, so no key is hot. Words are
-identified by 64-bit hashes.
+The tree is a Spark table of weights by n-gram: a kept context weighs the share it leaves to its suffix, a listed
+token what it gains over that. All kept suffixes of what precedes a token form a chain, so its log probability is that
+of the root and the weights of the n-grams that end before and at it; a text's score is a sum over its n-grams, met
+in a join. Words and n-grams with a share of at least ``FREQUENT`` (at most ``1 / FREQUENT`` a length) are held by
+every task and summed there, so no key of the join is hot; the others make one row per document and n-gram. A bitmap of fixed
+size keeps n-grams away from the shuffles that the table cannot hold; what it lets through in error falls out of
+the join. Words and n-grams are identified by 64-bit hashes.
 
 Edge cases: NULL or blank text: the end token alone. NULL doc_id: scored, not learned from, held_out false. Repeated rows
 count and are scored one by one. No training rows: every probability is 1, score 0. Extra columns are ignored.
@@ -19,6 +23,7 @@ count and are scored one by one. No training rows: every probability is 1, score
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +31,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.common import Texts, bounded_batches, chunks, crc_mod, lists, materialise
+from shoal.llm.common import MIX1, ODD, Texts, bounded_batches, chunks, crc_mod, lists, materialise, splitmix
 
-#: Share of training tokens from which a word is held by every task; from which a context is a candidate.
-FREQUENT, MIN_CONTEXT = 4e-6, 2e-4
-#: Share within a context from which a next token is listed, with at least so many occurrences; its discount.
-MIN_NEXT, MIN_COUNT, DISCOUNT = 2e-3, 4, 0.75
+#: Share of training tokens from which a word or an n-gram is held by every task.
+FREQUENT = 4e-6
+#: Words in the longest contexts; occurrences from which a context is a candidate.
+DEPTH, MIN_CONTEXT = 3, 64
+#: Occurrences from which a next token is listed; its discount.
+MIN_COUNT, DISCOUNT = 4, 0.75
 #: Divergence in nats per token, and total gain in nats, from which a context stays.
 MIN_DIVERGENCE, MIN_GAIN = 0.02, 30.0
 #: Words that a task gathers before it counts them.
 GATHER = 1 << 21
-#: Bits of a next token's and of a context token's number in a packed key.
-NEXT_BITS, CONTEXT_BITS = 20, 14
+#: Bits of the bitmap over keys: 4 MB whatever the corpus.
+BITMAP_BITS = 25
+#: Bits of a held word's number in a packed context, for inspection.
+CONTEXT_BITS = 20
+#: Tokens that are no words, and the key of the empty context.
+BEGIN, END, EMPTY = np.uint64(0xB5297A4D3F84D5A1), np.uint64(0x68E31DA4C2B7596F), np.uint64(0)
+
+
+def signed(key: np.uint64) -> int:
+    return int(np.array([key], np.uint64).view(np.int64)[0])
 
 
 def word_hashes(t: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -46,19 +61,48 @@ def word_hashes(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     return (t.hashes(t.lowered(), starts, ends) if len(starts) else np.zeros(0, np.uint64)), doc
 
 
-def _gathered(batches, keys_of):
-    """Rows (key, n): counts of the keys that ``keys_of`` finds in each chunk, gathered over many chunks."""
+def extend(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    """Key of the n-gram of a context and the token after it."""
+    with np.errstate(over="ignore"):
+        return splitmix(context * MIX1 + token * ODD)
+
+
+def sequence(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, document, place in it) of a chunk's documents, begin and end included."""
+    h, doc = word_hashes(t)
+    size = np.bincount(doc, minlength=t.n) + 2
+    first = np.cumsum(size) - size
+    own = np.repeat(np.arange(t.n), size)
+    place = np.arange(len(own)) - first[own]
+    token = np.empty(len(own), np.uint64)
+    inner = (place > 0) & (place < size[own] - 1)
+    token[inner] = h
+    token[first], token[first + size - 1] = BEGIN, END
+    return token, own, place
+
+
+def grams(token: np.ndarray, longest: int):
+    """Keys of the n-grams that end at each token, by length; those of length d are n-grams from place d - 1 on."""
+    key = extend(np.zeros(len(token), np.uint64), token)
+    yield key
+    for _ in range(1, longest):
+        key = extend(np.r_[EMPTY, key[:-1]], token)
+        yield key
+
+
+def _gathered(batches, found, names):
+    """Rows (``names``, n): counts of the rows that ``found`` gives for each chunk as (key, columns), gathered over many chunks."""
     held, n = [], 0
 
     def flush():
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
+        keys, *cols = (np.concatenate(x) for x in zip(*held))
+        _, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([*(pa.array(c[first].view(np.int64)) for c in cols), pa.array(counts)], [*names, "n"])
 
     for b in batches:
         for t in chunks(b.column("text")):
-            keys = keys_of(t)
-            held.append(keys)
-            n += len(keys)
+            held.append(found(t))
+            n += len(held[-1][0])
             if n >= GATHER:
                 yield flush()
                 held, n = [], 0
@@ -66,198 +110,275 @@ def _gathered(batches, keys_of):
         yield flush()
 
 
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """A bit for each value of the column ``key``, by its low bits; the driver gets the words that are not zero."""
+    slot = F.col("key").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    bit = F.expr("shiftleft(1L, cast(key & 63L AS INT))")
+    got = (keys.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))).toPandas()
+    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Has each key a bit? True for every key that was given one."""
+    slot = keys & np.uint64((1 << BITMAP_BITS) - 1)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(is it there, where) of each wanted key among sorted ones."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[at] == wanted, at
+
+
+def _sorted(table: DataFrame, *cols: str) -> tuple[np.ndarray, ...]:
+    """Key and columns of a small table, by unsigned key."""
+    got = table.select("key", *cols).toPandas()
+    key = got["key"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(key)
+    return key[order], *(got[c].to_numpy()[order] for c in cols)
+
+
 @dataclass
 class Model:
     total: int  # training tokens
     distinct: int
     docs: int
+    depth: int
     words: np.ndarray  # hashes of the frequent words, sorted; their number is their place
     log_count: np.ndarray  # log10(count + 1) of each, then of the end token
-    context: np.ndarray  # number of a frequent word as context, 0 if it is none; the last is a text's begin
-    nodes: tuple[np.ndarray, np.ndarray]  # sorted keys (older, newer) of kept contexts; log10 of the mass left over
-    lists: tuple[np.ndarray, np.ndarray]  # sorted keys (older, newer, next); log10 probability
+    contexts: DataFrame  # (node, before, last, suffix, size, weight) of kept contexts
+    tree: DataFrame  # (key, n, weight) of n-grams
 
     @property
     def log_total(self) -> float:
         return float(np.log10(self.total + self.distinct + 1))
 
-
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(is it there, where) of each wanted key among sorted ones."""
-    if not len(keys):
-        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return keys[at] == wanted, at
-
-
-def sequence(t: Texts, words: np.ndarray, context: np.ndarray):
-    """Tokens of a chunk's documents, ends included: (hash, document, number or -1, older context, newer context). Context 0
-    is none; the end is the number after the last word, a text's begin the last entry of ``context``."""
-    h, doc = word_hashes(t)
-    size = np.bincount(doc, minlength=t.n) + 1
-    first = np.cumsum(size) - size
-    own = np.repeat(np.arange(t.n), size)
-    ends = first + size - 1
-    is_end = np.zeros(len(own), bool)
-    is_end[ends] = True
-    hashes = np.zeros(len(own), np.uint64)
-    hashes[~is_end] = h
-    number = np.full(len(own), -1)
-    there, at = _find(words, h)
-    number[~is_end] = np.where(there, at, -1)
-    number[ends] = len(words)
-    as_context = np.where((number >= 0) & ~is_end, context[np.clip(number, 0, len(context) - 1)], 0)
-    newer = np.r_[0, as_context[:-1]]
-    newer[first] = context[-1]
-    older = np.r_[0, newer[:-1]]
-    older[first] = 0
-    return hashes, own, number, older, newer
-
-
-def fit(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """Learn from (doc_id, text) rows: two passes over the texts; the driver gets the bounded lists of frequent
-    words, candidate contexts and their common next tokens. Returns the model and the table of all word counts."""
-    bounded_batches(docs.sparkSession)
+    @cached_property
+    def nodes(self) -> tuple[np.ndarray, np.ndarray]:
+        """For inspection of small trees, never for scoring: packed numbers, plus one, (older, newer) of the kept contexts of up to
+        two frequent words (the last number is a text's begin); log10 of the mass left over."""
+        tokens = np.r_[self.words, BEGIN]
+        order = np.argsort(tokens)
+        single = extend(np.zeros(len(tokens), np.uint64), tokens)
+        by_key = np.argsort(single)
+        got = self.contexts.select("before", "last", "weight").toPandas()
+        before, last = (got[c].to_numpy(np.int64).view(np.uint64) for c in ("before", "last"))
+        new, at = _find(tokens[order], last)
+        old, to = _find(single[by_key], before)
+        keep = new & (old | (before == EMPTY))
+        packed = np.where(old, by_key[to] + 1, 0) << CONTEXT_BITS | order[at] + 1
+        return packed[keep], got["weight"].to_numpy()[keep]
+
+    @cached_property
+    def weights(self) -> tuple[np.ndarray, np.ndarray]:
+        """For inspection of small trees: sorted keys and weights."""
+        return _sorted(self.tree, "weight")
+
+    @cached_property
+    def left_over(self) -> tuple[np.ndarray, np.ndarray]:
+        """For inspection of small trees: the part of the weights that an n-gram has as a context."""
+        return _sorted(self.contexts.withColumnRenamed("node", "key"), "weight")
+
+
+def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
+    """Learn from (doc_id, text) rows: one pass over the texts for the words and one for each length of context up to ``depth``.
+    The driver gets the frequent words and a bitmap, both of bounded size. Returns the model and the table of all word counts."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select("text")
 
+    def words_of(t: Texts):
+        h = word_hashes(t)[0]
+        return h, h
+
     def unigrams(batches):
-        yield from _gathered(batches, lambda t: word_hashes(t)[0])
+        yield from _gathered(batches, words_of, ["key"])
 
     counts = materialise(docs.mapInArrow(unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
     row = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
     n_docs = docs.count()
     total, distinct = (row["n"] or 0) + n_docs, row["v"] + (n_docs > 0)
-    got = counts.filter(F.col("n") >= F.lit(FREQUENT * total)).toPandas()
-    words = got["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    words, count = words[order], got["n"].to_numpy(np.int64)[order]
-    count = np.r_[count, n_docs]
-    chosen = np.flatnonzero(count[:-1] >= MIN_CONTEXT * total)
-    context = np.zeros(len(count), np.int64)
-    context[chosen] = np.arange(1, len(chosen) + 1)
-    context[-1] = len(chosen) + 1
-    rare = len(count)  # the number that stands for every other next token
-
-    def following(t: Texts) -> np.ndarray:
-        _, _, number, older, newer = sequence(t, words, context)
-        number = np.where(number < 0, rare, number)
-        one, two = newer > 0, (older > 0) & (newer > 0)
-        return np.concatenate([newer[one] << NEXT_BITS | number[one],
-                               (older[two] << CONTEXT_BITS | newer[two]) << NEXT_BITS | number[two]]).astype(np.int64)
-
-    def grams(batches):
-        yield from _gathered(batches, following)
-
-    pairs = materialise(docs.mapInArrow(grams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-                        .withColumn("node", F.shiftright("key", NEXT_BITS)), "lm-contexts")
-    nodes = pairs.groupBy("node").agg(F.sum("n").alias("size")).filter(F.col("size") >= F.lit(MIN_CONTEXT * total))
-    mask = F.col("key").bitwiseAND(F.lit((1 << NEXT_BITS) - 1))
-    listed = (pairs.join(nodes, "node")
-              .filter((mask != rare) & (F.col("n") >= MIN_COUNT) & (F.col("n") >= F.col("size") * MIN_NEXT))
-              .select("key", "n", "size").toPandas())
-    listed = listed.sort_values("key")
-    key, n, size = (listed[c].to_numpy(np.int64) for c in ("key", "n", "size"))
-    model = Model(total, distinct, n_docs, words, np.log10(count + 1.0), context,
-                  (np.zeros(0, np.int64), np.zeros(0)), (np.zeros(0, np.int64), np.zeros(0)))
-    _grow(model, key, n, size)
-    return model, counts
-
-
-def _grow(model: Model, key: np.ndarray, n: np.ndarray, size: np.ndarray) -> None:
-    """Keep the candidate contexts that pass the divergence tests, short ones first."""
-    node = key >> NEXT_BITS
-    for depth in (1, 2):
-        starts = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, int)
-        keep_nodes, left_over, keep_keys, keep_p = [], [], [], []
-        for a, b in zip(starts, np.r_[starts[1:], len(node)]):
-            if (node[a] >> CONTEXT_BITS > 0) != (depth == 2):
-                continue
-            nxt = key[a:b] & ((1 << NEXT_BITS) - 1)
-            p = (n[a:b] - DISCOUNT) / size[a]
-            parent = 10.0 ** _suffix(model, node[a] & ((1 << CONTEXT_BITS) - 1) if depth == 2 else 0, nxt)
-            free, parent_free = 1 - p.sum(), max(1e-12, 1 - parent.sum())
-            gain = (n[a:b] * np.log(p / parent)).sum() + (size[a] - n[a:b].sum()) * np.log(free / parent_free)
-            if gain >= MIN_GAIN and gain / size[a] >= MIN_DIVERGENCE:
-                keep_nodes.append(node[a])
-                left_over.append(np.log10(free / parent_free))
-                keep_keys.append(key[a:b])
-                keep_p.append(np.log10(p))
-        if keep_nodes:
-            model.nodes = (np.r_[model.nodes[0], keep_nodes], np.r_[model.nodes[1], left_over])
-            model.lists = (np.concatenate([model.lists[0], *keep_keys]), np.concatenate([model.lists[1], *keep_p]))
-
-
-def _suffix(model: Model, newer: int, nxt: np.ndarray) -> np.ndarray:
-    """log10 probability of listed next tokens in the one-token context ``newer`` (0: the root)."""
-    out = model.log_count[nxt] - model.log_total
-    there, at = _find(model.nodes[0], np.array([newer]))
-    if newer and there[0]:
-        found, where = _find(model.lists[0], newer << NEXT_BITS | nxt)
-        out = np.where(found, model.lists[1][where] if len(model.lists[1]) else 0.0, out + model.nodes[1][at[0]])
-    return out
+    words, count = _sorted(counts.filter(F.col("n") >= F.lit(FREQUENT * total)), "n")
+    log_count = np.log10(np.r_[count.astype(np.int64), n_docs] + 1.0)
+
+    def one(token: np.uint64) -> DataFrame:
+        return spark.createDataFrame([(signed(token), n_docs)], "key long, n long")
+
+    # state: log10 probability of a next token after a candidate, kept or not; at first that of the root
+    state = (counts.union(one(END))
+             .select(F.lit(0).cast("long").alias("node"), F.col("key").alias("nxt"),
+                     (F.log10(F.col("n") + 1.0) - F.lit(float(np.log10(total + distinct + 1)))).alias("lp")))
+    grown = counts.union(one(BEGIN)).select(F.lit(0).cast("long").alias("node"), F.col("key").alias("nxt"), "n",
+                                            F.lit(0).cast("long").alias("suffix"))
+    kept_nodes, kept_grams = [], []
+    for length in range(1, depth + 1):
+        candidates = materialise(_named(grown.filter(F.col("n") >= MIN_CONTEXT), length), f"lm-candidates-{length}")
+        if candidates.isEmpty():
+            break
+        bits = spark.sparkContext.broadcast(bitmap(candidates.select(F.col("node").alias("key"))))
+        pairs = docs.mapInArrow(_following(length, bits), "node long, nxt long, n long")
+        pairs = materialise(pairs.groupBy("node", "nxt").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
+                            .join(candidates.select("node", "suffix", "size"), "node"), f"lm-pairs-{length}")
+        bits.destroy()
+        # what follows a candidate at least MIN_COUNT times follows its suffix as often, so each row has its parent's
+        rows = (pairs.join(state.select(F.col("node").alias("suffix"), "nxt", F.col("lp").alias("parent")), ["suffix", "nxt"])
+                .withColumn("p", (F.col("n") - F.lit(DISCOUNT)) / F.col("size")))
+        rows = materialise(rows, f"lm-rows-{length}")
+        free, parent_free = 1 - F.col("p"), F.greatest(F.lit(1e-12), 1 - F.col("parent"))
+        tested = (rows.groupBy("node", "size").agg(
+            F.sum("p").alias("p"), F.sum(F.pow(F.lit(10.0), "parent")).alias("parent"), F.sum("n").alias("n"),
+            F.sum(F.col("n") * (F.ln("p") - F.col("parent") * F.lit(float(np.log(10))))).alias("gain"))
+            .withColumn("gain", F.col("gain") + (F.col("size") - F.col("n")) * F.ln(free / parent_free))
+            .filter((F.col("gain") >= MIN_GAIN) & (F.col("gain") >= F.col("size") * MIN_DIVERGENCE))
+            .select("node", F.log10(free / parent_free).alias("weight")))
+        kept = materialise(candidates.join(tested, "node"), f"lm-kept-{length}")
+        rows = rows.join(kept.select("node", "weight"), "node", "left")
+        stays = F.col("weight").isNotNull()
+        kept_nodes.append(kept)
+        kept_grams.append(materialise(_keyed(rows.filter(stays).select(
+            "node", "nxt", "n", (F.log10("p") - F.col("parent") - F.col("weight")).alias("weight"))), f"lm-grams-{length}"))
+        state = rows.select("node", "nxt", F.when(stays, F.log10("p")).otherwise(F.col("parent")).alias("lp"))
+        # a context one longer is a candidate and the token after it
+        grown = pairs.filter(F.col("nxt") != F.lit(signed(END))).select("node", "nxt", "n", "suffix")
+
+    contexts = spark.createDataFrame([], "node long, before long, last long, suffix long, size long, weight double")
+    tree = spark.createDataFrame([], "key long, n long, weight double")
+    for kept, listed in zip(kept_nodes, kept_grams):
+        contexts = contexts.unionByName(kept)
+        tree = tree.unionByName(listed).unionByName(kept.select(F.col("node").alias("key"), F.col("size").alias("n"), "weight"))
+    tree = materialise(tree.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")), "lm-tree")
+    return Model(total, distinct, n_docs, depth, words, log_count, contexts, tree), counts
+
+
+def _following(length: int, bits):
+    """(context, token after it, n) for the contexts of ``length`` tokens that ``bits`` lets through."""
+    def found(t: Texts):
+        token, _, place = sequence(t)
+        *_, context, whole = grams(token, length + 1)
+        context = np.r_[EMPTY, context[:-1]]
+        i = np.flatnonzero((place >= length) & marked(bits.value, context))
+        return whole[i], context[i], token[i]
+
+    def run(batches):
+        yield from _gathered(batches, found, ["node", "nxt"])
+
+    return run
+
+
+def _keyed(rows: DataFrame) -> DataFrame:
+    """(node, nxt, n, weight) -> (key, n, weight) of the n-gram of both."""
+    def run(batches):
+        for b in batches:
+            node, nxt = (b.column(c).to_numpy().view(np.uint64) for c in ("node", "nxt"))
+            yield pa.RecordBatch.from_arrays([pa.array(extend(node, nxt).view(np.int64)), b.column("n"), b.column("weight")],
+                                             ["key", "n", "weight"])
+
+    return rows.mapInArrow(run, "key long, n long, weight double")
+
+
+def _named(rows: DataFrame, length: int) -> DataFrame:
+    """(node, nxt, n, suffix) of a context and the token after it -> that context one longer: (node, before, last, suffix, size)."""
+    def run(batches):
+        for b in batches:
+            before, last, suffix = (b.column(c).to_numpy().view(np.uint64) for c in ("node", "nxt", "suffix"))
+            shorter = extend(suffix, last) if length > 1 else np.zeros(len(last), np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (extend(before, last), before, last, shorter)]
+                                             + [b.column("n")], ["node", "before", "last", "suffix", "size"])
+
+    return rows.mapInArrow(run, "node long, before long, last long, suffix long, size long")
 
 
 def tree_part(model: Model, number: np.ndarray, older: np.ndarray, newer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log10 probability or of the mass left over, must the root's be added) of each token, from the longest kept suffix down."""
-    out, open_ = np.zeros(len(number)), np.ones(len(number), bool)
-    for state, usable in ((older << CONTEXT_BITS | newer, (older > 0) & (newer > 0)), (newer, newer > 0)):
-        i = np.flatnonzero(open_ & usable)
-        there, at = _find(model.nodes[0], state[i])
-        i, at = i[there], at[there]
-        listed, where = _find(model.lists[0], state[i] << NEXT_BITS | np.where(number[i] < 0, len(model.context), number[i]))
-        out[i[listed]] += model.lists[1][where[listed]]
-        open_[i[listed]] = False
-        out[i[~listed]] += model.nodes[1][at[~listed]]
-    return out, open_
+    """(log10 of the tree's part, must the root's be added: always) of tokens after contexts of up to two frequent words, numbered as
+    in ``Model.nodes``. For inspection: :func:`score` meets the same weights in a join."""
+    tokens = np.r_[EMPTY, model.words, BEGIN]
+    nxt = np.r_[model.words, END, EMPTY][number]
+    out = np.zeros(len(number))
+    empty = np.zeros(len(number), np.uint64)
+    one, two = extend(empty, tokens[newer]), extend(extend(empty, tokens[older]), tokens[newer])
+    for context, usable in ((one, newer > 0), (two, (older > 0) & (newer > 0))):
+        whole = extend(context, nxt)
+        # the n-gram with the token weighs as a listed token, and as a context of what follows, which is not this token's
+        for (keys, weight), key, sign in ((model.left_over, context, 1), (model.weights, whole, 1), (model.left_over, whole, -1)):
+            there, at = _find(keys, key)
+            i = there & usable
+            out[i] += sign * weight[at[i]]
+    return out, np.ones(len(number), bool)
+
+
+def _per_document(keys: np.ndarray, doc: np.ndarray, n: int):
+    """(document, key, times): each key of each document once."""
+    order = np.lexsort((keys, doc))
+    keys, doc = keys[order], doc[order]
+    new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])]) if len(keys) else np.zeros(0, int)
+    return doc[new], keys[new], np.diff(np.r_[new, len(keys)])
 
 
 def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` with n_tokens, n_known, train_tokens, base_score and score, for every row of ``docs`` (text)."""
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     m, counts = model
     types = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
     carry = list(carry)
-    names = ["rid", *carry, "n_tokens", "known", "base", "tree", "roots", "h", "n", "r"]
+    names = ["rid", *carry, "n_tokens", "known", "base", "tree", "h", "n"]
+    frequent = F.col("n") >= F.lit(FREQUENT * m.total)
+    held = spark.sparkContext.broadcast((m.words, m.log_count, *_sorted(m.tree.filter(frequent), "weight"),
+                                         bitmap(m.tree.filter(~frequent))))
+    learned, depth = m.docs > 0, m.depth
 
     def run(batches):
+        words, log_count, often, weight, bits = held.value
         row = TaskContext.get().partitionId() << 40
         for b in batches:
             for t in chunks(b.column("text")):
-                h, own, number, older, newer = sequence(t, m.words, m.context)
-                part, root = tree_part(m, number, older, newer)
-                common = number >= 0
-                known = common if m.docs else np.zeros(len(own), bool)
-                root_log = np.where(common, m.log_count[np.clip(number, 0, len(m.log_count) - 1)], 0.0)
-                # rare words: one row per document and word, with all occurrences and those that fell to the root
-                i = np.flatnonzero(~common)
-                order = i[np.lexsort((h[i], own[i]))]
-                hs, ds = h[order], own[order]
-                new = np.flatnonzero(np.r_[True, (hs[1:] != hs[:-1]) | (ds[1:] != ds[:-1])]) if len(order) else np.zeros(0, int)
-                times = np.diff(np.r_[new, len(order)])
-                falls = np.add.reduceat(root[order].astype(np.int64), new) if len(new) else np.zeros(0, np.int64)
-                held = np.bincount(ds[new], minlength=t.n)
-                sums = [np.bincount(own, x, t.n) for x in (root_log, part + np.where(root, root_log, 0.0), root.astype(float))]
+                token, own, place = sequence(t)
+                there, at = _find(words, token)
+                is_end, is_begin = token == END, place == 0
+                common = there | is_end
+                base = np.where(is_end, log_count[-1], np.where(there, log_count[at], 0.0))
+                i = np.flatnonzero(~common & ~is_begin)
+                open_keys, open_docs = [token[i]], [own[i]]
+                tree = np.zeros(t.n)
+                for length, key in enumerate(grams(token, depth + 1), 1):
+                    whole = np.flatnonzero(place >= length - 1)
+                    key, doc = key[whole], own[whole]
+                    there, at = _find(often, key)
+                    if there.any():
+                        tree += np.bincount(doc[there], weight[at[there]], t.n)
+                    left = np.flatnonzero(~there & marked(bits, key))
+                    open_keys.append(key[left])
+                    open_docs.append(doc[left])
+                # one row per document and rare word or n-gram, with all occurrences
+                doc, keys, times = _per_document(np.concatenate(open_keys), np.concatenate(open_docs), t.n)
+                each = np.bincount(doc, minlength=t.n)
+                size = np.bincount(own, minlength=t.n) - 1
+                known = np.bincount(own, common & learned, t.n).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + t.n)), *(b.column(c).slice(t.first, t.n) for c in carry),
-                     pa.array(np.bincount(own, minlength=t.n)), pa.array(np.bincount(own, known, t.n).astype(np.int64)),
-                     *map(pa.array, sums), lists(hs[new].view(np.int64), held), lists(times, held), lists(falls, held)], names)
+                     pa.array(size), pa.array(known), pa.array(np.bincount(own, base, t.n)), pa.array(tree),
+                     lists(keys.view(np.int64), each), lists(times, each)], names)
                 row += t.n
 
     rows = materialise(docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(
-        run, f"rid long, {types}, n_tokens long, known long, base double, tree double, roots double, "
-             "h array<long>, n array<long>, r array<long>"), "lm-rows")
-    rare = (rows.select("rid", F.explode(F.arrays_zip("h", "n", "r")).alias("x"))
-            .select("rid", F.col("x.h").alias("key"), F.col("x.n").alias("times"), F.col("x.r").alias("falls")))
-    met = (rare.join(counts, "key").groupBy("rid")
-           .agg(F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("more_base"),
-                F.sum(F.col("falls") * F.log10(F.col("n") + 1.0)).alias("more_tree"), F.sum("times").alias("more_known")))
+        run, f"rid long, {types}, n_tokens long, known long, base double, tree double, h array<long>, n array<long>"), "lm-rows")
+    rare = (rows.select("rid", F.explode(F.arrays_zip("h", "n")).alias("x"))
+            .select("rid", F.col("x.h").alias("key"), F.col("x.n").alias("times")))
+    table = (counts.filter(~frequent).select("key", F.log10(F.col("n") + 1.0).alias("root"), F.lit(0.0).alias("weight"), F.lit(1).alias("word"))
+             .union(m.tree.filter(~frequent).select("key", F.lit(0.0), "weight", F.lit(0))))
+    met = (rare.join(table, "key").groupBy("rid")
+           .agg(F.sum(F.col("times") * F.col("root")).alias("more_base"), F.sum(F.col("times") * F.col("weight")).alias("more_tree"),
+                F.sum(F.col("times") * F.col("word")).alias("more_known")))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    log_total = F.lit(m.log_total)
-    return (rows.drop("h", "n", "r").join(met, "rid", "left")
+    base = F.col("base") + zero("more_base") - F.col("n_tokens") * F.lit(m.log_total)
+    return (rows.drop("h", "n").join(met, "rid", "left")
             .select(*carry, "n_tokens", (F.col("known") + zero("more_known")).alias("n_known"),
-                    F.lit(m.total).cast("long").alias("train_tokens"),
-                    (F.col("base") + zero("more_base") - F.col("n_tokens") * log_total).alias("base_score"),
-                    (F.col("tree") + zero("more_tree") - F.col("roots") * log_total).alias("score")))
+                    F.lit(m.total).cast("long").alias("train_tokens"), base.alias("base_score"),
+                    (base + F.col("tree") + zero("more_tree")).alias("score")))
 
 
 def split(docs: DataFrame) -> DataFrame:
