@@ -1,9 +1,11 @@
 """Secret scan with structural confirmation.
 
-Base spans come from three patterns (assignments, access keys, long hex). On top, runs of base64, base64url or
+Base spans come from three patterns (assignments, access keys, long hex). On top, base64, base64url or
 hex characters are decoded and reported only if the bytes have the structure of a secret: nested DER lengths
-that fill the value exactly, an SSH key blob or private-key container whose length-prefixed fields fill it, or the
-header of a signed token with its algorithm. Random base64 or hex does not parse.
+that fill the value exactly, an SSH key blob, certificate or private-key container of known fields, or the
+header of a signed token with its algorithm. Random base64 or hex does not parse. Every start of a base64 piece is tried (a line,
+or what follows armour or another character), over line ends, up to where the structure's own lengths end: what stands on
+the lines around it plays no part.
 
 Edge cases: NULL or empty text: no span. Any number of repeated rows: each is scanned. Extra columns
 are ignored. Texts are scanned whole; every pattern is linear in the text.
@@ -29,8 +31,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "der", "ssh", "jwt")
 
-#: Candidates for decoding: long runs of base64 characters that may be broken by line ends, dotted token parts, hex.
-RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:(?:\r?\n|\.)[A-Za-z0-9+/_-]+)*={0,2}")
+#: Where a structure can start: a DER sequence, a length below 2^8 of a blob's name, a container's magic; a token's header.
+START = re.compile(r"(?:(?<![A-Za-z0-9+/_-])|(?<=-----))(?:M[A-P]|AAAA|b3BlbnNzaC1rZXktdjE)")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])ey")
+PIECE, BREAK, PAD = re.compile(r"[A-Za-z0-9+/_-]+"), re.compile(r"\r?\n(?=[A-Za-z0-9+/_])"), re.compile(r"={0,2}")
+URL_PIECE, URL_BREAK = re.compile(r"[A-Za-z0-9_-]+"), re.compile(r"\r?\n(?=[A-Za-z0-9_-])")
+#: Characters of the signatures whose size follows from the algorithm.
+SIGNATURE = {"HS256": 43, "HS384": 64, "HS512": 86, "ES256": 86, "ES384": 128, "ES512": 176, "EdDSA": 86}
+#: Length-prefixed fields (s) after the name of an SSH key, and what a certificate adds to them (8 and 4 bytes: Q, I).
+SSH_FIELDS = {"ssh-rsa": "ss", "ssh-dss": "ssss", "ssh-ed25519": "s", "ssh-ed448": "s", "ecdsa-sha2-nistp256": "ss",
+              "ecdsa-sha2-nistp384": "ss", "ecdsa-sha2-nistp521": "ss", "sk-ssh-ed25519": "ss", "sk-ecdsa-sha2-nistp256": "sss"}
+CERTIFICATE = "QIssQQsssss"
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
 
 
@@ -109,15 +120,13 @@ def is_ssh(raw: bytes) -> bool:
     return bool(got) and len(got) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", got[0]) is not None
 
 
-def is_token(parts: list[str]) -> bool:
-    """header.payload.signature with a JSON header naming an algorithm and a JSON payload."""
-    if len(parts) != 3 or not parts[0].startswith("ey"):
-        return False
+def token_header(parts: list[str]) -> dict | None:
+    """The JSON header, naming an algorithm, of header.payload with a JSON payload."""
     try:
-        head, body = (json.loads(decoded(p)) for p in parts[:2])
+        head, body = (json.loads(decoded(p)) for p in parts)
     except (ValueError, TypeError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
+        return None
+    return head if isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict) else None
 
 
 def decoded(run: str) -> bytes | None:
@@ -130,24 +139,162 @@ def decoded(run: str) -> bytes | None:
         return None
 
 
+class Reader:
+    """Base64 characters of a text from ``at`` on, over line ends, decoded as far as asked for."""
+
+    def __init__(self, text: str, at: int):
+        self.text, self.at, self.pieces, self.chars, self.next = text, at, [], 0, at
+        self.bytes = b""
+
+    def more(self) -> bool:
+        """Take another line."""
+        at = self.next
+        if self.pieces:
+            gap = BREAK.match(self.text, at)
+            if not gap:
+                return False
+            at = gap.end()
+        m = PIECE.match(self.text, at)
+        if not m:
+            return False
+        self.pieces.append((self.chars, at, m.group()))
+        self.chars, self.next = self.chars + len(m.group()), m.end()
+        return True
+
+    def read(self, n: int) -> bytes | None:
+        """The first ``n`` bytes, None if the lines end before."""
+        if len(self.bytes) < n:
+            need = -(-n * 4 // 3)
+            while self.chars < need:
+                if not self.more():
+                    return None
+            # to the end of the lines taken, so that reading on costs nothing until the next line
+            have = self.chars - (self.chars % 4 == 1)
+            self.bytes = decoded("".join(p for _, _, p in self.pieces)[:have]) or b""
+        return self.bytes[:n]
+
+    def end(self, n: int) -> int:
+        """Where the first ``n`` bytes end in the text, padding included."""
+        need = -(-n * 4 // 3)
+        before, at, _ = next(p for p in reversed(self.pieces) if p[0] < need)
+        end = at + need - before
+        return end + min(-need % 4, len(PAD.match(self.text, end).group()))
+
+
+def der_size(r: Reader) -> int | None:
+    """Bytes of the DER sequence that starts here, by its own length."""
+    head = r.read(2)
+    if not head or head[0] != 0x30:
+        return None
+    if not head[1] & 0x80:
+        return 2 + head[1]
+    k = head[1] & 0x7F
+    head = r.read(2 + k) if 1 <= k <= 4 else None
+    return 2 + k + int.from_bytes(head[2:], "big") if head else None
+
+
+def ssh_size(r: Reader) -> int | None:
+    """Bytes of the SSH key, certificate or private-key container that starts here, by its own lengths."""
+    at = 0
+
+    def number() -> int | None:
+        nonlocal at
+        got = r.read(at + 4)
+        at += 4
+        return None if got is None else int.from_bytes(got[at - 4:], "big")
+
+    def walk(layout: str) -> bool:
+        nonlocal at
+        for kind in layout:
+            size = {"Q": 8, "I": 4}.get(kind) or number()
+            if size is None or r.read(at + size) is None:
+                return False
+            at += size
+        return True
+
+    if r.read(15) == b"openssh-key-v1\0":
+        at = 15
+        keys = number() if walk("sss") else None
+        return at if keys is not None and 1 <= keys <= 16 and walk("s" * (keys + 1)) and at > 40 else None
+    size = number()
+    raw = r.read(4 + size) if size is not None and 4 <= size <= 255 else None
+    if raw is None or not re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", raw[4:]):
+        return None
+    at = 4 + size
+    name = raw[4:].decode().removesuffix("@openssh.com")
+    plain = name.removesuffix("-cert-v01")
+    if plain not in SSH_FIELDS:
+        return None
+    return at if walk(SSH_FIELDS[plain] if plain == name else "s" + SSH_FIELDS[plain] + CERTIFICATE) else None
+
+
+def filled_lines(r: Reader) -> int | None:
+    """Bytes up to the first line end at which the lines taken are a blob of a type that is not listed, or up to the last line
+    of a container whose fields do not end."""
+    if r.read(15) == b"openssh-key-v1\0":
+        while r.more():
+            pass
+        raw = decoded("".join(p for _, _, p in r.pieces))
+        r.bytes = raw or r.bytes
+        return len(raw) if raw and is_ssh(raw) else None
+    if not re.match(rb"\0\0\0[\x04-\xff](ssh|ecdsa|sk)-", r.read(12) or b""):
+        return None
+    r.pieces, r.chars, r.next, r.bytes = [], 0, r.at, b""
+    while r.more():
+        raw = decoded("".join(p for _, _, p in r.pieces))
+        if raw and is_ssh(raw):
+            return len(raw)
+    return None
+
+
+def signed_token(text: str, at: int) -> int | None:
+    """End of the signed token that starts here. Its parts may be broken by line ends; the signature goes over one only if
+    that brings it to just the size its algorithm has."""
+    parts = []
+    for _ in range(2):
+        part = ""
+        while m := URL_PIECE.match(text, at):
+            part, at = part + m.group(), m.end()
+            gap = URL_BREAK.match(text, at)
+            if not gap:
+                break
+            at = gap.end()
+        if not part or text[at:at + 1] != ".":
+            return None
+        parts.append(part)
+        at += 1
+    head, m = token_header(parts), URL_PIECE.match(text, at)
+    if head is None or not m:
+        return None
+    end, size, want = m.end(), m.end() - at, SIGNATURE.get(head["alg"], 0)
+    further = end
+    while size < want and (gap := URL_BREAK.match(text, further)):
+        m = URL_PIECE.match(text, gap.end())
+        size, further = size + m.end() - m.start(), m.end()
+    return further if size == want else end
+
+
 def confirmed(text: str) -> list[tuple[int, int, str]]:
     """Spans whose decoded content has the structure of a key or signed token."""
-    out = []
-    for m in RUN.finditer(text):
-        run = m.group()
-        if run[:2] == "ey":  # a JSON object in base64
-            parts = run.rstrip("=").split(".")
-            for i in range(0, len(parts) - 2):
-                if is_token(parts[i:i + 3]):
-                    start = m.start() + sum(len(p) + 1 for p in parts[:i])
-                    out.append((start, start + sum(map(len, parts[i:i + 3])) + 2, "jwt"))
-                    break
-        elif run[0] == "M" or run[:5] in ("AAAAB", "AAAAE", "AAAAC", "AAAAG", "b3Blb"):
-            raw = decoded(run) if "." not in run else None
-            if raw and is_der(raw):
-                out.append((m.start(), m.end(), "der"))
-            elif raw and is_ssh(raw):
-                out.append((m.start(), m.end(), "ssh"))
+    out, done = [], 0
+    for m in TOKEN.finditer(text):
+        if m.start() >= done and (end := signed_token(text, m.start())):
+            out.append((m.start(), end, "jwt"))
+            done = end
+    done = 0
+    for m in START.finditer(text):
+        if m.start() < done:
+            continue
+        r = Reader(text, m.start())
+        if m.group()[0] == "M":
+            kind, n = "der", der_size(r)
+            raw = r.read(n) if n else None
+            n = n if raw and is_der(raw) else None
+        else:
+            kind, n = "ssh", ssh_size(r) or filled_lines(r)
+        if n:
+            done = r.end(n)
+            out.append((m.start(), done, kind))
     for m in HEX_RUN.finditer(text):
         run = m.group()
         if len(run) % 2 == 0 and run[:2] in ("30", "00", "6f", "6F"):

@@ -1,10 +1,13 @@
 """The whole job where it was cut short: contexts, secrets beside other text, small sources."""
 
+import base64
+import json
 import random
 
 import pyarrow as pa
+import pytest
 
-from shoal.llm import lm
+from shoal.llm import lm, secret_scan
 from shoal.llm.common import Texts
 
 
@@ -28,3 +31,44 @@ def test_lm_contexts_follow_the_corpus(spark):
     token, _, place = lm.sequence(Texts(pa.array(["p k l m x"]), 0))
     want = sum(weight.get(lm.signed(k), 0.0) for d, key in enumerate(lm.grams(token, 5), 1) for k in key[place >= d - 1])
     assert abs(out[1] - want) < 1e-9
+
+
+def der(n):
+    body = b"\x02\x01\x00" + b"\x04\x81" + bytes([n]) + bytes(i % 251 for i in range(n))
+    return b"\x30\x81" + bytes([len(body)]) + body
+
+
+def blob(*parts):
+    return b"".join(len(p).to_bytes(4, "big") + p for p in parts)
+
+
+@pytest.mark.parametrize("n", [129, 130, 131])
+def test_secret_spans_end_where_the_structure_ends(n):
+    """Padded and unpadded bodies between armour, words and other keys."""
+    key = base64.b64encode(der(n)).decode()
+    lines = "\n".join(key[i:i + 64] for i in range(0, len(key), 64))
+    for before, after in (("-----BEGIN PRIVATE KEY-----\n", "\n-----END PRIVATE KEY-----"), ("key: ", "\nNext line"),
+                          ("anordinarylongword0\n", "\nanotherlongword00"), ("-----BEGIN KEY-----", "-----END KEY-----")):
+        for body in (lines, key, key.rstrip("=")):
+            assert secret_scan.confirmed(before + body + after) == [(len(before), len(before + body), "der")]
+    two = secret_scan.confirmed(lines + "\n" + lines)
+    assert two == [(0, len(lines), "der"), (len(lines) + 1, 2 * len(lines) + 1, "der")]
+
+
+def test_secret_blobs_of_all_types():
+    sk = blob(b"sk-ecdsa-sha2-nistp256@openssh.com", b"nistp256", bytes(65), b"ssh:")
+    sign = blob(blob(b"ssh-ed25519", bytes(32)), blob(b"ssh-ed25519", bytes(64)))
+    cert = (blob(b"ssh-rsa-cert-v01@openssh.com", bytes(32), b"\1\0\1", bytes(257)) + (7).to_bytes(8, "big") + (1).to_bytes(4, "big")
+            + blob(b"me", blob(b"root")) + bytes(16) + blob(b"", b"", b"") + sign)
+    for raw in (sk, cert, blob(b"ssh-ed25519", bytes(32))):
+        text = base64.b64encode(raw).decode()
+        assert secret_scan.confirmed(f"x\n{text}\nNextword {text}") == [
+            (2, 2 + len(text), "ssh"), (12 + len(text), 12 + 2 * len(text), "ssh")]
+
+
+def test_token_ends_with_its_line():
+    url = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    jwt = ".".join([url(json.dumps({"alg": "HS256"}).encode()), url(json.dumps({"sub": "1"}).encode()), url(bytes(32))])
+    for before in ("", "averylongwordbefore\n", "x "):
+        assert secret_scan.confirmed(f"{before}{jwt}\nNext") == [(len(before), len(before + jwt), "jwt")]
+    assert secret_scan.confirmed(jwt[:-9] + "\n" + jwt[-9:] + "\nNext") == [(0, len(jwt) + 1, "jwt")]
