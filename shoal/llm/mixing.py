@@ -9,6 +9,8 @@
 3. A source's k-th slot takes the k-th block of the source: its documents in a hashed order, end to
    end and again from the start up to ``most`` times, cut in blocks of equal words (to within one word). A join of slots and
    blocks on (source, k) says what is taken.
+4. A source whose target is below ``LEAST_SLOTS`` slots would get it in steps too coarse for it, or none: it takes its target
+   to the word, from the start of the same order. (The SQL oracle gives such sources whole slots.)
 
 Edge cases: NULL or blank text: size 0, nothing taken. NULL source: a source of its own, last. NULL or repeated doc_id: each
 row is a document of its own. A source without words: target 0. An empty table gives none.
@@ -27,6 +29,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Words per block on large tables; blocks per weight unit at least, which bounds a target's error on small ones.
 BLOCK_WORDS, SLOTS_PER_WEIGHT = 1024, 256
+#: Slots from which a source follows the schedule; one with a smaller target takes it exactly.
+LEAST_SLOTS = 32
 #: Rows that share one ordering group, on average.
 GROUP_ROWS = 2000
 WORD = r"[^\x20\x09-\x0D]+"
@@ -109,9 +113,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
               .withColumn("_row", F.row_number().over(within)).join(sums, ["sid", "_g"])
               .withColumn("_at", F.coalesce("_at", F.lit(0)) + F.col("_base")))
     placed = materialise(placed.drop("_base"), "mix-placed")
+    small = F.col("target") < LEAST_SLOTS * step
     # where each repeat of a document lies, cut at blocks: one row per (document, repeat, block)
     epochs = F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("_e")
-    spans = (placed.filter("_size > 0").select("sid", "_g", "_row", "source_size", "_at", "_size", epochs)
+    spans = (placed.filter((F.col("_size") > 0) & ~small).select("sid", "_g", "_row", "source_size", "_at", "_size", epochs)
              .withColumn("_lo", F.col("_e") * F.col("source_size") + F.col("_at"))
              .withColumn("_hi", F.col("_lo") + F.col("_size"))
              .withColumn("k", F.explode(F.sequence(F.greatest(F.floor(F.col("_lo") / step) - 1, F.lit(0)),
@@ -120,9 +125,14 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
              .filter("_words > 0").select("sid", "_g", "_row", "k", "_words"))
     taken = (spans.join(slots.select("sid", "k"), ["sid", "k"])
              .groupBy("sid", "_g", "_row").agg(F.sum("_words").alias("taken")))
+    reach = F.round("target").cast("long")
+    exact = F.lit(0).cast("long")
+    for e in range(most):
+        at = F.lit(e) * F.col("source_size") + F.col("_at")
+        exact += F.greatest(F.least(at + F.col("_size"), reach) - at, F.lit(0))
     return (placed.join(taken, ["sid", "_g", "_row"], "left")
             .select(*keep, F.col("_size").alias("size"), "source_size", "target",
-                    F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+                    F.when(small, exact).otherwise(F.coalesce("taken", F.lit(0))).cast("long").alias("taken")))
 
 
 ORACLE = r"""

@@ -6,8 +6,9 @@ import random
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from shoal.llm import lm, secret_scan
+from shoal.llm import lm, mixing, secret_scan
 from shoal.llm.common import Texts
 
 
@@ -72,3 +73,18 @@ def test_token_ends_with_its_line():
     for before in ("", "averylongwordbefore\n", "x "):
         assert secret_scan.confirmed(f"{before}{jwt}\nNext") == [(len(before), len(before + jwt), "jwt")]
     assert secret_scan.confirmed(jwt[:-9] + "\n" + jwt[-9:] + "\nNext") == [(0, len(jwt) + 1, "jwt")]
+
+
+def test_mixing_small_sources_reach_their_targets(spark):
+    """Sources of 100 words beside ten million: a slot of the schedule is longer than their targets."""
+    large = spark.range(1000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a"), F.col("id") % 3).alias("source"),
+                                     F.repeat(F.lit("w "), 10_000).alias("text"))
+    small = spark.range(24).select((F.col("id") + 5000).alias("doc_id"), F.format_string("s%02d", F.floor(F.col("id") / 2)).alias("source"),
+                                   F.repeat(F.lit("v "), 50).alias("text"))
+    out = mixing.mix(large.union(small), keep=("doc_id", "source")).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"))
+    for r in out.collect():
+        if r["source"][0] == "s":
+            assert r["target"] == 300 and r["taken"] == 300, r
+        else:
+            assert abs(r["taken"] / r["target"] - 1) < 0.01, r
