@@ -3,9 +3,8 @@
 Vectors of one label are compared. Equal vectors form a class and are compared once. Unit vectors are halved and each
 half has its own codebook, so a vector's home is a cell of the product grid. From a vector, a cell is at least as
 far as the bisectors between its nearest centroids and the cell's, one bound per half; the traversal goes through
-the two sorted lists of bounds jointly and visits cells in order of the combined bound until it passes ``reach``. The reach is measured for a target
-recall: sample vectors are moved by the largest distance that still links, in random directions, and the bound
-of the cell they end in is taken at that quantile. A pair is found if either of its vectors visits the other's home.
+the two sorted lists of bounds jointly and visits cells in order of the combined bound until it passes ``reach``. The reach is the
+distance of the furthest link, sqrt(2 - 2 cosine), and the bounds never exceed the distance, so no link is missed. A pair is found if either of its vectors visits the other's home.
 
 The members and visitors of a cell are then compared exactly, in double precision, block by block, so that a crowded
 cell is many tasks. A block gives link counts and a spanning set of its links, never its pairs.
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from shoal.llm.common import append_columns, bounded_batches, components, hash_sample, lists, materialise
 from shoal.llm.vectors import matrix, valid
 
-COSINE, RECALL = 0.98, 0.9999
+COSINE = 0.98
 #: Vectors the codebooks are fitted on, at most about; rounds; members and visitors of a block.
 SAMPLE, ROUNDS, BLOCK = 8192, 8, 2048
 
@@ -55,20 +54,11 @@ def bounds(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class Grid:
-    def __init__(self, x: np.ndarray, k: int, cosine: float, recall: float):
+    def __init__(self, x: np.ndarray, k: int, cosine: float):
         self.half = x.shape[1] // 2
         self.books = [codebook(x[:, :self.half], k), codebook(x[:, self.half:], k)]
-        step = np.sqrt(2 - 2 * cosine)
-        rng = np.random.default_rng(4)
-        moved = np.repeat(x, 8, axis=0)
-        side = rng.standard_normal(moved.shape)
-        side -= (side * moved).sum(1)[:, None] * moved
-        side /= np.maximum(np.linalg.norm(side, axis=1), 1e-300)[:, None]
-        to = moved * (1 - step * step / 2) + side * np.sqrt(1 - (1 - step * step / 2) ** 2)
-        cell, (a, b) = self.home(to), [np.repeat(v, 8, axis=0) for v in self.sides(x)]
-        row = np.arange(len(cell))
-        far = np.sqrt(a[row, cell // len(self.books[1])] ** 2 + b[row, cell % len(self.books[1])] ** 2)
-        self.reach = float(np.quantile(far, recall)) + 1e-9
+        # a vector in a cell is no nearer than the bisectors of the cell's centres, so no link lies beyond its own length
+        self.reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-6
 
     def sides(self, x):
         return bounds(x[:, :self.half], self.books[0]), bounds(x[:, self.half:], self.books[1])
@@ -134,7 +124,7 @@ def compare(table: pa.Table, cosine: float) -> pa.Table:
     return pa.table({"node": pa.array(node[keep]), "links": pa.array(links[keep]), "root": pa.array(root[keep])})
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL) -> DataFrame:
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
     bounded_batches(spark, 4096)
@@ -150,7 +140,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
         if not len(x):
             x = matrix(pa.array([part.select("v").first()["v"]]))
         x = x / np.linalg.norm(x, axis=1)[:, None]
-        grid = Grid(x, max(2, int(np.ceil(2 * n ** 0.25))), cosine, recall)
+        grid = Grid(x, max(2, int(np.ceil(2 * n ** 0.25))), cosine)
 
         def place(b: pa.RecordBatch, grid=grid):
             v = matrix(b.column("v"))

@@ -4,11 +4,12 @@ import base64
 import json
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shoal.llm import lm, mixing, secret_scan
+from shoal.llm import embed_dedup, lm, mixing, secret_scan
 from shoal.llm.common import Texts
 
 
@@ -88,3 +89,19 @@ def test_mixing_small_sources_reach_their_targets(spark):
             assert r["target"] == 300 and r["taken"] == 300, r
         else:
             assert abs(r["taken"] / r["target"] - 1) < 0.01, r
+
+
+def test_embedding_cells_hold_links_along_the_axis_of_two_centres():
+    """Vectors moved straight towards the second nearest centre, by the largest distance that still links."""
+    x = np.random.default_rng(3).standard_normal((400, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    grid = embed_dedup.Grid(x, 14, 0.98)
+    book, half = grid.books[0], grid.half
+    near = np.argsort(((x[:, None, :half] - book[None]) ** 2).sum(2), axis=1)
+    side = np.zeros_like(x)
+    side[:, :half] = book[near[:, 1]] - book[near[:, 0]]
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    moved = 0.9801 * x + np.sqrt(1 - 0.9801 ** 2) * side
+    assert grid.reach >= np.sqrt(2 - 2 * 0.98)
+    assert all(h in v for h, v in zip(grid.home(moved), grid.visits(x)))
