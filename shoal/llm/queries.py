@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.llm import (ann, embed_dedup, langid, lm, merkle, minhash, mixing, packing, pii, secret_scan, spelling,
-                       toxicity)
+                       toxicity, url_rules)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2)
 
 
+def op11_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf_dir, "pages"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(_table(spark, sf_dir, "documents"))
 
@@ -73,8 +77,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_packing, op3_embedding_dedup, op4_mixing, op5_pii, op6_langid,
-                                   op7_ann, op8_secrets, op9_lm_scoring, op10_minhash_dedup, op12_spelling_variants,
+                                   op7_ann, op8_secrets, op9_lm_scoring, op10_minhash_dedup, op11_url_rules, op12_spelling_variants,
                                    op13_merkle_manifest, pipeline)}
 ORACLES = {"op3_embedding_dedup": embed_dedup.ORACLE, "op4_mixing": mixing.ORACLE, "op7_ann": ann.ORACLE,
-           "op10_minhash_dedup": minhash.ORACLE, "op12_spelling_variants": spelling.ORACLE,
+           "op10_minhash_dedup": minhash.ORACLE, "op11_url_rules": url_rules.ORACLE, "op12_spelling_variants": spelling.ORACLE,
            "op13_merkle_manifest": merkle.ORACLE}
