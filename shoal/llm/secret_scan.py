@@ -8,13 +8,14 @@ or what follows armour or another character), over line ends, up to where the st
 the lines around it plays no part.
 
 Edge cases: NULL or empty text: no span. Any number of repeated rows: each is scanned. Extra columns
-are ignored. Texts are scanned whole; every pattern is linear in the text.
+are ignored. Texts are scanned whole. Runs of lines are read and decoded once, whatever starts in them, and a start is rejected as soon as
+its own lengths exceed what is left of the run or its first wrong byte is met.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -43,6 +44,7 @@ SSH_FIELDS = {"ssh-rsa": "ss", "ssh-dss": "ssss", "ssh-ed25519": "s", "ssh-ed448
               "ecdsa-sha2-nistp384": "ss", "ecdsa-sha2-nistp521": "ss", "sk-ssh-ed25519": "ss", "sk-ecdsa-sha2-nistp256": "sss"}
 CERTIFICATE = "QIssQQsssss"
 HEX_RUN = re.compile(r"[0-9A-Fa-f]{32,}")
+DECODER = json.JSONDecoder()
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -120,178 +122,216 @@ def is_ssh(raw: bytes) -> bool:
     return bool(got) and len(got) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", got[0]) is not None
 
 
-def token_header(parts: list[str]) -> dict | None:
-    """The JSON header, naming an algorithm, of header.payload with a JSON payload."""
-    try:
-        head, body = (json.loads(decoded(p)) for p in parts)
-    except (ValueError, TypeError, RecursionError):
-        return None
-    return head if isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict) else None
+class Run:
+    """The base64 characters of a text from ``at`` on, over line ends, up to the end of the run. It is read once for all structures
+    that start in it; what lies at one of the four alignments is decoded once."""
 
-
-def decoded(run: str) -> bytes | None:
-    run = re.sub(r"[\r\n=]", "", run).replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-    except binascii.Error:
-        return None
+    def __init__(self, text: str, at: int, piece: re.Pattern, gap: re.Pattern):
+        self.text, self.begin, lines, first, chars = text, at, [], [], 0
+        while m := piece.match(text, at):
+            lines.append(m)
+            first.append(chars)
+            chars, at = chars + m.end() - m.start(), m.end()
+            if not (g := gap.match(text, at)):
+                break
+            at = g.end()
+        self.lines, self.starts, self.first, self.chars = lines, [m.start() for m in lines], first, chars
+        self.end = lines[-1].end() if lines else self.begin
+        self._clean, self._decoded, self._spelled = None, {}, {}
+
+    def place(self, at: int) -> int:
+        """Characters of the run before a position of the text in it."""
+        i = bisect.bisect_right(self.starts, at) - 1
+        return self.first[i] + at - self.starts[i]
+
+    def where(self, chars: int) -> int:
+        """Position in the text after so many characters of the run."""
+        i = bisect.bisect_left(self.first, chars) - 1
+        return self.starts[i] + chars - self.first[i]
+
+    def decoded(self, chars: int) -> tuple[bytes, int]:
+        """Bytes at the alignment of a place in the run, and the number of those before it."""
+        side = chars % 4
+        if side not in self._decoded:
+            if self._clean is None:
+                self._clean = "".join(m.group() for m in self.lines).replace("-", "+").replace("_", "/")
+            left = self.chars - side
+            kept = self._clean[side:self.chars - (left % 4 == 1)]
+            self._decoded[side] = base64.b64decode(kept + "=" * (-len(kept) % 4))
+        return self._decoded[side], (chars - side) // 4 * 3
+
+    def spelled(self, side: int) -> tuple[str, int]:
+        """What :meth:`decoded` gave for an alignment as one character a byte, and where the white space at its end starts."""
+        if side not in self._spelled:
+            raw = self._decoded[side]
+            self._spelled[side] = raw.decode("latin-1"), len(raw.rstrip(b" \t\r\n"))
+        return self._spelled[side]
 
 
 class Reader:
-    """Base64 characters of a text from ``at`` on, over line ends, decoded as far as asked for."""
-
-    def __init__(self, text: str, at: int):
-        self.text, self.at, self.pieces, self.chars, self.next = text, at, [], 0, at
-        self.bytes = b""
-
-    def more(self) -> bool:
-        """Take another line."""
-        at = self.next
-        if self.pieces:
-            gap = BREAK.match(self.text, at)
-            if not gap:
-                return False
-            at = gap.end()
-        m = PIECE.match(self.text, at)
-        if not m:
-            return False
-        self.pieces.append((self.chars, at, m.group()))
-        self.chars, self.next = self.chars + len(m.group()), m.end()
-        return True
+    """The bytes from one place of a run on."""
 
-    def read(self, n: int) -> bytes | None:
-        """The first ``n`` bytes, None if the lines end before."""
-        if len(self.bytes) < n:
-            need = -(-n * 4 // 3)
-            while self.chars < need:
-                if not self.more():
-                    return None
-            # to the end of the lines taken, so that reading on costs nothing until the next line
-            have = self.chars - (self.chars % 4 == 1)
-            self.bytes = decoded("".join(p for _, _, p in self.pieces)[:have]) or b""
-        return self.bytes[:n]
+    def __init__(self, run: Run, at: int):
+        self.run, self.place = run, run.place(at)
+        self.bytes, self.at = run.decoded(self.place)
+        self.left = len(self.bytes) - self.at
+
+    def read(self, start: int, size: int) -> bytes | None:
+        """``size`` bytes from ``start`` on, None if the run ends before."""
+        if start + size > self.left:
+            return None
+        return self.bytes[self.at + start:self.at + start + size]
 
     def end(self, n: int) -> int:
         """Where the first ``n`` bytes end in the text, padding included."""
         need = -(-n * 4 // 3)
-        before, at, _ = next(p for p in reversed(self.pieces) if p[0] < need)
-        end = at + need - before
-        return end + min(-need % 4, len(PAD.match(self.text, end).group()))
+        end = self.run.where(self.place + need)
+        return end + min(-need % 4, len(PAD.match(self.run.text, end).group()))
+
+    def line_ends(self, n: int) -> bool:
+        """Do the first ``n`` bytes end with a line?"""
+        i = bisect.bisect_left(self.run.first, self.place + -(-n * 4 // 3))
+        chars = (self.run.first[i] if i < len(self.run.first) else self.run.chars) - self.place
+        return chars % 4 != 1 and chars * 3 // 4 == n
 
 
 def der_size(r: Reader) -> int | None:
     """Bytes of the DER sequence that starts here, by its own length."""
-    head = r.read(2)
+    head = r.read(0, 2)
     if not head or head[0] != 0x30:
         return None
     if not head[1] & 0x80:
         return 2 + head[1]
     k = head[1] & 0x7F
-    head = r.read(2 + k) if 1 <= k <= 4 else None
-    return 2 + k + int.from_bytes(head[2:], "big") if head else None
+    head = r.read(2, k) if 1 <= k <= 4 else None
+    return 2 + k + int.from_bytes(head, "big") if head else None
 
 
 def ssh_size(r: Reader) -> int | None:
-    """Bytes of the SSH key, certificate or private-key container that starts here, by its own lengths."""
+    """Bytes of the SSH key, certificate or private-key container that starts here, by its own lengths. A blob of a type that is not
+    listed goes up to the first of its fields' ends at which a line ends too, a container whose fields do not end up to the last line."""
     at = 0
 
     def number() -> int | None:
         nonlocal at
-        got = r.read(at + 4)
+        got = r.read(at, 4)
         at += 4
-        return None if got is None else int.from_bytes(got[at - 4:], "big")
+        return None if got is None else int.from_bytes(got, "big")
 
     def walk(layout: str) -> bool:
         nonlocal at
         for kind in layout:
             size = {"Q": 8, "I": 4}.get(kind) or number()
-            if size is None or r.read(at + size) is None:
+            if size is None or at + size > r.left:
                 return False
             at += size
         return True
 
-    if r.read(15) == b"openssh-key-v1\0":
+    if r.read(0, 15) == b"openssh-key-v1\0":
         at = 15
         keys = number() if walk("sss") else None
-        return at if keys is not None and 1 <= keys <= 16 and walk("s" * (keys + 1)) and at > 40 else None
+        if keys is not None and 1 <= keys <= 16 and walk("s" * (keys + 1)) and at > 40:
+            return at
+        whole = (r.run.chars - r.place) * 3 // 4
+        return whole if (r.run.chars - r.place) % 4 != 1 and whole > 40 else None
     size = number()
-    raw = r.read(4 + size) if size is not None and 4 <= size <= 255 else None
-    if raw is None or not re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", raw[4:]):
+    name = r.read(4, size) if size is not None and 4 <= size <= 255 else None
+    if name is None or not re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", name):
         return None
-    at = 4 + size
-    name = raw[4:].decode().removesuffix("@openssh.com")
-    plain = name.removesuffix("-cert-v01")
-    if plain not in SSH_FIELDS:
+    begin = at = 4 + size
+    full = name.decode().removesuffix("@openssh.com")
+    plain = full.removesuffix("-cert-v01")
+    if plain in SSH_FIELDS and walk(SSH_FIELDS[plain] if plain == full else "s" + SSH_FIELDS[plain] + CERTIFICATE):
+        return at
+    at = begin
+    for _ in range(16):
+        if not walk("s"):
+            return None
+        if at >= 16 and r.line_ends(at):
+            return at
+    return None
+
+
+def json_object(run: Run, chars: int) -> dict | None:
+    """The JSON object that the run spells from a place on. Scanning stops at the first character that cannot be part of it."""
+    raw, at = run.decoded(chars)
+    if raw[at:at + 1] != b"{" or raw[at + 1:at + 2] not in (b'"', b" ", b"\t", b"\r", b"\n", b"}"):
         return None
-    return at if walk(SSH_FIELDS[plain] if plain == name else "s" + SSH_FIELDS[plain] + CERTIFICATE) else None
-
-
-def filled_lines(r: Reader) -> int | None:
-    """Bytes up to the first line end at which the lines taken are a blob of a type that is not listed, or up to the last line
-    of a container whose fields do not end."""
-    if r.read(15) == b"openssh-key-v1\0":
-        while r.more():
-            pass
-        raw = decoded("".join(p for _, _, p in r.pieces))
-        r.bytes = raw or r.bytes
-        return len(raw) if raw and is_ssh(raw) else None
-    if not re.match(rb"\0\0\0[\x04-\xff](ssh|ecdsa|sk)-", r.read(12) or b""):
+    latin, last = run.spelled(chars % 4)
+    try:
+        _, end = DECODER.raw_decode(latin, at)
+        return json.loads(raw[at:].decode("utf-8")) if end >= last else None
+    except (ValueError, RecursionError):
         return None
-    r.pieces, r.chars, r.next, r.bytes = [], 0, r.at, b""
-    while r.more():
-        raw = decoded("".join(p for _, _, p in r.pieces))
-        if raw and is_ssh(raw):
-            return len(raw)
-    return None
 
 
-def signed_token(text: str, at: int) -> int | None:
-    """End of the signed token that starts here. Its parts may be broken by line ends; the signature goes over one only if
-    that brings it to just the size its algorithm has."""
-    parts = []
-    for _ in range(2):
-        part = ""
-        while m := URL_PIECE.match(text, at):
-            part, at = part + m.group(), m.end()
-            gap = URL_BREAK.match(text, at)
-            if not gap:
-                break
-            at = gap.end()
-        if not part or text[at:at + 1] != ".":
+class Tokens:
+    """Signed tokens of one text. Runs of header and payload characters are read once, whatever starts in them."""
+
+    def __init__(self, text: str):
+        self.text, self.held, self.bodies = text, [], {}
+
+    def run(self, at: int) -> Run:
+        """The run that ``at`` lies in. A header's stays while its payload's is read."""
+        for r in self.held:
+            if r.begin <= at < r.end:
+                return r
+        self.held = [*self.held[-1:], Run(self.text, at, URL_PIECE, URL_BREAK)]
+        return self.held[-1]
+
+    def part(self, at: int) -> tuple[dict | None, int]:
+        """The JSON object that the base64 characters from ``at`` on spell up to a dot, and where that stands."""
+        run = self.run(at)
+        if not run.lines or self.text[run.end:run.end + 1] != ".":
+            return None, run.end
+        place = run.place(at)
+        if (run.chars - place) % 4 == 1:
+            return None, run.end
+        return json_object(run, place), run.end
+
+    def end(self, at: int) -> int | None:
+        """End of the signed token that starts here. Its parts may be broken by line ends; the signature goes over one only if
+        that brings it to just the size its algorithm has."""
+        head, dot = self.part(at)
+        if head is None or not isinstance(head.get("alg"), str):
             return None
-        parts.append(part)
-        at += 1
-    head, m = token_header(parts), URL_PIECE.match(text, at)
-    if head is None or not m:
-        return None
-    end, size, want = m.end(), m.end() - at, SIGNATURE.get(head["alg"], 0)
-    further = end
-    while size < want and (gap := URL_BREAK.match(text, further)):
-        m = URL_PIECE.match(text, gap.end())
-        size, further = size + m.end() - m.start(), m.end()
-    return further if size == want else end
+        if dot not in self.bodies:
+            self.bodies[dot] = self.part(dot + 1)
+        body, dot = self.bodies[dot]
+        if body is None:
+            return None
+        at = dot + 1
+        m = URL_PIECE.match(self.text, at)
+        if not m:
+            return None
+        end, size, want = m.end(), m.end() - at, SIGNATURE.get(head["alg"], 0)
+        further = end
+        while size < want and (gap := URL_BREAK.match(self.text, further)):
+            m = URL_PIECE.match(self.text, gap.end())
+            size, further = size + m.end() - m.start(), m.end()
+        return further if size == want else end
 
 
 def confirmed(text: str) -> list[tuple[int, int, str]]:
     """Spans whose decoded content has the structure of a key or signed token."""
-    out, done = [], 0
+    out, done, tokens = [], 0, Tokens(text)
     for m in TOKEN.finditer(text):
-        if m.start() >= done and (end := signed_token(text, m.start())):
+        if m.start() >= done and (end := tokens.end(m.start())):
             out.append((m.start(), end, "jwt"))
             done = end
-    done = 0
+    done, run = 0, None
     for m in START.finditer(text):
         if m.start() < done:
             continue
-        r = Reader(text, m.start())
+        if run is None or m.start() >= run.end:
+            run = Run(text, m.start(), PIECE, BREAK)
+        r = Reader(run, m.start())
         if m.group()[0] == "M":
             kind, n = "der", der_size(r)
-            raw = r.read(n) if n else None
+            raw = r.read(0, n) if n and is_der_start(r, n) else None
             n = n if raw and is_der(raw) else None
         else:
-            kind, n = "ssh", ssh_size(r) or filled_lines(r)
+            kind, n = "ssh", ssh_size(r)
         if n:
             done = r.end(n)
             out.append((m.start(), done, kind))
@@ -306,6 +346,15 @@ def confirmed(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def is_der_start(r: Reader, n: int) -> bool:
+    """Does a sequence of ``n`` bytes, all there, go on like a key encoding? Settles most starts from a few bytes."""
+    head = r.read(0, 8)
+    if head is None or not 24 <= n <= r.left:
+        return False
+    at = 2 + (head[1] & 0x7F if head[1] & 0x80 else 0)
+    return head[at] in (0x02, 0x30)
+
+
 def spans(text: str) -> list[tuple[int, int, str]]:
     """All spans by start, then kind as listed; base spans always stay."""
     return sorted(set(base_spans(text)) | set(confirmed(text)), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))

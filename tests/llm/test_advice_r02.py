@@ -105,3 +105,27 @@ def test_embedding_cells_hold_links_along_the_axis_of_two_centres():
     moved = 0.9801 * x + np.sqrt(1 - 0.9801 ** 2) * side
     assert grid.reach >= np.sqrt(2 - 2 * 0.98)
     assert all(h in v for h, v in zip(grid.home(moved), grid.visits(x)))
+
+
+@pytest.mark.parametrize("line", ["eyebrow", "MIT/////", base64.b64encode(blob(b"ssh-unlisted", b"x" * 30)).decode(),
+                                  "eyJhbGciOiJIUzI1NiJ9", "MIIBCgKCAQEA" + "A" * 52, "AAAAB3NzaC1yc2EAAAAD"])
+@pytest.mark.parametrize("end", ["", "."])
+def test_secret_scan_time_follows_the_text(line, end):
+    """Lines that each look like the start of a structure reaching over all further lines: a megabyte in under two seconds."""
+    import time
+    text = "\n".join([line] * ((1 << 20) // (len(line) + 1))) + end
+    began = time.perf_counter()
+    secret_scan.confirmed(text)
+    assert time.perf_counter() - began < 2
+
+
+def test_secret_scan_nested_starts():
+    """A token whose header starts inside a run of lookalikes, and its lines broken; keys one after another in one run."""
+    enc = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).rstrip(b"=").decode()
+    head, body = enc({"alg": "HS256", "typ": "JWT"}), enc({"sub": "a", "n": [1, 2, {"x": "y"}]})
+    token = f"{head}.{body}.{'s' * 43}"
+    for before in ("", "eyebrow\n" * 3, "eyJ\n", "eyJhbGci\n"):
+        found = [x for x in secret_scan.confirmed(f"{before}{token} end") if x[2] == "jwt"]
+        assert found == [(len(before), len(before) + len(token), "jwt")]
+    broken = f"{head[:12]}\n{head[12:]}.{body[:7]}\r\n{body[7:]}.{'s' * 20}\n{'s' * 23}\nnext"
+    assert [x[:2] for x in secret_scan.confirmed(broken)] == [(0, len(broken) - 5)]
