@@ -2,8 +2,8 @@
 
 Documents become token ids (a byte-level BPE vocabulary given by path) and an end id, and are cut at
 multiples of the sequence length. The histogram of piece lengths, at most ``seq_len`` numbers, is all
-the driver sees. It places lengths longest first: pieces of one length go, many at a time, on top of the
-pattern with the least room that still takes them, counted in patterns, never in single sequences. Then each
+the driver sees. It places lengths longest first, each piece on the shortest pack, the pattern with the most
+room, counted in patterns, never in single sequences. Then each
 piece gets its rank among the pieces of its length, and the rank says its sequence and offset.
 
 Edge cases: NULL and empty text: one piece with the end id alone. Every row is packed, also rows that repeat a doc_id
@@ -12,7 +12,7 @@ or have none. An empty table gives none. Extra columns are ignored unless carrie
 
 from __future__ import annotations
 
-import bisect
+import heapq
 import zlib
 from pathlib import Path
 
@@ -140,43 +140,51 @@ def pieces(docs: DataFrame, vocabulary: str, seq_len: int = SEQ_LEN, with_ids: b
 def shortest_pack_first(histogram: dict[int, int], seq_len: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
     """[(sequences, ((length, pieces), ...))]: how many sequences hold which lengths, longest first.
 
-    A length goes on top of the patterns with the least room that still holds it; what is left
-    of a pattern's sequences keeps its old pattern. New patterns are opened when none has room.
+    A length goes on top of the shortest packs, those with the most room, one piece a sequence and as many
+    sequences at once as the pattern counts; the rest of a pattern's sequences keeps its old pattern. If not even
+    the shortest pack has room, a new one is opened; it is the shortest, so it takes the length until it is full.
     """
-    room: dict[int, list[tuple[int, tuple]]] = {}
-    open_rooms: list[int] = []
+    room: dict[int, list[tuple[int, tuple | None]]] = {}  # a pattern is (pattern below, length, pieces)
+    most: list[int] = []  # a heap of the rooms with patterns, negative
+    done: list[tuple[int, tuple | None]] = []
 
     def put(left: int, n: int, pattern: tuple) -> None:
+        if not left:
+            done.append((n, pattern))
+            return
         if left not in room:
             room[left] = []
-            bisect.insort(open_rooms, left)
+            heapq.heappush(most, -left)
         room[left].append((n, pattern))
 
     for length in sorted(histogram, reverse=True):
         todo = histogram[length]
         while todo:
-            at = bisect.bisect_left(open_rooms, length)
-            if at == len(open_rooms):
-                per = seq_len // length  # as many as fit a sequence, and one with the rest
-                if todo >= per:
-                    n, many = todo // per, per
-                else:
-                    n, many = 1, todo
-                put(seq_len - many * length, n, ((length, many),))
+            left = -most[0] if most else 0
+            if left < length:
+                per = seq_len // length
+                n, many = (todo // per, per) if todo >= per else (1, todo)
+                put(seq_len - many * length, n, (None, length, many))
                 todo -= n * many
                 continue
-            left = open_rooms[at]
             have, pattern = room[left].pop()
             if not room[left]:
                 del room[left]
-                open_rooms.pop(at)
-            many = min(left // length, todo)
-            n = min(have, todo // many)
+                heapq.heappop(most)
+            n = min(have, todo)
             if have > n:
                 put(left, have - n, pattern)
-            put(left - many * length, n, pattern + ((length, many),))
-            todo -= n * many
-    return [x for left in sorted(room) for x in room[left]]
+            put(left - length, n, (pattern, length, 1))
+            todo -= n
+
+    def unrolled(pattern: tuple | None) -> tuple[tuple[int, int], ...]:
+        out = []
+        while pattern:
+            pattern, length, many = pattern
+            out.append((length, many))
+        return tuple(reversed(out))
+
+    return [(n, unrolled(p)) for n, p in done + [x for left in sorted(room) for x in room[left]]]
 
 
 def plan(histogram: dict[int, int], seq_len: int) -> dict[int, tuple[np.ndarray, ...]]:

@@ -6,7 +6,7 @@ stretches of text around digits and at-signs: every admissible segment up to ``M
 programming over segment boundaries picks the boundaries and kinds of all entities of the stretch jointly. Its spans are
 added where no base span lies.
 
-The field is trained on a bounded sample of documents whose base spans are the truth, on copies with the
+The field is trained on a bounded sample of stretches, drawn by hash, whose base spans are the truth, on copies with the
 spans rewritten as people write them (no plus sign, ``[at]``, ``[.]``, dotted cards), and on spoilt copies that are not personal
 data (wrong checksum, octet over 255, too few digits).
 
@@ -16,6 +16,7 @@ nothing. Extra columns are ignored unless carried. Texts are scanned whole, in l
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoal.llm.common import append_columns, bounded_batches, hash_sample
+from shoal.llm.common import append_columns, bounded_batches, hash_sample, materialise
 
 KINDS = ("email", "ip", "card", "phone")
 #: Longest entity, text kept around an anchor, documents the field learns from (at most about) and passes over them.
 MAX_CHARS, MARGIN, SAMPLE, EPOCHS = 64, 64, 1500, 4
+#: Training stretches at most about; characters from which one is no training stretch.
+STRETCHES, STRETCH_CHARS = 3000, 4096
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -312,28 +315,34 @@ def rewritten(text: str, span: Span, rng: random.Random) -> tuple[str, tuple[int
     return whole, (a, a + len(new), KINDS.index(kind)) if good else None
 
 
-def examples(text: str, rng: random.Random) -> list[tuple[str, set]]:
-    """Training stretches of a document: as they stand, and once rewritten."""
-    base = base_spans(text)
-    out = []
+def stretches(text: str) -> list[tuple[str, list[Span]]]:
+    """The parts of a document that have candidates, with the base spans in them as (start, end, kind number)."""
+    base = sorted((a, b, KINDS.index(k)) for k, a, b in base_spans(text))
+    starts, out = [a for a, _, _ in base], []
     for lo, hi in islands(text):
         part = text[lo:hi]
-        gold = {(a - lo, b - lo, KINDS.index(k)) for k, a, b in base if lo <= a and b <= hi}
-        if candidates(part):
-            out.append((part, gold))
-        if gold:
-            a, b, k = rng.choice(sorted(gold))
-            new, entity = rewritten(part, (KINDS[k], a, b), rng)
-            moved = len(new) - len(part)
-            rest = {(s + moved * (s >= b), e + moved * (s >= b), k2) for s, e, k2 in gold if e <= a or s >= b}
-            out.append((new, rest | ({entity} if entity else set())))
+        if len(part) < STRETCH_CHARS and candidates(part):
+            inside = base[bisect.bisect_left(starts, lo):bisect.bisect_left(starts, hi)]
+            out.append((part, [(a - lo, b - lo, k) for a, b, k in inside if b <= hi]))
     return out
 
 
-def train(texts: list[str]) -> Field:
-    """Maximum likelihood by per-weight adaptive steps over the stretches of ``texts``, in a fixed order."""
+def examples(part: str, gold: set, rng: random.Random) -> list[tuple[str, set]]:
+    """A stretch as it stands, and once rewritten if it has an entity."""
+    out = [(part, gold)]
+    if gold:
+        a, b, k = rng.choice(sorted(gold))
+        new, entity = rewritten(part, (KINDS[k], a, b), rng)
+        moved = len(new) - len(part)
+        rest = {(s + moved * (s >= b), e + moved * (s >= b), k2) for s, e, k2 in gold if e <= a or s >= b}
+        out.append((new, rest | ({entity} if entity else set())))
+    return out
+
+
+def train(parts: list[tuple[str, set]]) -> Field:
+    """Maximum likelihood by per-weight adaptive steps over the stretches ``parts`` (text, spans), in a fixed order."""
     rng = random.Random(5)
-    data = [x for t in texts for x in examples(t, rng)][:4 * SAMPLE]
+    data = [x for part, gold in parts for x in examples(part, gold, rng)]
     field, seen = Field(), defaultdict(float)
     if not any(gold for _, gold in data):
         return field
@@ -346,22 +355,37 @@ def train(texts: list[str]) -> Field:
     return field
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Field:
-    """Train on about ``sample`` distinct texts of less than 20,000 characters with a digit or an at-sign, picked by
-    hashed text, in one task. Copies share a hash, so they are folded before that task, however many there are.
-    The model (a few thousand named weights) comes to the driver."""
+def fit(docs: DataFrame, sample: int = SAMPLE, parts: int = STRETCHES) -> Field:
+    """Train in one task on about ``parts`` distinct stretches of less than ``STRETCH_CHARS`` characters, picked by hash, out of
+    about ``sample`` distinct texts with a digit or an at-sign, picked by hash too, of any length. Copies are folded before they are
+    counted. The model (a few thousand named weights) comes to the driver."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    some = docs.select("text").filter(F.col("text").rlike("@|[0-9]") & (F.length("text") < 20_000))
-    picked = hash_sample(some, "text", sample, some.count(), salt=5).distinct()
+    some = docs.select("text").filter(F.col("text").rlike("@|[0-9]"))
+    texts = some.select(F.xxhash64("text", F.lit(5)).alias("h")).distinct().count()
+    schema = "part string, gold array<struct<a: int, b: int, k: int>>"
+
+    def cut(batches):
+        for b in batches:
+            for text in b.column("text"):
+                found = stretches(text.as_py())
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p for p, _ in found]),
+                         pa.array([[dict(zip("abk", g)) for g in gold] for _, gold in found],
+                                  pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("k", pa.int32())])))], ["part", "gold"])
+
+    picked = hash_sample(some, "text", sample, texts, salt=5).distinct()
+    found = materialise(picked.mapInArrow(cut, schema).distinct(), "pii-stretches")
+    few = hash_sample(found, "part", parts, found.count(), salt=6)
 
     def learn(table: pa.Table) -> pa.Table:
-        texts = sorted(set(table.column("text").to_pylist()))
-        w = train(texts).weights
+        rows = sorted((r["part"], [(g["a"], g["b"], g["k"]) for g in r["gold"]]) for r in table.to_pylist())
+        w = train([(part, set(gold)) for part, gold in rows]).weights
         return pa.table({"kind": pa.array([k for k, _ in w], pa.int32()), "feature": pa.array([f for _, f in w], pa.string()),
                          "weight": pa.array(list(w.values()), pa.float64())})
 
-    rows = (picked.withColumn("all", F.length("text") * 0).groupBy("all")
+    rows = (few.withColumn("all", F.length("part") * 0).groupBy("all")
             .applyInArrow(learn, "kind int, feature string, weight double").collect())
     return Field({(r["kind"], r["feature"]): r["weight"] for r in rows})
 
