@@ -6,9 +6,10 @@ which words differ or end, an edge carries the letters up to the next node, so a
 
 All words walk the trie at once. A state is (word, position, node, edits). A level joins the states with the edges of their
 nodes: an edge takes its letters unchanged, or with one letter inserted, deleted or replaced if nothing was edited before. A state
-that has been edited meets only the one edge that goes on with its next letter. States whose remaining letters are fewer or more
-than any word below the node has are dropped. A word's end reached after one edit is a neighbour. The edges of crowded nodes (the
-root, common beginnings) are dealt to up to ``SALTS`` copies, so no node is one task's key.
+that has been edited meets only the one edge that goes on with its next letter. States that cannot end (remaining letters fewer or more
+than any word below the node has, a next letter that no edge has) are dropped. A word's end reached after one edit is a neighbour.
+An edit in the first half of a word is found in the trie of the words read backwards, so only second halves are edited and no word
+branches at the top. The edges of crowded nodes (the root, common beginnings) are dealt to up to ``SALTS`` copies, so no node is one task's key.
 
 A word's form is its most frequent neighbour, if it is ``TIMES`` times as frequent; roots follow the forms by pointer doubling
 (a form is at least five times as frequent, so chains are short).
@@ -95,8 +96,9 @@ def prefixes(words: DataFrame) -> DataFrame:
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """Edges (node, salt, first, label, child, salts, least, most, ends): the letters to the next node, the copies its own edges have,
-    the fewest and most letters that words have below it, the id of the word that ends there. One row for each copy of the edge."""
+    """Edges (node, salt, first, label, child, salts, least, most, ends, nexts): the letters to the next node, the copies its own edges
+    have, the fewest and most letters that words have below it, the id of the word that ends there, the letters that go on from there.
+    One row for each copy of the edge."""
     every = materialise(prefixes(words), "trie-prefixes")
     nodes = (every.groupBy("node").agg(F.count(F.lit(1)).alias("words"), F.min("next").alias("lo"), F.max("next").alias("hi"),
                                        F.min("rest").alias("least"), F.max("rest").alias("most"), F.min("depth").alias("depth"),
@@ -107,60 +109,78 @@ def trie(words: DataFrame) -> DataFrame:
             .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "words", "least", "most", "ends"))).alias("way")))
     steps = (words.select("id", "word").join(ways, "id")
              .select("word", F.explode(F.expr("transform(sequence(1, size(way) - 1), i -> struct(way[i - 1] as a, way[i] as b))")).alias("s")))
-    edges = (steps.select(F.col("s.a.node").alias("node"), F.col("s.b.node").alias("child"), F.col("s.a.words").alias("words"),
-                          F.expr("substring(word, s.a.depth + 1, s.b.depth - s.a.depth)").alias("label"),
-                          F.col("s.b.least").alias("least"), F.col("s.b.most").alias("most"), F.col("s.b.ends").alias("ends"),
-                          copies("s.b.words", "s.a.words").alias("salts"))
-             .groupBy("node", "child", "label").agg(F.max("words").alias("words"), F.max("salts").alias("salts"), F.min("least").alias("least"),
-                                                    F.max("most").alias("most"), F.min("ends").alias("ends")))
-    # a node's own copies stand on the edge that leads to it; the root has none, so it gets them all
-    own = edges.groupBy(F.col("child").alias("node")).agg(F.max("salts").alias("here"))
-    dealt = edges.join(own, "node", "left").withColumn("here", F.coalesce("here", F.lit(SALTS)))
-    return materialise(dealt.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("here") - 1)))
-                       .select("node", "salt", F.substring("label", 1, 1).alias("first"), "label", "child", "salts", "least", "most", "ends"),
-                       "trie-edges")
-
-
-def copies(words: str, above: str):
-    """Copies for a node with so many words below it and its parent: edited states come from all words of the parent."""
-    return F.least(F.lit(SALTS), F.ceil(F.greatest(F.col(words), 4 * F.col(above)) / CROWD)).cast("int")
-
-
-def neighbours(words: DataFrame) -> DataFrame:
-    """(word, other): all pairs of the stored ``words`` (id, word, n) that differ by one letter, in both directions."""
-    spark = words.sparkSession
+    crowd = F.least(F.lit(SALTS), F.ceil(F.greatest("s.b.words", 4 * F.col("s.a.words")) / CROWD)).cast("int")
+    edges = materialise(steps.select(F.col("s.a.node").alias("node"), F.col("s.b.node").alias("child"),
+                                     F.expr("substring(word, s.a.depth + 1, s.b.depth - s.a.depth)").alias("label"),
+                                     F.col("s.b.least").alias("least"), F.col("s.b.most").alias("most"), F.col("s.b.ends").alias("ends"),
+                                     crowd.alias("salts"))
+                        .groupBy("node", "child", "label").agg(F.max("salts").alias("salts"), F.min("least").alias("least"),
+                                                               F.max("most").alias("most"), F.min("ends").alias("ends"))
+                        .withColumn("first", F.substring("label", 1, 1)), "trie-edges")
+    drop_table(every)
+    # a node's copies stand on the edge that leads to it; none leads to the root, which has them all
+    here = edges.groupBy(F.col("child").alias("node")).agg(F.max("salts").alias("here"))
+    ahead = edges.groupBy(F.col("node").alias("child")).agg(F.concat_ws("", F.collect_set("first")).alias("nexts"))  # an alphabet at most
+    return materialise(edges.join(here, "node", "left").join(ahead, "child", "left")
+                       .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("here", F.lit(SALTS)) - 1)))
+                       .select("node", "salt", "first", "label", "child", "salts", "least", "most", "ends", F.coalesce("nexts", F.lit("")).alias("nexts")),
+                       "trie-copies")
+
+
+def walk(words: DataFrame, hold: str) -> DataFrame:
+    """(id, ends): words and the words that they reach with one edit after their first ``hold`` letters (an expression)."""
     edges = trie(words)
-    states = words.select("word", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("node"), F.lit(0).alias("edits"),
+    states = words.select("id", "word", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("node"), F.lit(0).alias("edits"),
                           F.lit(SALTS).alias("salts"))
-    size, letters = "char_length(label)", "char_length(word)"
-    moves = [f"struct(substring(word, pos + 1, {size}) = label as ok, pos + {size} as pos, 0 as edits)"]
+    size, whole = "char_length(label)", "char_length(word)"
+    same = f"substring(word, pos + 1, {size}) = label"
+    # letters of this edge that must still be taken as they are; an edit lies behind them
+    due = f"({hold} - pos)"
+    apart = f"{due} < {size} and ({due} <= 0 or substring(word, pos + 1, {due}) = substring(label, 1, {due}))"
+    moves = [f"struct({same} as ok, pos + {size} as pos, edits)"]
     for more in (0, -1, 1):
         taken = f"substring(word, pos + 1, {size} + {more})"
-        moves.append(f"struct(char_length({taken}) = {size} + {more} and levenshtein({taken}, label, 1) = 1 as ok, "
+        moves.append(f"struct(edits = 0 and {apart} and char_length({taken}) = {size} + {more} and levenshtein({taken}, label, 1) = 1 as ok, "
                      f"pos + {size} + {more} as pos, 1 as edits)")
-    left = "char_length(word) - m.pos"
-    fits = f"m.ok and {left} between least - (1 - m.edits) and most + (1 - m.edits)"
-    found, level = [], 0
+    left = f"({whole} - m.pos)"
+    alive = (f"m.ok and {left} between least - (1 - m.edits) and most + (1 - m.edits) and (m.edits = 0 or ends is not null and {left} = 0 "
+             f"or {left} > 0 and contains(nexts, substring(word, m.pos + 1, 1)))")
+    reached, level = [], 0
     while True:
         dealt = states.withColumn("salt", F.pmod(F.xxhash64("word"), F.col("salts")).cast("int")).drop("salts")
-        plain = (dealt.filter("edits = 0").join(edges, ["node", "salt"])
-                 .select("word", "child", "salts", "least", "most", "ends", F.explode(F.expr(f"array({', '.join(moves)})")).alias("m"))
-                 .filter(fits).select("word", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends"))
-        edited = (dealt.filter("edits = 1").withColumn("first", F.expr("substring(word, pos + 1, 1)")).join(edges, ["node", "salt", "first"])
-                  .filter(f"substring(word, pos + 1, {size}) = label")
-                  .filter(f"{letters} - pos - {size} between least and most")
-                  .select("word", F.expr(f"pos + {size}").alias("pos"), "child", "edits", "salts", "most", "ends"))
-        reached = materialise(plain.union(edited).distinct(), f"trie-level-{level}")
-        found.append(reached.filter(f"ends is not null and {letters} - pos = 1 - edits").select("word", "ends"))
-        states = reached.filter("most > 0").select("word", "pos", F.col("child").alias("node"), "edits", "salts")
-        level += 1
+        free = F.expr(f"edits = 0 and pos >= {hold}")
+        one = dealt.filter(~free).withColumn("first", F.expr("substring(word, pos + 1, 1)")).join(edges, ["node", "salt", "first"])
+        all_of = dealt.filter(free).join(edges, ["node", "salt"])
+        after = [x.select("id", "word", "child", "salts", "most", "ends", F.explode(F.expr(f"array({', '.join(m)})")).alias("m"), "least", "nexts")
+                 .filter(alive).select("id", "word", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends")
+                 for x, m in ((one, moves), (all_of, moves))]
+        now = materialise(after[0].union(after[1]).distinct(), f"trie-level-{level}")
+        # an end one edit away, or one letter short of the word
+        reached.append(materialise(now.filter(f"ends is not null and {whole} - pos = 1 - edits").select("id", "ends"), f"trie-ends-{level}"))
+        if level:
+            drop_table(before)
+        before, level = now, level + 1
+        states = now.filter("most > 0").select("id", "word", "pos", F.col("child").alias("node"), "edits", "salts")
         if states.isEmpty():
             break
-    pairs = spark.createDataFrame([], "word string, ends long")
-    for f in found:
-        pairs = pairs.union(f)
+    drop_table(before)
+    pairs = reached[0]
+    for r in reached[1:]:
+        pairs = pairs.union(r)
+    return pairs
+
+
+def neighbours(words: DataFrame) -> DataFrame:
+    """(word, other): all pairs of the stored ``words`` (id, word, n) that differ by one letter, in both directions.
+
+    The edit lies in the second half of a word or, read backwards, in its second half: the words walk their trie and, backwards,
+    that of the words read backwards, each with the first half taken as it is, so that no word branches at the crowded top."""
+    backwards = materialise(words.select("id", F.reverse("word").alias("word")), "spelling-backwards")
+    half = "(char_length(word) DIV 2)"
+    pairs = walk(words, half).union(walk(backwards, f"(char_length(word) - {half})")).distinct()
     # prefixes are told apart by hash: a last look at the words themselves
-    return materialise(pairs.distinct().join(words.select(F.col("id").alias("ends"), F.col("word").alias("other")), "ends")
+    return materialise(pairs.join(words.select("id", "word"), "id")
+                       .join(words.select(F.col("id").alias("ends"), F.col("word").alias("other")), "ends")
                        .filter("levenshtein(word, other, 1) = 1").select("word", "other"), "trie-pairs")
 
 
