@@ -49,3 +49,49 @@ def test_pii_learns_from_texts_anywhere_in_the_alphabet(spark):
     assert any(f.startswith("sign") for _, f in field.weights)
     found = pii.find(spark.createDataFrame([(1, "please write to someone [at] mail.example.org today")], "doc_id long, text string"), field)
     assert "email" in found.first()["spans"]
+
+
+def by_sql(spark, docs, oracle, tmp):
+    """(rows of the query's columns, of the SQL) as sorted tuples over the same table."""
+    import duckdb
+    path = f"{tmp}/documents.parquet"
+    docs.coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    res = con.execute(oracle)
+    return [d[0] for d in res.description], sorted(map(repr, res.fetchall()))
+
+
+def test_mix_of_very_unequal_sources_equals_the_sql(spark, tmp_path):
+    """Sources of 600,000, 100, 20 and 1 words and rows without id: each target is met to the word, as in the SQL."""
+    rows = [(i, "big", "w " * 1000) for i in range(600)] + [(1000 + i, "c100", "a b c d e f g h i j") for i in range(10)]
+    rows += [(2000, "d20", "x " * 20), (2001, "e1", "one"), (2002, None, "none of it"), (2003, "f0", None)]
+    rows += [(None, "big", f"word{i % 7} and more") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.mix(docs)
+    columns, want = by_sql(spark, docs, mixing.ORACLE, tmp_path)
+    assert sorted(repr(tuple(r)) for r in out.select(columns).collect()) == want
+    full = mixing.mix(docs, keep=("doc_id", "source")).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g"),
+                                                                           F.max("first_slot").alias("s")).collect()
+    for r in full:
+        assert abs(r["t"] - r["g"]) <= 0.5 and (r["s"] >= 0) == (r["t"] > 0)
+
+
+def test_first_slots_interleave_sources(spark):
+    """Any run of slots has the sources in nearly the proportions of their targets."""
+    rows = [(i, "abc"[i % 3], "w " * 50) for i in range(3000)]
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), keep=("doc_id", "source"))
+    early = out.filter("first_slot >= 0").orderBy("first_slot", "doc_id").limit(400).groupBy("source").count().collect()
+    share = {r["source"]: r["count"] / 400 for r in early}
+    target = {r["source"]: r["target"] for r in out.select("source", "target").distinct().collect()}
+    assert all(abs(share[s] - target[s] / sum(target.values())) < 0.1 for s in target)
+
+
+def test_mixture_stage_loses_no_source(spark):
+    import corpus_pipeline
+    rows = [(i, "w " * 400, "en", "big", 800) for i in range(50)] + [(100 + i, "a b c", "en", f"s{i}", 5) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mixture(spark, docs, "")
+    taken = mixing.mix(docs, keep=("source",)).groupBy("source").agg(F.sum("taken").alias("t")).filter("t > 0")
+    assert {r["source"] for r in out.select("source").distinct().collect()} == {r["source"] for r in taken.collect()}
+    assert corpus_pipeline.mixture(spark, docs.limit(0), "").count() == 0
