@@ -42,12 +42,18 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As many copies of each document as the mix takes of it, to the nearest whole: none, one or up to three."""
+    """As many copies of each document as the mix takes of it, to the nearest whole: none, one or up to three. A source of which
+    the mix takes words keeps the document that it takes most of, if rounding leaves it without any."""
     keyed = docs.select(COLUMNS).withColumn("_key", F.xxhash64("doc_id", "source", "text"))
-    taken = (mixing.mix(keyed, keep=("_key",)).groupBy("_key")
+    share = F.col("_taken") / F.greatest("_size", F.lit(1))
+    taken = (mixing.mix(keyed, keep=("source", "_key")).groupBy("source", "_key")
              .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
-             .select("_key", F.round(F.col("_taken") / F.greatest("_size", F.lit(1))).cast("int").alias("_times"))
-             .filter("_times > 0"))
+             .select("source", "_key", "_taken", share.alias("_share"), F.round(share).cast("int").alias("_times")))
+    bare = (taken.groupBy(F.col("source").alias("_s")).agg(F.max("_times").alias("_most"), F.max(F.struct("_share", "_key"))["_key"].alias("_one"),
+                                                           F.sum("_taken").alias("_words"))
+            .filter("_most = 0 and _words > 0").select("_s", "_one"))
+    taken = (taken.join(bare, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_key") == F.col("_one")), "left")
+             .select("_key", F.when(F.col("_one").isNotNull(), 1).otherwise(F.col("_times")).alias("_times")).filter("_times > 0"))
     return (keyed.join(taken, "_key").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
             .select(COLUMNS))
 
