@@ -22,6 +22,8 @@ from shoal.session import scratch_path
 #: Rows per Arrow batch and characters per array chunk: what one Python worker holds at a time.
 BATCH_ROWS = 512
 CHUNK_CHARS = 1 << 20
+#: Spark's setting for removing the shuffle files of a finished query.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
 MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -33,12 +35,20 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back: cuts the lineage,
-    survives lost executors, is read column by column."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    survives lost executors, is read column by column. ``tidy``: the write's shuffle files go once it has ended, not only when
+    the driver collects its garbage."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(TIDY)
+    if tidy:
+        spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_table(df: DataFrame) -> None:

@@ -12,7 +12,7 @@ The tree is a Spark table of weights by n-gram: a kept context weighs the share
 token what it gains over that. All kept suffixes of what precedes a token form a chain, so its log probability is that
 of the root and the weights of the n-grams that end before and at it; a text's score is a sum over its n-grams, met
 in a join. Words and n-grams with a share of at least ``FREQUENT`` (at most ``1 / FREQUENT`` a length) are held by
-every task and summed there, so no key of the join is hot; the others make one row per document and n-gram. A bitmap of fixed
+every task and summed there, so no key of the join is hot; the others make one row per document and n-gram. A bitmap of bounded
 size keeps n-grams away from the shuffles that the table cannot hold; what it lets through in error falls out of
 the join. Words and n-grams are identified by 64-bit hashes.
 
@@ -22,6 +22,7 @@ count and are scored one by one. No training rows: every probability is 1, score
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from shoal.llm.common import MIX1, ODD, Texts, bounded_batches, chunks, crc_mod, lists, materialise, splitmix
 
 #: Share of training tokens from which a word or an n-gram is held by every task.
-FREQUENT = 4e-6
+FREQUENT = 1e-6
 #: Words in the longest contexts; occurrences from which a context is a candidate.
 DEPTH, MIN_CONTEXT = 3, 64
 #: Occurrences from which a next token is listed; its discount.
@@ -43,8 +44,8 @@ MIN_COUNT, DISCOUNT = 4, 0.75
 MIN_DIVERGENCE, MIN_GAIN = 0.02, 30.0
 #: Words that a task gathers before it counts them.
 GATHER = 1 << 21
-#: Bits of the bitmap over keys: 4 MB whatever the corpus.
-BITMAP_BITS = 25
+#: Bits of a bitmap for each key that it is to hold, at least; powers of two of its bits at least and at most (32 MB).
+KEY_BITS, LEAST_BITS, MOST_BITS = 8, 20, 28
 #: Bits of a held word's number in a packed context, for inspection.
 CONTEXT_BITS = 20
 #: Tokens that are no words, and the key of the empty context.
@@ -111,18 +112,20 @@ def _gathered(batches, found, names):
 
 
 def bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for each value of the column ``key``, by its low bits; the driver gets the words that are not zero."""
-    slot = F.col("key").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+    """A bit for each value of the column ``key``, by its low bits, in a bitmap sized by their number. The tasks set the bits; the driver
+    gets the words that are not zero, as Arrow batches."""
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, KEY_BITS * keys.count())))))
+    slot = F.col("key").bitwiseAND(F.lit((1 << bits) - 1))
     bit = F.expr("shiftleft(1L, cast(key & 63L AS INT))")
-    got = (keys.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))).toPandas()
-    out = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
-    out[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    got = keys.select(F.shiftright(slot, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[got["w"].to_numpy()] = got["b"].to_numpy()
     return out.view(np.uint64)
 
 
 def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Has each key a bit? True for every key that was given one."""
-    slot = keys & np.uint64((1 << BITMAP_BITS) - 1)
+    slot = keys & np.uint64(len(bits) * 64 - 1)
     return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
@@ -136,8 +139,8 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _sorted(table: DataFrame, *cols: str) -> tuple[np.ndarray, ...]:
     """Key and columns of a small table, by unsigned key."""
-    got = table.select("key", *cols).toPandas()
-    key = got["key"].to_numpy(np.int64).view(np.uint64)
+    got = table.select("key", *cols).toArrow()
+    key = got["key"].to_numpy().view(np.uint64)
     order = np.argsort(key)
     return key[order], *(got[c].to_numpy()[order] for c in cols)
 
@@ -165,8 +168,8 @@ class Model:
         order = np.argsort(tokens)
         single = extend(np.zeros(len(tokens), np.uint64), tokens)
         by_key = np.argsort(single)
-        got = self.contexts.select("before", "last", "weight").toPandas()
-        before, last = (got[c].to_numpy(np.int64).view(np.uint64) for c in ("before", "last"))
+        got = self.contexts.select("before", "last", "weight").toArrow()
+        before, last = (got[c].to_numpy().view(np.uint64) for c in ("before", "last"))
         new, at = _find(tokens[order], last)
         old, to = _find(single[by_key], before)
         keep = new & (old | (before == EMPTY))
@@ -186,7 +189,7 @@ class Model:
 
 def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     """Learn from (doc_id, text) rows: one pass over the texts for the words and one for each length of context up to ``depth``.
-    The driver gets the frequent words and a bitmap, both of bounded size. Returns the model and the table of all word counts."""
+    The driver gets the frequent words and bitmaps, all of bounded size. Returns the model and the table of all word counts."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select("text")
@@ -198,7 +201,7 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     def unigrams(batches):
         yield from _gathered(batches, words_of, ["key"])
 
-    counts = materialise(docs.mapInArrow(unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words")
+    counts = materialise(docs.mapInArrow(unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words", tidy=True)
     row = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
     n_docs = docs.count()
     total, distinct = (row["n"] or 0) + n_docs, row["v"] + (n_docs > 0)
@@ -214,20 +217,23 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
                      (F.log10(F.col("n") + 1.0) - F.lit(float(np.log10(total + distinct + 1)))).alias("lp")))
     grown = counts.union(one(BEGIN)).select(F.lit(0).cast("long").alias("node"), F.col("key").alias("nxt"), "n",
                                             F.lit(0).cast("long").alias("suffix"))
+    # n-grams of as many tokens as the contexts have, seen often enough; single tokens by their own hash
+    often = counts.filter(F.col("n") >= MIN_COUNT).select("key").union(one(END).select("key"))
     kept_nodes, kept_grams = [], []
     for length in range(1, depth + 1):
-        candidates = materialise(_named(grown.filter(F.col("n") >= MIN_CONTEXT), length), f"lm-candidates-{length}")
+        candidates = materialise(_named(grown.filter(F.col("n") >= MIN_CONTEXT), length), f"lm-candidates-{length}", tidy=True)
         if candidates.isEmpty():
             break
-        bits = spark.sparkContext.broadcast(bitmap(candidates.select(F.col("node").alias("key"))))
+        # a token that follows a candidate MIN_COUNT times follows its suffix as often, so the others need no counting
+        bits = spark.sparkContext.broadcast((bitmap(candidates.select(F.col("node").alias("key"))), bitmap(often)))
         pairs = docs.mapInArrow(_following(length, bits), "node long, nxt long, n long")
         pairs = materialise(pairs.groupBy("node", "nxt").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
-                            .join(candidates.select("node", "suffix", "size"), "node"), f"lm-pairs-{length}")
+                            .join(candidates.select("node", "suffix", "size"), "node"), f"lm-pairs-{length}", tidy=True)
         bits.destroy()
-        # what follows a candidate at least MIN_COUNT times follows its suffix as often, so each row has its parent's
+        # each row has its parent's, for the same reason
         rows = (pairs.join(state.select(F.col("node").alias("suffix"), "nxt", F.col("lp").alias("parent")), ["suffix", "nxt"])
                 .withColumn("p", (F.col("n") - F.lit(DISCOUNT)) / F.col("size")))
-        rows = materialise(rows, f"lm-rows-{length}")
+        rows = materialise(rows, f"lm-rows-{length}", tidy=True)
         free, parent_free = 1 - F.col("p"), F.greatest(F.lit(1e-12), 1 - F.col("parent"))
         tested = (rows.groupBy("node", "size").agg(
             F.sum("p").alias("p"), F.sum(F.pow(F.lit(10.0), "parent")).alias("parent"), F.sum("n").alias("n"),
@@ -235,32 +241,34 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
             .withColumn("gain", F.col("gain") + (F.col("size") - F.col("n")) * F.ln(free / parent_free))
             .filter((F.col("gain") >= MIN_GAIN) & (F.col("gain") >= F.col("size") * MIN_DIVERGENCE))
             .select("node", F.log10(free / parent_free).alias("weight")))
-        kept = materialise(candidates.join(tested, "node"), f"lm-kept-{length}")
+        kept = materialise(candidates.join(tested, "node"), f"lm-kept-{length}", tidy=True)
         rows = rows.join(kept.select("node", "weight"), "node", "left")
         stays = F.col("weight").isNotNull()
         kept_nodes.append(kept)
         kept_grams.append(materialise(_keyed(rows.filter(stays).select(
-            "node", "nxt", "n", (F.log10("p") - F.col("parent") - F.col("weight")).alias("weight"))), f"lm-grams-{length}"))
+            "node", "nxt", "n", (F.log10("p") - F.col("parent") - F.col("weight")).alias("weight"))), f"lm-grams-{length}", tidy=True))
         state = rows.select("node", "nxt", F.when(stays, F.log10("p")).otherwise(F.col("parent")).alias("lp"))
         # a context one longer is a candidate and the token after it
         grown = pairs.filter(F.col("nxt") != F.lit(signed(END))).select("node", "nxt", "n", "suffix")
+        often = _keyed(pairs.select("node", "nxt", "n", F.lit(0.0).alias("weight"))).select("key")
 
     contexts = spark.createDataFrame([], "node long, before long, last long, suffix long, size long, weight double")
     tree = spark.createDataFrame([], "key long, n long, weight double")
     for kept, listed in zip(kept_nodes, kept_grams):
         contexts = contexts.unionByName(kept)
         tree = tree.unionByName(listed).unionByName(kept.select(F.col("node").alias("key"), F.col("size").alias("n"), "weight"))
-    tree = materialise(tree.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")), "lm-tree")
+    tree = materialise(tree.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")), "lm-tree", tidy=True)
     return Model(total, distinct, n_docs, depth, words, log_count, contexts, tree), counts
 
 
 def _following(length: int, bits):
-    """(context, token after it, n) for the contexts of ``length`` tokens that ``bits`` lets through."""
+    """(context, token after it, n) for the contexts of ``length`` tokens and the n-grams of that length at the token that ``bits`` lets through."""
     def found(t: Texts):
         token, _, place = sequence(t)
-        *_, context, whole = grams(token, length + 1)
-        context = np.r_[EMPTY, context[:-1]]
-        i = np.flatnonzero((place >= length) & marked(bits.value, context))
+        *_, suffix, whole = grams(token, length + 1)
+        context = np.r_[EMPTY, suffix[:-1]]
+        contexts, often = bits.value
+        i = np.flatnonzero((place >= length) & marked(contexts, context) & marked(often, token if length == 1 else suffix))
         return whole[i], context[i], token[i]
 
     def run(batches):
@@ -370,9 +378,9 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
             .select("rid", F.col("x.h").alias("key"), F.col("x.n").alias("times")))
     table = (counts.filter(~frequent).select("key", F.log10(F.col("n") + 1.0).alias("root"), F.lit(0.0).alias("weight"), F.lit(1).alias("word"))
              .union(m.tree.filter(~frequent).select("key", F.lit(0.0), "weight", F.lit(0))))
-    met = (rare.join(table, "key").groupBy("rid")
-           .agg(F.sum(F.col("times") * F.col("root")).alias("more_base"), F.sum(F.col("times") * F.col("weight")).alias("more_tree"),
-                F.sum(F.col("times") * F.col("word")).alias("more_known")))
+    met = materialise(rare.join(table, "key").groupBy("rid")
+                      .agg(F.sum(F.col("times") * F.col("root")).alias("more_base"), F.sum(F.col("times") * F.col("weight")).alias("more_tree"),
+                           F.sum(F.col("times") * F.col("word")).alias("more_known")), "lm-met", tidy=True)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     base = F.col("base") + zero("more_base") - F.col("n_tokens") * F.lit(m.log_total)
     return (rows.drop("h", "n").join(met, "rid", "left")
