@@ -121,3 +121,52 @@ def status_as_of(df: DataFrame, key: str, start: str, end: str, status: str, day
     best = F.max(F.struct(F.col(start).alias("s"), F.col(tiebreak).alias("t"), F.col(status).alias("st")))
     return live.groupBy(key).agg(best.alias("_b")).select(
         key, F.col("_b.st").alias(status), F.col("_b.s").alias(start))
+
+
+def overlap_pairs(df: DataFrame, key: str, start: str, end: str, tiebreak: str) -> DataFrame:
+    """Every pair of intervals of one key that share a day, once: (key, first, second, overlap_start, overlap_end), ``first`` the one that
+    starts earlier (ties by ``tiebreak``).
+
+    Time is cut in cells as long as the average interval. An interval is copied to the cells it covers, about two on
+    average, and meets the intervals that *start* there: the pair lies in the cell of the later start, in no other. So work is that of the
+    pairs in a cell, a hot key is spread over its cells, and no pair needs to be removed again. NULL keys, starts or ends and
+    empty intervals pair with nothing.
+    """
+    rows = df.where((F.col(start) < F.col(end)) & F.col(key).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(tiebreak).alias("_t"), F.col(start).alias("_s"), F.col(end).alias("_e"))
+    width = rows.agg(F.avg(F.date_diff("_e", "_s")).alias("w")).first()["w"]
+    days = max(1, round(width or 1))
+
+    def cell(c: Column) -> Column:
+        return F.floor(F.date_diff(c, F.lit("1970-01-01").cast("date")) / F.lit(days))
+
+    covers = rows.withColumn("_cell", F.explode(F.sequence(cell(F.col("_s")), cell(F.date_sub("_e", 1)))))
+    starts = rows.select(F.col("_k").alias("_k2"), F.col("_t").alias("_t2"), F.col("_s").alias("_s2"), F.col("_e").alias("_e2"),
+                         cell(F.col("_s")).alias("_cell2"))
+    met = covers.join(starts, (F.col("_k") == F.col("_k2")) & (F.col("_cell") == F.col("_cell2"))
+                      & (F.struct("_s", "_t") < F.struct("_s2", "_t2")) & (F.col("_s2") < F.col("_e")))
+    return met.select(F.col("_k").alias(key), F.col("_t").alias("first"), F.col("_t2").alias("second"), F.col("_s2").alias("overlap_start"),
+                      F.least("_e", "_e2").alias("overlap_end"))
+
+
+def as_of_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, tiebreak: str,
+               columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """``left`` with ``columns`` of the last row of ``right`` of the same key whose ``right_time`` is at or before ``left_time`` (ties:
+    largest ``tiebreak``); NULL where there is none.
+
+    Both sides are dealt by range of (key, time) together, so a hot key is spread over many tasks, and the last known row is a
+    running maximum carried over the partitions' borders (:func:`prefix_on_positioned`). NULL times on the right and NULL keys match
+    nothing. Times of both sides have one type.
+    """
+    value = F.struct(F.col(right_time).alias("t"), F.col(tiebreak).alias("b"), F.struct(*columns).alias("v"))
+    known = right.where(F.col(key).isNotNull() & F.col(right_time).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(right_time).alias("_time"), F.lit(0).alias("_side"), value.alias("_known"))
+    asked = left.select(F.col(key).alias("_key"), F.col(left_time).alias("_time"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_row"))
+    # a row without key or time has nothing before it
+    plain = F.col("_key").isNotNull() & F.col("_time").isNotNull()
+    both = known.unionByName(asked.where(plain), allowMissingColumns=True)
+    pos = positioned(both, ["_key"], ["_time", "_side"], partitions)
+    met = prefix_on_positioned(pos, ["_key"], "_known", "max", out="_last", inclusive=True).where("_side = 1")
+    rest = asked.where(~plain).withColumn("_last", F.lit(None).cast(known.schema["_known"].dataType))
+    out = met.select("_row", "_last").unionByName(rest.select("_row", "_last"))
+    return out.select("_row.*", *[F.col(f"_last.v.`{c}`").alias(c) for c in columns])

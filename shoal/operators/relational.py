@@ -136,8 +136,11 @@ def bottom_k(df: DataFrame, spec: Sequence[tuple[str, bool]], k: int) -> DataFra
 
 
 def sample_rows(df: DataFrame, n: int = 1, seed: int = 7) -> DataFrame:
-    """``n`` random rows with a seed (a top-n by a seeded random key)."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    """``n`` random rows: those with the lowest seeded hash of all their columns. The same rows are picked
+    however the table is partitioned and ordered (per-partition bottom-n, then a merge). Rows that repeat are picked together."""
+    key = F.xxhash64(F.lit(seed), *[F.to_json(c) if "map<" in t else F.col(f"`{c}`") for c, t in
+                                    ((f.name, f.dataType.simpleString()) for f in df.schema.fields)])
+    return df.withColumn("_pick", key).orderBy("_pick").limit(n).drop("_pick")
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

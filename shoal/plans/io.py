@@ -143,7 +143,9 @@ FROM orders JOIN (VALUES ('1-URGENT', 1), ('2-HIGH', 2), ('3-MEDIUM', 5), ('4-NO
 GROUP BY o_orderpriority, sla_days
 """)
 def inline_values(spark, sf):
-    sla = spark.createDataFrame(SLA_DAYS, "priority string, sla_days int")
+    # a literal relation: no job, no Python rows, its size is known to the planner
+    rows = ", ".join(f"('{p}', {d})" for p, d in SLA_DAYS)
+    sla = spark.sql(f"SELECT * FROM VALUES {rows} AS sla(priority, sla_days)")
     counts = load(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders"))
     return counts.join(F.broadcast(sla), counts.o_orderpriority == sla.priority).select(
         "o_orderpriority", "sla_days", "n_orders")

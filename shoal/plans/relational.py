@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shoal.operators import dependencies as D
 from shoal.operators import intervals as IV
 from shoal.operators import keys as K
 from shoal.operators import modeling as M
@@ -214,6 +215,20 @@ def sample_row(spark, sf):
     return R.sample_rows(load(spark, sf, "region"), 1, seed=11)
 
 
+@query("sample_is_member", """
+SELECT 25 AS n_rows, 25 AS n_members, 25 AS n_other_layout
+""")
+def sample_is_member(spark, sf):
+    """Properties of a random sample of 25 orders: its size, how many are rows of the table, and how many are picked again
+    when the table is dealt out and ordered otherwise."""
+    od = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    picked = R.sample_rows(od, 25, seed=11)
+    again = R.sample_rows(od.repartition(7, "o_totalprice"), 25, seed=11)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).cast("int").alias(name))
+    return (count(picked, "n_rows").crossJoin(count(picked.join(od, od.columns, "left_semi"), "n_members"))
+            .crossJoin(count(picked.join(again, od.columns, "left_semi"), "n_other_layout")))
+
+
 # ---------------------------------------------------------------- modelling (I)
 
 
@@ -264,6 +279,58 @@ def normalize_roundtrip(spark, sf):
     return M.lossless_check(flat, rebuilt)
 
 
+_FD_COLUMNS = ["o_orderkey", "o_orderdate", "o_orderstatus", "c_name", "c_mktsegment", "n_name", "r_name"]
+_FD_FLAT = """
+WITH flat AS (SELECT o_orderkey, o_orderdate, o_orderstatus, c_name, c_mktsegment, n_name, r_name
+              FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+              JOIN region ON n_regionkey = r_regionkey)
+"""
+
+
+def _dimensional_orders(spark, sf):
+    """The flat table with a second level: a nation's region."""
+    re, na = load(spark, sf, "region"), load(spark, sf, "nation")
+    cu, od = load(spark, sf, "customer"), load(spark, sf, "orders")
+    where = na.join(F.broadcast(re), na.n_regionkey == re.r_regionkey)
+    return (od.join(cu, od.o_custkey == cu.c_custkey).join(F.broadcast(where), F.col("c_nationkey") == F.col("n_nationkey"))
+            .select(*_FD_COLUMNS))
+
+
+@query("functional_dependencies", _FD_FLAT + " UNION ALL ".join(
+    f"SELECT '{x}' AS determines, '{y}' AS determined FROM flat HAVING count(DISTINCT {x}) = count(DISTINCT ({x}, {y}))"
+    for x in _FD_COLUMNS for y in _FD_COLUMNS if x != y))
+def functional_dependencies(spark, sf):
+    """Which column determines which, measured on the whole flat table."""
+    flat = M.materialize(_dimensional_orders(spark, sf))
+    found = [(x[0], y) for x, y in D.dependencies(flat) if x]
+    names = F.array(*[F.struct(F.lit(x).alias("determines"), F.lit(y).alias("determined")) for x, y in found])
+    return spark.range(1).select(F.explode(names).alias("d")).select("d.*")
+
+
+@query("normalize_found", _FD_FLAT + """
+SELECT 'o_orderkey' AS key, 'o_orderkey,o_orderdate,o_orderstatus,c_name' AS columns, count(DISTINCT o_orderkey) AS n_rows FROM flat
+UNION ALL SELECT 'c_name', 'c_name,c_mktsegment,n_name', count(DISTINCT c_name) FROM flat
+UNION ALL SELECT 'n_name', 'n_name,r_name', count(DISTINCT n_name) FROM flat
+""")
+def normalize_found(spark, sf):
+    """Third normal form from the measured dependencies: key, columns and rows of each table. Segment and nation
+    come to sit on the customer, the region on the nation, though nothing declares that."""
+    flat = M.materialize(_dimensional_orders(spark, sf))
+    tables = D.decompose(flat, D.third_normal_form(flat.columns, D.dependencies(flat)))
+    out = None
+    for r, table in tables.items():
+        one = table.agg(F.lit(",".join(r.key)).alias("key"), F.lit(",".join(r.columns)).alias("columns"), F.count(F.lit(1)).alias("n_rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("normalize_found_roundtrip", _FD_FLAT + "SELECT DISTINCT * FROM flat")
+def normalize_found_roundtrip(spark, sf):
+    """The found tables joined again: the distinct rows of the flat table."""
+    flat = M.materialize(_dimensional_orders(spark, sf))
+    return D.recompose(D.decompose(flat, D.third_normal_form(flat.columns, D.dependencies(flat))), flat.columns)
+
+
 @query("referential_check", """
 SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (
   SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY')
@@ -371,6 +438,35 @@ def status_as_of(spark, sf):
                            "1998-06-30", "seq")
 
 
+@query("interval_pairs", _INTERVALS + """
+SELECT a.id, a.seq AS first, b.seq AS second, b.start_date AS overlap_start, least(a.end_date, b.end_date) AS overlap_end
+FROM iv a JOIN iv b ON a.id = b.id AND (a.start_date, a.seq) < (b.start_date, b.seq) AND b.start_date < a.end_date
+""")
+def interval_pairs(spark, sf):
+    return IV.overlap_pairs(status_intervals(spark, sf), "id", "start_date", "end_date", "seq")
+
+
+@query("status_at_transaction", _INTERVALS + """
+, tx AS (SELECT o_custkey AS id, CAST(l_shipdate AS DATE) AS day, l_extendedprice AS amount
+         FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT coalesce(s.status, 'none') AS status, coalesce(tx.day < s.end_date, false) AS in_force, count(*) AS n_transactions,
+       round(sum(amount), 2) AS amount
+FROM tx LEFT JOIN LATERAL (SELECT status, end_date FROM iv WHERE iv.id = tx.id AND iv.start_date <= tx.day
+                           ORDER BY start_date DESC, seq DESC LIMIT 1) s ON true
+GROUP BY ALL
+""")
+def status_at_transaction(spark, sf):
+    """Amounts by the customer's status at the date of each transaction: the last one that had begun, and whether it was still
+    in force."""
+    li, od = load(spark, sf, "lineitem"), load(spark, sf, "orders")
+    tx = (li.join(od, li.l_orderkey == od.o_orderkey)
+          .select(F.col("o_custkey").alias("id"), F.to_date("l_shipdate").alias("day"), F.col("l_extendedprice").alias("amount")))
+    met = IV.as_of_join(tx, status_intervals(spark, sf), "id", "day", "start_date", "seq", ["status", "end_date"])
+    return (met.groupBy(F.coalesce("status", F.lit("none")).alias("status"),
+                        F.coalesce(F.col("day") < F.col("end_date"), F.lit(False)).alias("in_force"))
+            .agg(F.count(F.lit(1)).alias("n_transactions"), F.round(F.sum("amount"), 2).alias("amount")))
+
+
 @query("dedup_exact", "SELECT DISTINCT user_id, event_type FROM events")
 def dedup_exact(spark, sf):
     """``dropDuplicates`` on a key when all kept columns agree."""
