@@ -8,8 +8,8 @@ All words walk the trie at once. A state is (word, position, node, edits). A lev
 nodes: an edge takes its letters unchanged, or with one letter inserted, deleted or replaced if nothing was edited before. A state
 that has been edited meets only the one edge that goes on with its next letter. States that cannot end (remaining letters fewer or more
 than any word below the node has, a next letter that no edge has) are dropped. A word's end reached after one edit is a neighbour.
-An edit in the first half of a word is found in the trie of the words read backwards, so only second halves are edited and no word
-branches at the top. The edges of crowded nodes (the root, common beginnings) are dealt to up to ``SALTS`` copies, so no node is one task's key.
+An edit in the first half of a word is found by the words read backwards, which stand in the same trie after a mark, so only second
+halves are edited and no word branches at the top. The edges of crowded nodes (the root, common beginnings) are dealt to up to ``SALTS`` copies, so no node is one task's key.
 
 A word's form is its most frequent neighbour, if it is ``TIMES`` times as frequent; roots follow the forms by pointer doubling
 (a form is at least five times as frequent, so chains are short).
@@ -37,6 +37,8 @@ RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
 DROP = 199
 #: Code points and occurrences of a word at least; how much more frequent a form is.
 LENGTH, COUNT, TIMES = 6, 5, 5
+#: Stands before a word that is read backwards; no letter.
+MARK = "<"
 #: Distinct words that a task gathers before it hands them on.
 GATHER = 1 << 18
 #: Copies of a crowded node's edges, and the states that one copy is meant for.
@@ -99,7 +101,7 @@ def trie(words: DataFrame) -> DataFrame:
     """Edges (node, salt, first, label, child, salts, least, most, ends, nexts): the letters to the next node, the copies its own edges
     have, the fewest and most letters that words have below it, the id of the word that ends there, the letters that go on from there.
     One row for each copy of the edge."""
-    every = materialise(prefixes(words), "trie-prefixes")
+    every = materialise(prefixes(words), "trie-prefixes", tidy=True)
     nodes = (every.groupBy("node").agg(F.count(F.lit(1)).alias("words"), F.min("next").alias("lo"), F.max("next").alias("hi"),
                                        F.min("rest").alias("least"), F.max("rest").alias("most"), F.min("depth").alias("depth"),
                                        F.min(F.when(F.col("rest") == 0, F.col("id"))).alias("ends"))
@@ -116,7 +118,7 @@ def trie(words: DataFrame) -> DataFrame:
                                      crowd.alias("salts"))
                         .groupBy("node", "child", "label").agg(F.max("salts").alias("salts"), F.min("least").alias("least"),
                                                                F.max("most").alias("most"), F.min("ends").alias("ends"))
-                        .withColumn("first", F.substring("label", 1, 1)), "trie-edges")
+                        .withColumn("first", F.substring("label", 1, 1)), "trie-edges", tidy=True)
     drop_table(every)
     # a node's copies stand on the edge that leads to it; none leads to the root, which has them all
     here = edges.groupBy(F.col("child").alias("node")).agg(F.max("salts").alias("here"))
@@ -124,7 +126,7 @@ def trie(words: DataFrame) -> DataFrame:
     return materialise(edges.join(here, "node", "left").join(ahead, "child", "left")
                        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("here", F.lit(SALTS)) - 1)))
                        .select("node", "salt", "first", "label", "child", "salts", "least", "most", "ends", F.coalesce("nexts", F.lit("")).alias("nexts")),
-                       "trie-copies")
+                       "trie-copies", tidy=True)
 
 
 def walk(words: DataFrame, hold: str) -> DataFrame:
@@ -137,33 +139,38 @@ def walk(words: DataFrame, hold: str) -> DataFrame:
     # letters of this edge that must still be taken as they are; an edit lies behind them
     due = f"({hold} - pos)"
     apart = f"{due} < {size} and ({due} <= 0 or substring(word, pos + 1, {due}) = substring(label, 1, {due}))"
-    moves = [f"struct({same} as ok, pos + {size} as pos, edits)"]
+    moves = [f"struct({same} as ok, pos + {size} as pos, 0 as edits)"]
     for more in (0, -1, 1):
         taken = f"substring(word, pos + 1, {size} + {more})"
-        moves.append(f"struct(edits = 0 and {apart} and char_length({taken}) = {size} + {more} and levenshtein({taken}, label, 1) = 1 as ok, "
+        moves.append(f"struct({apart} and char_length({taken}) = {size} + {more} and levenshtein({taken}, label, 1) = 1 as ok, "
                      f"pos + {size} + {more} as pos, 1 as edits)")
-    left = f"({whole} - m.pos)"
-    alive = (f"m.ok and {left} between least - (1 - m.edits) and most + (1 - m.edits) and (m.edits = 0 or ends is not null and {left} = 0 "
-             f"or {left} > 0 and contains(nexts, substring(word, m.pos + 1, 1)))")
+
+    def alive(pos: str, edits: str) -> str:
+        """Can a state after the edge still end? By the letters left, or by the next one."""
+        left = f"({whole} - {pos})"
+        return (f"{left} between least - (1 - {edits}) and most + (1 - {edits}) and ({edits} = 0 or ends is not null and {left} = 0 "
+                f"or {left} > 0 and contains(nexts, substring(word, {pos} + 1, 1)))")
+
+    columns = ["id", "word", "pos", "child", "edits", "salts", "most", "ends"]
     reached, level = [], 0
     while True:
         dealt = states.withColumn("salt", F.pmod(F.xxhash64("word"), F.col("salts")).cast("int")).drop("salts")
         free = F.expr(f"edits = 0 and pos >= {hold}")
+        # one edge each, by its first letter: edited states, and those whose next letter is to be taken as it is
         one = dealt.filter(~free).withColumn("first", F.expr("substring(word, pos + 1, 1)")).join(edges, ["node", "salt", "first"])
-        all_of = dealt.filter(free).join(edges, ["node", "salt"])
-        after = [x.select("id", "word", "child", "salts", "most", "ends", F.explode(F.expr(f"array({', '.join(m)})")).alias("m"), "least", "nexts")
-                 .filter(alive).select("id", "word", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends")
-                 for x, m in ((one, moves), (all_of, moves))]
-        now = materialise(after[0].union(after[1]).distinct(), f"trie-level-{level}")
+        edited = (one.filter(f"edits = 1 and {same}").withColumn("pos", F.expr(f"pos + {size}")).filter(alive("pos", "1")).select(columns))
+        first = one.filter("edits = 0").unionByName(dealt.filter(free).join(edges, ["node", "salt"]))
+        spread = (first.select("id", "word", "child", "salts", "most", "ends", "least", "nexts", F.explode(F.expr(f"array({', '.join(moves)})")).alias("m"))
+                  .filter("m.ok").filter(alive("m.pos", "m.edits"))
+                  .select("id", "word", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends"))
+        # the few states met twice do no harm: the pairs are made distinct
+        now = materialise(edited.unionByName(spread), f"trie-level-{level}", tidy=True)
         # an end one edit away, or one letter short of the word
-        reached.append(materialise(now.filter(f"ends is not null and {whole} - pos = 1 - edits").select("id", "ends"), f"trie-ends-{level}"))
-        if level:
-            drop_table(before)
-        before, level = now, level + 1
+        reached.append(now.filter(f"ends is not null and {whole} - pos = 1 - edits").select("id", "ends"))
+        level += 1
         states = now.filter("most > 0").select("id", "word", "pos", F.col("child").alias("node"), "edits", "salts")
         if states.isEmpty():
             break
-    drop_table(before)
     pairs = reached[0]
     for r in reached[1:]:
         pairs = pairs.union(r)
@@ -173,15 +180,17 @@ def walk(words: DataFrame, hold: str) -> DataFrame:
 def neighbours(words: DataFrame) -> DataFrame:
     """(word, other): all pairs of the stored ``words`` (id, word, n) that differ by one letter, in both directions.
 
-    The edit lies in the second half of a word or, read backwards, in its second half: the words walk their trie and, backwards,
-    that of the words read backwards, each with the first half taken as it is, so that no word branches at the crowded top."""
-    backwards = materialise(words.select("id", F.reverse("word").alias("word")), "spelling-backwards")
-    half = "(char_length(word) DIV 2)"
-    pairs = walk(words, half).union(walk(backwards, f"(char_length(word) - {half})")).distinct()
+    The edit lies in the second half of a word or, read backwards, in its second half. So the words and, after a mark, the words read
+    backwards make up one trie and walk it together, each with its first half taken as it is: no word branches at the crowded top."""
+    both = materialise(words.select((F.col("id") * 2).alias("id"), "word")
+                       .union(words.select(F.col("id") * 2 + 1, F.concat(F.lit(MARK), F.reverse("word")))), "spelling-both", tidy=True)
+    size = "char_length(word)"
+    hold = f"if(startswith(word, '{MARK}'), {size} - ({size} - 1) DIV 2, {size} DIV 2)"
+    pairs = walk(both, hold).select(F.shiftright("id", 1).alias("id"), F.shiftright("ends", 1).alias("ends")).distinct()
     # prefixes are told apart by hash: a last look at the words themselves
     return materialise(pairs.join(words.select("id", "word"), "id")
                        .join(words.select(F.col("id").alias("ends"), F.col("word").alias("other")), "ends")
-                       .filter("levenshtein(word, other, 1) = 1").select("word", "other"), "trie-pairs")
+                       .filter("levenshtein(word, other, 1) = 1").select("word", "other"), "trie-pairs", tidy=True)
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -199,7 +208,7 @@ def roots(forms: DataFrame) -> DataFrame:
 def group_variants(docs: DataFrame, shortest: int = LENGTH, least: int = COUNT, times: int = TIMES) -> DataFrame:
     """(word, form, root, n, n_near, form_n) for every word of ``docs`` (doc_id, text)."""
     words = materialise(occurrences(docs, shortest).filter((F.length("word") >= shortest) & (F.col("n") >= least))
-                        .withColumn("id", F.monotonically_increasing_id()), "spelling-words")
+                        .withColumn("id", F.monotonically_increasing_id()), "spelling-words", tidy=True)
     pairs = neighbours(words)
     best = (pairs.join(words.select(F.col("word").alias("other"), F.col("n").alias("m")), "other")
             .groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
