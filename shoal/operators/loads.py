@@ -5,7 +5,8 @@ day may not duplicate rows. The batch is deduplicated on its key (latest row
 wins, a partial aggregate), missing measures are filled, rows whose key is
 already in the target are dropped with a NULL-safe ``left_anti`` join (a NULL
 key is a key like any other), and the rest is inserted *by name*. A row for a
-key that an earlier batch loaded is not appended, also when it is newer.
+key that an earlier batch loaded is not appended, also when it is newer; :func:`replace_late` is the load that
+puts such rows in the place of the loaded ones.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoal.operators.relational import dedup_latest, fill_zero
 from shoal.session import checkpoint_root
@@ -48,3 +50,49 @@ def idempotent_append(spark: SparkSession, batch: DataFrame, table: str, keys: S
     new_rows = aligned.join(existing, same, "left_anti").checkpoint()
     insert_by_name(spark, new_rows, table)
     return new_rows
+
+
+#: Touched days that become literals of the target's partition filter; more are met in a join.
+LITERAL_DAYS = 1000
+
+
+def replace_late(spark: SparkSession, batch: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], day: str,
+                 fill: Sequence[str] = ()) -> DataFrame:
+    """Merge ``batch`` into ``table``, which is partitioned by ``day`` (one of ``keys``): of the rows of a key the one with the greatest
+    ``order`` (columns of the table) stays, whether it is in the table or in the batch. Late and corrected rows replace loaded
+    ones, stale ones and reruns change nothing.
+
+    Only the days of the batch are read. Their rows are compared, before and after, by number and by a sum of row hashes, and only the
+    days that differ are overwritten (dynamic partition overwrite), so an unchanged day keeps its files. Rows without a day are a
+    partition like others. Returns (day, rows_before, rows_after) of the overwritten days.
+    """
+    latest = dedup_latest(batch, list(keys), list(order))
+    if fill:
+        latest = fill_zero(latest, list(fill))
+    checkpoint_root(spark)
+    new = align_to_table(spark, latest, table, strict=False).checkpoint()
+    target = spark.table(table)
+    days = new.select(F.col(day).alias("_day")).distinct()
+    few = [r["_day"] for r in days.limit(LITERAL_DAYS + 1).collect()]
+    if len(few) <= LITERAL_DAYS:
+        named = [d for d in few if d is not None]
+        touched = F.col(day).isin(*named) if named else F.lit(False)
+        old = target.where(touched | F.col(day).isNull() if len(named) < len(few) else touched)
+    else:
+        old = target.join(days, F.col(day).eqNullSafe(F.col("_day")), "left_semi")
+    merged = dedup_latest(old.unionByName(new), list(keys), list(order)).select(*target.columns).checkpoint()
+
+    def prints(df: DataFrame, name: str) -> DataFrame:
+        row = [F.to_json(f.name) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in target.schema.fields]
+        return df.groupBy(F.col(day).alias(f"_{name}")).agg(F.count(F.lit(1)).alias(f"rows_{name}"),
+                                                           F.sum(F.xxhash64(*row).cast("decimal(38,0)")).alias(f"_sum_{name}"))
+
+    before, after = prints(old, "before"), prints(merged, "after")
+    changed = (after.join(before, F.col("_after").eqNullSafe(F.col("_before")), "left")
+               .where(~(F.col("_sum_after").eqNullSafe(F.col("_sum_before")) & F.col("rows_after").eqNullSafe(F.col("rows_before"))))
+               .select(F.col("_after").alias(day), F.coalesce("rows_before", F.lit(0)).alias("rows_before"), "rows_after").checkpoint())
+    if not changed.isEmpty():
+        out = merged.join(changed.select(F.col(day).alias("_day")), F.col(day).eqNullSafe(F.col("_day")), "left_semi")
+        # one group of files a day, split if it is large
+        (out.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+    return changed

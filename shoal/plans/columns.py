@@ -166,6 +166,33 @@ def json_quarantine(spark, sf):
     return quarantine.select("event_id")
 
 
+@query("json_element_rejects", """
+WITH e AS (SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id, event_type FROM events)
+SELECT event_id, CAST(NULL AS INTEGER) AS pos, k, user_id AS u, CAST(NULL AS VARCHAR) AS path, CAST(NULL AS VARCHAR) AS value FROM e
+UNION ALL
+SELECT event_id, NULL, NULL, user_id, NULL, NULL FROM e WHERE event_type = 'click'
+UNION ALL
+SELECT event_id, NULL, k + 1, NULL, NULL, NULL FROM e WHERE event_type NOT IN ('click', 'error', 'view')
+UNION ALL
+SELECT event_id, 1, NULL, NULL, '$.k', 'n/a' FROM e WHERE event_type = 'error'
+UNION ALL
+SELECT event_id, 1, NULL, NULL, '$.u', 'unknown' FROM e WHERE event_type = 'error'
+UNION ALL
+SELECT event_id, 1, NULL, NULL, '$.k', '[]' FROM e WHERE event_type = 'view'
+""")
+def json_element_rejects(spark, sf):
+    """Rows of good elements and rejects of bad ones, by place, path and value. Documents have two elements; of the second one value is
+    absent for clicks, null for others, wrong in one path for views and in two for errors."""
+    ev = load(spark, sf, "events").select("event_id", "user_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    second = (F.when(F.col("event_type") == "click", F.format_string('{"u": %d}', "user_id"))
+              .when(F.col("event_type") == "error", F.lit('{"k": "n/a", "u": "unknown"}'))
+              .when(F.col("event_type") == "view", F.format_string('{"k": [], "u": %d}', "user_id"))
+              .otherwise(F.format_string('{"k": %d, "u": null}', F.col("k") + 1)))
+    docs = ev.select("event_id", F.concat(F.lit("["), F.format_string('{"k": %d, "u": %d}', "k", "user_id"), F.lit(", "), second, F.lit("]")).alias("doc"))
+    rows, rejects = X.variant_shred(docs, "doc", {"k": ("$.k", "int"), "u": ("$.u", "bigint")}, keep=["event_id"])
+    return rows.unionByName(rejects, allowMissingColumns=True).select("event_id", "pos", "k", "u", "path", "value")
+
+
 def _left_joined_totals(spark, sf):
     cu = load(spark, sf, "customer").select("c_custkey")
     pend = (load(spark, sf, "orders").where(F.col("o_orderstatus") == "P")

@@ -84,6 +84,25 @@ def csv_reject_split(spark, sf):
             .unionByName(rejected.drop(S.CORRUPT).withColumn("rejected", F.lit(True))))
 
 
+@query("csv_reject_lines", """
+SELECT o_orderpriority AS folder, CAST(line AS BIGINT) AS line, o_orderkey || ',' || o_custkey || ',x' AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) + 1 AS line FROM orders) WHERE o_custkey % 50 = 0
+""")
+def csv_reject_lines(spark, sf):
+    """The file and line of each rejected line: orders written as one CSV file with a header for each priority, with a price that is no
+    number for some customers."""
+    path = scratch_path(spark, "csv_reject_lines")
+    price = F.when(F.col("o_custkey") % 50 == 0, F.lit("x")).otherwise(F.col("o_totalprice").cast("string"))
+    text = load(spark, sf, "orders").select("o_orderpriority", "o_orderkey", "o_custkey", price.alias("o_totalprice"))
+    (text.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey")
+     .write.partitionBy("o_orderpriority").option("header", True).csv(path))
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+                           T.StructField("o_totalprice", T.DoubleType())])
+    _good, rejects = S.read_csv_numbered(spark, path, schema, max_rejects=None)
+    folder = F.replace(F.regexp_extract("file", "o_orderpriority=([^/]+)/", 1), F.lit("%20"), F.lit(" "))
+    return rejects.select(folder.alias("folder"), "line", "value")
+
+
 _EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shoal import functions as X
 from shoal import sinks as W
 from shoal import sources as S
-from shoal.operators.loads import idempotent_append
+from shoal.operators.loads import idempotent_append, replace_late
 from shoal.plans.base import load, query
 from shoal.session import scratch_path
 
@@ -58,6 +58,25 @@ def rates_daily_load(spark, sf):
     return spark.table(table)
 
 
+@query("rates_late_rows", """
+SELECT event_type AS base, CAST(ts AS DATE) AS last_update, CAST(value AS DOUBLE) AS usd, event_id AS seq
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) = 1
+""")
+def rates_late_rows(spark, sf):
+    """The daily load when rows come late: first the fetches of each day's morning, then those of its afternoon, which correct them, then
+    the mornings again (stale) and the afternoons again (a rerun). Each day keeps the last fetch."""
+    table = f"rates_late_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE TABLE {table} (usd DOUBLE, base STRING, fetched_at TIMESTAMP_NTZ, seq BIGINT, last_update DATE) USING parquet "
+              f"PARTITIONED BY (last_update) LOCATION '{scratch_path(spark, table)}'")
+    rates = load(spark, sf, "events").select(F.col("event_type").alias("base"), F.to_date("ts").alias("last_update"), F.col("value").alias("usd"),
+                                             F.col("ts").alias("fetched_at"), F.col("event_id").alias("seq"))
+    morning, afternoon = rates.where(F.hour("fetched_at") < 12), rates.where(F.hour("fetched_at") >= 12)
+    for batch in (morning, afternoon, morning, afternoon):
+        replace_late(spark, batch, table, ["base", "last_update"], ["fetched_at", "seq"], "last_update", fill=["usd"])
+    return spark.table(table).select("base", "last_update", "usd", "seq")
+
+
 # ---------------------------------------------------------------- 3.3 weather ELT
 
 

@@ -33,16 +33,17 @@ def expire_snapshots(table, older_than=None, retain_last: int = 1, execute: bool
     """
     import datetime as dt
 
+    base = table.state()
     snaps = table.snapshots_meta()
-    keep = set(table.current_ancestors()[:max(1, retain_last)])
+    keep = set(table.current_ancestors(base)[:max(1, retain_last)])
     if older_than is not None:
         keep |= {s["snapshot_id"] for s in snaps if dt.datetime.fromisoformat(s["committed_at"]) >= older_than}
     gone = [s for s in snaps if s["snapshot_id"] not in keep]
     if execute and gone:
         kept_dirs = {d["dir"] for s in snaps if s["snapshot_id"] in keep for d in s["dirs"]}
         dead_dirs = {d["dir"] for s in gone for d in s["dirs"]} - kept_dirs
-        expired = sorted(set(table.state().get("expired", [])) | {s["snapshot_id"] for s in gone})
-        table._commit_state("expire-snapshots", expired=expired)
+        expired = sorted(set(base.get("expired", [])) | {s["snapshot_id"] for s in gone})
+        table._commit_state("expire-snapshots", base, expired=expired)
         delete_paths(table, [f"{table.data}/_dir={d}" for d in sorted(dead_dirs)])
         # partitions every remaining snapshot excludes are unreachable as well
         delete_paths(table, [f"{table.data}/_dir={d}/{part}" for d, part in table.dead_partitions()])
@@ -50,14 +51,20 @@ def expire_snapshots(table, older_than=None, retain_last: int = 1, execute: bool
     return table.spark.createDataFrame(rows, "snapshot_id bigint, committed_at timestamp_ntz, operation string")
 
 
-def orphan_files(table, older_than_ms: int | None = None) -> DataFrame:
+#: Files younger than this may belong to a writer that has not committed yet.
+WRITER_MS = 3 * 24 * 3_600_000
+
+
+def orphan_files(table, older_than_ms: int | None = None, min_age_ms: int = WRITER_MS) -> DataFrame:
     """Data files under the table that no live snapshot references (dry run).
 
     The listing is a distributed ``binaryFile`` scan that reads paths, sizes and
     times only; referenced directories (metadata, one row per directory) are
-    removed with a ``left_anti`` join. ``older_than_ms`` guards files that a
-    running writer may still be committing.
+    removed with a ``left_anti`` join. Files younger than ``min_age_ms``, which a running writer may
+    still be committing, are left out, unless ``older_than_ms`` names another moment.
     """
+    import time
+
     spark = table.spark
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(table.data)
              .select("path", "length", "modificationTime"))
@@ -69,8 +76,9 @@ def orphan_files(table, older_than_ms: int | None = None) -> DataFrame:
     unreferenced = files.join(live_df, "dir", "left_anti")
     excluded = files.join(dead, ["dir", "part"], "left_semi")
     orphans = unreferenced.unionByName(excluded)
-    if older_than_ms is not None:
-        orphans = orphans.where(F.col("modificationTime") < F.timestamp_millis(F.lit(older_than_ms)))
+    if older_than_ms is None:
+        older_than_ms = int(time.time() * 1000) - min_age_ms + (0 if min_age_ms else 60_000)
+    orphans = orphans.where(F.col("modificationTime") < F.timestamp_millis(F.lit(older_than_ms)))
     return orphans.select("path", "length", "modificationTime")
 
 
