@@ -6,8 +6,8 @@ others. A hashed sample refutes most candidates first: a violation among some ro
 leaves open is checked on the whole table. NULL is a value like any other.
 
 The third normal form is synthesised from a minimal cover of the found dependencies: one table per left side, left sides that
-determine each other share one, and a table with a key of the whole if no other table has one. Its size depends on the number
-of columns alone.
+determine each other share one, constant columns are a table of one row, and a table with a key of the whole is added if no other has
+one. Its size depends on the number of columns alone.
 """
 
 from __future__ import annotations
@@ -120,14 +120,17 @@ def recompose(tables: dict[Relation, DataFrame], columns: Sequence[str]) -> Data
     """All tables joined again, NULL-safe on the columns they share: distinct rows of the decomposed table. Starts from a table whose
     columns determine all others, and follows keys that are already there."""
     left = dict(tables)
-    start = max(left, key=lambda r: len(_reach(r, left)))
+    start = max(left, key=lambda r: (len(_reach(r, left)), len(r.columns)))
     out, have = left.pop(start), set(start.columns)
     while left:
-        nxt = next((r for r in left if set(r.key) <= have), None) or next(r for r in left if set(r.columns) & have)
+        nxt = next(r for r in left if set(r.key) <= have)
         table = left.pop(nxt)
         common = [c for c in nxt.columns if c in have]
         right = table.select(*[F.col(f"`{c}`").alias(f"_{c}" if c in common else c) for c in nxt.columns])
-        out = out.join(right, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_{c}`")) for c in common]).drop(*[f"_{c}" for c in common])
+        if common:
+            out = out.join(right, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_{c}`")) for c in common]).drop(*[f"_{c}" for c in common])
+        else:  # constant columns: a table of one row
+            out = out.crossJoin(F.broadcast(right))
         have |= set(nxt.columns)
     return out.select(*columns)
 

@@ -93,6 +93,13 @@ def replace_late(spark: SparkSession, batch: DataFrame, table: str, keys: Sequen
                .select(F.col("_after").alias(day), F.coalesce("rows_before", F.lit(0)).alias("rows_before"), "rows_after").checkpoint())
     if not changed.isEmpty():
         out = merged.join(changed.select(F.col(day).alias("_day")), F.col(day).eqNullSafe(F.col("_day")), "left_semi")
-        # one group of files a day, split if it is large
-        (out.hint("rebalance", day).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+        # only the partitions that have rows here; an insert into a table takes this from the session alone
+        setting = "spark.sql.sources.partitionOverwriteMode"
+        old_mode = spark.conf.get(setting)
+        spark.conf.set(setting, "dynamic")
+        try:
+            # one group of files a day, split if it is large
+            out.hint("rebalance", day).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(setting, old_mode)
     return changed
