@@ -10,11 +10,15 @@ others, so every state is a distribution. A token is scored in the longest kept
 
 The tree is a Spark table of weights by n-gram: a kept context weighs the share it leaves to its suffix, a listed
 token what it gains over that. All kept suffixes of what precedes a token form a chain, so its log probability is that
-of the root and the weights of the n-grams that end before and at it; a text's score is a sum over its n-grams, met
-in a join. Words and n-grams with a share of at least ``FREQUENT`` (at most ``1 / FREQUENT`` a length) are held by
-every task and summed there, so no key of the join is hot; the others make one row per document and n-gram. A bitmap of bounded
-size keeps n-grams away from the shuffles that the table cannot hold; what it lets through in error falls out of
-the join. Words and n-grams are identified by 64-bit hashes.
+of the root and the weights of the n-grams that end before and at it; a text's score is a sum over its n-grams.
+
+Words and n-grams with a share of at least ``FREQUENT`` (at most ``1 / FREQUENT`` a length) are held by every task and summed there, so
+no key is hot. For the others a task gathers some million tokens of documents and asks each bucket of the table, dealt by hash, for
+what it needs in one row: the distinct keys, and which document has which key how often, as compressed byte planes. The bucket
+answers with sums by document, and the answers meet again by gathering. Counting works alike: tasks send each bucket of n-grams one
+row of counts. So n-grams never become rows of a shuffle, and no bucket grows with the corpus. A bitmap of bounded
+size keeps n-grams away from the shuffles that the table cannot hold; what it lets through in error is not found
+in the table. Words and n-grams are identified by 64-bit hashes.
 
 Edge cases: NULL or blank text: the end token alone. NULL doc_id: scored, not learned from, held_out false. Repeated rows
 count and are scored one by one. No training rows: every probability is 1, score 0. Extra columns are ignored.
@@ -28,14 +32,17 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoal.llm.common import MIX1, ODD, Texts, bounded_batches, chunks, crc_mod, lists, materialise, splitmix
+from shoal.llm.common import MIX1, ODD, Texts, bounded_batches, chunks, crc_mod, materialise, splitmix
 
 #: Share of training tokens from which a word or an n-gram is held by every task.
-FREQUENT = 1e-6
+FREQUENT = 4e-6
 #: Words in the longest contexts; occurrences from which a context is a candidate.
 DEPTH, MIN_CONTEXT = 3, 64
 #: Occurrences from which a next token is listed; its discount.
@@ -44,6 +51,8 @@ MIN_COUNT, DISCOUNT = 4, 0.75
 MIN_DIVERGENCE, MIN_GAIN = 0.02, 30.0
 #: Words that a task gathers before it counts them.
 GATHER = 1 << 21
+#: Tokens whose n-grams share one bucket of counts; rows of the table of weights that share one bucket at scoring.
+COUNT_BUCKET, WEIGHT_BUCKET = 1 << 20, 1 << 19
 #: Bits of a bitmap for each key that it is to hold, at least; powers of two of its bits at least and at most (32 MB).
 KEY_BITS, LEAST_BITS, MOST_BITS = 8, 20, 28
 #: Bits of a held word's number in a packed context, for inspection.
@@ -226,9 +235,8 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
             break
         # a token that follows a candidate MIN_COUNT times follows its suffix as often, so the others need no counting
         bits = spark.sparkContext.broadcast((bitmap(candidates.select(F.col("node").alias("key"))), bitmap(often)))
-        pairs = docs.mapInArrow(_following(length, bits), "node long, nxt long, n long")
-        pairs = materialise(pairs.groupBy("node", "nxt").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
-                            .join(candidates.select("node", "suffix", "size"), "node"), f"lm-pairs-{length}", tidy=True)
+        pairs = materialise(following(docs, length, bits, max(1, total // COUNT_BUCKET)).join(candidates.select("node", "suffix", "size"), "node"),
+                            f"lm-pairs-{length}", tidy=True)
         bits.destroy()
         # each row has its parent's, for the same reason
         rows = (pairs.join(state.select(F.col("node").alias("suffix"), "nxt", F.col("lp").alias("parent")), ["suffix", "nxt"])
@@ -261,8 +269,34 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     return Model(total, distinct, n_docs, depth, words, log_count, contexts, tree), counts
 
 
-def _following(length: int, bits):
-    """(context, token after it, n) for the contexts of ``length`` tokens and the n-grams of that length at the token that ``bits`` lets through."""
+def packed(x: np.ndarray) -> bytes:
+    """Numbers as compressed byte planes: small or similar ones take little."""
+    return pa.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = pa.decompress(raw, decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view("<u8").ravel()
+
+
+def rising(x: np.ndarray) -> bytes:
+    """:func:`packed` for sorted numbers: their differences."""
+    return packed(np.r_[x[:1], np.diff(x)])
+
+
+def unrisen(raw: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(raw, n), dtype=np.uint64)
+
+
+def _cuts(sorted_ids: np.ndarray):
+    """(id, start, end) of each run of equal ids."""
+    at = np.flatnonzero(np.r_[True, sorted_ids[1:] != sorted_ids[:-1], True]) if len(sorted_ids) else np.zeros(1, int)
+    return zip(sorted_ids[at[:-1]].tolist(), at[:-1].tolist(), at[1:].tolist())
+
+
+def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
+    """(node, nxt, n) for the contexts of ``length`` tokens and the n-grams of that length at the token that ``bits`` lets through, counted
+    over all ``docs``, from MIN_COUNT on."""
     def found(t: Texts):
         token, _, place = sequence(t)
         *_, suffix, whole = grams(token, length + 1)
@@ -271,10 +305,43 @@ def _following(length: int, bits):
         i = np.flatnonzero((place >= length) & marked(contexts, context) & marked(often, token if length == 1 else suffix))
         return whole[i], context[i], token[i]
 
-    def run(batches):
-        yield from _gathered(batches, found, ["node", "nxt"])
+    def ask(held):
+        whole, node, nxt = (np.concatenate(x) for x in zip(*held))
+        whole, first, n = np.unique(whole, return_index=True, return_counts=True)
+        bucket, node, nxt = (whole % np.uint64(buckets)).astype(np.int64), node[first], nxt[first]
+        order = np.lexsort((nxt, node, bucket))
+        bucket, node, nxt, n = bucket[order], node[order], nxt[order], n[order]
+        cuts = list(_cuts(bucket))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _, _ in cuts], pa.int64()), pa.array([j - i for _, i, j in cuts], pa.int64()),
+             pa.array([rising(node[i:j]) for _, i, j in cuts], pa.binary()), pa.array([packed(nxt[i:j]) for _, i, j in cuts], pa.binary()),
+             pa.array([packed(n[i:j]) for _, i, j in cuts], pa.binary())], ["bucket", "size", "node", "nxt", "n"])
 
-    return run
+    def run(batches):
+        held, n = [], 0
+        for b in batches:
+            for t in chunks(b.column("text")):
+                held.append(found(t))
+                n += len(held[-1][0])
+                if n >= GATHER:
+                    yield ask(held)
+                    held, n = [], 0
+        if n:
+            yield ask(held)
+
+    def merge(table: pa.Table) -> pa.Table:
+        size = table["size"].to_pylist()
+        read = lambda c, f: np.concatenate([f(raw, n) for raw, n in zip(table[c].to_pylist(), size)])
+        node, nxt, n = read("node", unrisen), read("nxt", unpacked), read("n", unpacked).astype(np.int64)
+        order = np.argsort(extend(node, nxt), kind="stable")
+        node, nxt, n = node[order], nxt[order], n[order]
+        at = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (nxt[1:] != nxt[:-1])])
+        n = np.add.reduceat(n, at)
+        keep = n >= MIN_COUNT
+        return pa.table([pa.array(x) for x in (node[at][keep].view(np.int64), nxt[at][keep].view(np.int64), n[keep])], ["node", "nxt", "n"])
+
+    asked = docs.mapInArrow(run, "bucket long, size long, node binary, nxt binary, n binary")
+    return asked.groupBy("bucket").applyInArrow(merge, "node long, nxt long, n long")
 
 
 def _keyed(rows: DataFrame) -> DataFrame:
@@ -318,75 +385,146 @@ def tree_part(model: Model, number: np.ndarray, older: np.ndarray, newer: np.nda
     return out, np.ones(len(number), bool)
 
 
-def _per_document(keys: np.ndarray, doc: np.ndarray, n: int):
-    """(document, key, times): each key of each document once."""
-    order = np.lexsort((keys, doc))
-    keys, doc = keys[order], doc[order]
-    new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])]) if len(keys) else np.zeros(0, int)
-    return doc[new], keys[new], np.diff(np.r_[new, len(keys)])
-
-
 def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` with n_tokens, n_known, train_tokens, base_score and score, for every row of ``docs`` (text)."""
     spark = docs.sparkSession
     bounded_batches(spark)
     m, counts = model
-    types = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    carry = list(carry)
-    names = ["rid", *carry, "n_tokens", "known", "base", "tree", "h", "n"]
     frequent = F.col("n") >= F.lit(FREQUENT * m.total)
     held = spark.sparkContext.broadcast((m.words, m.log_count, *_sorted(m.tree.filter(frequent), "weight"),
                                          bitmap(m.tree.filter(~frequent))))
-    learned, depth = m.docs > 0, m.depth
+    learned, depth, log_total, total = m.docs > 0, m.depth, m.log_total, m.total
+    table = (counts.filter(~frequent).select("key", F.log10(F.col("n") + 1.0).alias("root"), F.lit(0.0).alias("weight"), F.lit(1).alias("word"))
+             .union(m.tree.filter(~frequent).select("key", F.lit(0.0), "weight", F.lit(0))))
+    buckets = max(1, -(-table.count() // WEIGHT_BUCKET))
+    # a word and an n-gram, or two rows of a rare word, never share a key: an n-gram's is mixed once more
+    table = table.withColumn("bucket", F.expr(f"pmod(cast(key as decimal(20,0)) + if(key < 0, 18446744073709551616, 0), {buckets})").cast("long"))
+
+    own = [docs.schema[c] for c in carry]
+    heads = T.StructType([*(T.StructField(f"_{i}", f.dataType) for i, f in enumerate(own)),
+                          *(T.StructField(c, t) for c, t in (("n_tokens", T.LongType()), ("known", T.LongType()), ("base", T.DoubleType()),
+                                                             ("tree", T.DoubleType())))])
+    asked = T._parse_datatype_string("bucket long, part long, doc long, size long, keys binary, each binary, docs binary, times binary")
+    told = T._parse_datatype_string("part long, doc long, size long, docs binary, more_base binary, more_tree binary, more_known binary")
+    asked, told = (T.StructType([*x.fields, *heads.fields]) for x in (asked, told))
+
+    def table_of(schema, columns: dict, n: int) -> pa.RecordBatch:
+        """A batch of ``schema`` with NULL in the columns that are not given."""
+        arrow = to_arrow_schema(schema)
+        return pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) if f.name in columns else pa.nulls(n, f.type) for f in arrow], schema=arrow)
+
+    def ask(part: int, keys: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
+        """One row for each bucket that has keys of this part's documents."""
+        keys, docs = np.concatenate(keys), np.concatenate(docs)
+        if not len(keys):
+            return table_of(asked, {}, 0)
+        order = np.lexsort((docs, keys, keys % np.uint64(buckets)))
+        keys, docs = keys[order], docs[order]
+        new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
+        times = np.diff(np.r_[new, len(keys)])
+        keys, docs = keys[new], docs[new]
+        rows = {c: [] for c in ("bucket", "size", "keys", "each", "docs", "times")}
+        for bucket, i, j in _cuts((keys % np.uint64(buckets)).astype(np.int64)):
+            at = np.flatnonzero(np.r_[True, keys[i + 1:j] != keys[i:j - 1]])
+            rows["bucket"].append(bucket)
+            rows["size"].append(len(at))
+            rows["keys"].append(rising(keys[i:j][at]))
+            rows["each"].append(packed(np.diff(np.r_[at, j - i])))
+            rows["docs"].append(packed(docs[i:j]))
+            rows["times"].append(packed(times[i:j]))
+        n = len(rows["size"])
+        return table_of(asked, {"part": pa.array([part] * n), **{c: pa.array(x, pa.binary() if c not in ("bucket", "size") else pa.int64())
+                                                                for c, x in rows.items()}}, n)
 
     def run(batches):
         words, log_count, often, weight, bits = held.value
-        row = TaskContext.get().partitionId() << 40
+        part, doc0, n, open_keys, open_docs = TaskContext.get().partitionId() << 32, 0, 0, [], []
         for b in batches:
             for t in chunks(b.column("text")):
-                token, own, place = sequence(t)
+                token, doc, place = sequence(t)
                 there, at = _find(words, token)
                 is_end, is_begin = token == END, place == 0
                 common = there | is_end
                 base = np.where(is_end, log_count[-1], np.where(there, log_count[at], 0.0))
                 i = np.flatnonzero(~common & ~is_begin)
-                open_keys, open_docs = [token[i]], [own[i]]
+                open_keys.append(token[i])
+                open_docs.append(doc[i] + doc0)
                 tree = np.zeros(t.n)
                 for length, key in enumerate(grams(token, depth + 1), 1):
                     whole = np.flatnonzero(place >= length - 1)
-                    key, doc = key[whole], own[whole]
+                    key, whose = key[whole], doc[whole]
                     there, at = _find(often, key)
                     if there.any():
-                        tree += np.bincount(doc[there], weight[at[there]], t.n)
+                        tree += np.bincount(whose[there], weight[at[there]], t.n)
                     left = np.flatnonzero(~there & marked(bits, key))
                     open_keys.append(key[left])
-                    open_docs.append(doc[left])
-                # one row per document and rare word or n-gram, with all occurrences
-                doc, keys, times = _per_document(np.concatenate(open_keys), np.concatenate(open_docs), t.n)
-                each = np.bincount(doc, minlength=t.n)
-                size = np.bincount(own, minlength=t.n) - 1
-                known = np.bincount(own, common & learned, t.n).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + t.n)), *(b.column(c).slice(t.first, t.n) for c in carry),
-                     pa.array(size), pa.array(known), pa.array(np.bincount(own, base, t.n)), pa.array(tree),
-                     lists(keys.view(np.int64), each), lists(times, each)], names)
-                row += t.n
-
-    rows = materialise(docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(
-        run, f"rid long, {types}, n_tokens long, known long, base double, tree double, h array<long>, n array<long>"), "lm-rows")
-    rare = (rows.select("rid", F.explode(F.arrays_zip("h", "n")).alias("x"))
-            .select("rid", F.col("x.h").alias("key"), F.col("x.n").alias("times")))
-    table = (counts.filter(~frequent).select("key", F.log10(F.col("n") + 1.0).alias("root"), F.lit(0.0).alias("weight"), F.lit(1).alias("word"))
-             .union(m.tree.filter(~frequent).select("key", F.lit(0.0), "weight", F.lit(0))))
-    met = materialise(rare.join(table, "key").groupBy("rid")
-                      .agg(F.sum(F.col("times") * F.col("root")).alias("more_base"), F.sum(F.col("times") * F.col("weight")).alias("more_tree"),
-                           F.sum(F.col("times") * F.col("word")).alias("more_known")), "lm-met", tidy=True)
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    base = F.col("base") + zero("more_base") - F.col("n_tokens") * F.lit(m.log_total)
-    return (rows.drop("h", "n").join(met, "rid", "left")
-            .select(*carry, "n_tokens", (F.col("known") + zero("more_known")).alias("n_known"),
-                    F.lit(m.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-                    (base + F.col("tree") + zero("more_tree")).alias("score")))
+                    open_docs.append(whose[left] + doc0)
+                known = np.bincount(doc, common & learned, t.n).astype(np.int64)
+                carried = {f"_{k}": b.column(c).slice(t.first, t.n) for k, c in enumerate(carry)}
+                # a head goes to a bucket of its part's own, below those of the table
+                yield table_of(asked, {**carried, "bucket": pa.array(np.full(t.n, -1 - part)), "part": pa.array(np.full(t.n, part)),
+                                       "doc": pa.array(np.arange(doc0, doc0 + t.n)), "n_tokens": pa.array(np.bincount(doc, minlength=t.n) - 1),
+                                       "known": pa.array(known), "base": pa.array(np.bincount(doc, base, t.n)), "tree": pa.array(tree)}, t.n)
+                doc0, n = doc0 + t.n, n + len(token)
+                if n >= GATHER:
+                    yield ask(part, open_keys, open_docs)
+                    part, doc0, n, open_keys, open_docs = part + 1, 0, 0, [], []
+        if n:
+            yield ask(part, open_keys, open_docs)
+
+    def answer(weights: pa.Table, requests: pa.Table) -> pa.Table:
+        """Heads as they came; for each request the sums of its documents."""
+        requests = requests.combine_chunks()
+        is_head = requests["doc"].is_valid()
+        kept = requests.filter(is_head)
+        out = [table_of(told, {c: kept[c].combine_chunks() for c in kept.column_names if c in told.names}, kept.num_rows)]
+        key = weights["key"].to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        key, root, weight, word = key[order], *(weights[c].to_numpy()[order] for c in ("root", "weight", "word"))
+        rows = {c: [] for c in ("part", "size", "docs", "more_base", "more_tree", "more_known")}
+        for r in requests.filter(pa.compute.invert(is_head)).select(["part", "size", "keys", "each", "docs", "times"]).to_pylist():
+            there, at = _find(key, unrisen(r["keys"], r["size"]))
+            if not there.any():
+                continue
+            each = unpacked(r["each"], r["size"]).astype(np.int64)
+            n = int(each.sum())
+            hit = np.repeat(there, each)
+            at = np.repeat(at, each)[hit]
+            docs, times = unpacked(r["docs"], n)[hit].astype(np.int64), unpacked(r["times"], n)[hit].astype(np.int64)
+            some, whose = np.unique(docs, return_inverse=True)
+            rows["part"].append(r["part"])
+            rows["size"].append(len(some))
+            rows["docs"].append(rising(some))
+            for c, x in (("more_base", root), ("more_tree", weight), ("more_known", word.astype(np.float64))):
+                rows[c].append(packed(np.bincount(whose, x[at] * times, len(some)).view(np.uint64)))
+        n = len(rows["size"])
+        out.append(table_of(told, {c: pa.array(x, pa.int64() if c in ("part", "size") else pa.binary()) for c, x in rows.items()}, n))
+        return pa.Table.from_batches(out)
+
+    result = T.StructType([*own, *T._parse_datatype_string("n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
+
+    def add(table: pa.Table) -> pa.Table:
+        """The documents of a part with the sums of all answers."""
+        table = table.combine_chunks()
+        is_head = table["doc"].is_valid()
+        head = table.filter(is_head)
+        doc = head["doc"].to_numpy()
+        more = np.zeros((3, int(doc.max()) + 1 if len(doc) else 0))
+        for r in table.filter(pa.compute.invert(is_head)).select(["size", "docs", "more_base", "more_tree", "more_known"]).to_pylist():
+            docs = unrisen(r["docs"], r["size"]).astype(np.int64)
+            for k, c in enumerate(("more_base", "more_tree", "more_known")):
+                more[k, docs] += unpacked(r[c], r["size"]).view(np.float64)
+        size = head["n_tokens"].to_numpy()
+        base = head["base"].to_numpy() + more[0, doc] - size * log_total
+        columns = [*(head[f"_{i}"].combine_chunks() for i in range(len(own))), pa.array(size),
+                   pa.array(head["known"].to_numpy() + np.round(more[2, doc]).astype(np.int64)), pa.array(np.full(len(doc), total, np.int64)), pa.array(base),
+                   pa.array(base + head["tree"].to_numpy() + more[1, doc])]
+        arrow = to_arrow_schema(result)
+        return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    requests = docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, asked)
+    answers = table.groupBy("bucket").cogroup(requests.groupBy("bucket")).applyInArrow(answer, told)
+    return answers.groupBy("part").applyInArrow(add, result)
 
 
 def split(docs: DataFrame) -> DataFrame:
