@@ -121,7 +121,11 @@ def test_pipeline_run_equals_its_stages(spark):
     assert languages.count() >= 0.99 * docs.filter("text rlike '[[:alpha:]]|[a-z]'").count()
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+#: The results of these are no numbers: test_new_operators.py compares them.
+TEXTS = {"op11_url_rules", "op12_spelling_variants", "op13_merkle_manifest"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - TEXTS))
 def test_queries_match_sql(spark, name):
     for t in ("documents", "embeddings"):
         duckdb.sql(f"CREATE OR REPLACE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
