@@ -8,6 +8,7 @@ expected rows over the source table.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 from shoal import sinks as W
 from shoal import sources as S
 from shoal.plans.base import load, query
+from shoal.sinks import layout as L
 from shoal.session import scratch_path
 
 _ORDER_TEXT_COLS = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -322,3 +324,52 @@ def table_by_identifier(spark, sf):
     if by_name.count() != by_path.count():
         raise AssertionError("identifier and path disagree")
     return by_name.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("bucketed_join", """
+SELECT o_orderkey, o_custkey, count(*) AS n_lines, round(sum(l_extendedprice), 2) AS amount
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_custkey
+""")
+def bucketed_join(spark, sf):
+    """Orders and lines stored in buckets of the order key, joined and summed where they lie: the plan has no exchange."""
+    names = {}
+    for table, key, columns in (("orders", "o_orderkey", ["o_orderkey", "o_custkey"]), ("lineitem", "l_orderkey", ["l_orderkey", "l_extendedprice"])):
+        names[table] = _table_name(f"bucketed_{table}")
+        L.save_bucketed(load(spark, sf, table).select(*columns), names[table], 8, [key], path=scratch_path(spark, names[table]))
+    orders, lines = spark.table(names["orders"]).hint("merge"), spark.table(names["lineitem"])
+    return (orders.join(lines, orders.o_orderkey == lines.l_orderkey).groupBy("o_orderkey", "o_custkey")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_extendedprice"), 2).alias("amount")))
+
+
+@query("compact_files", """
+SELECT l_returnflag, count(*) AS n_rows, round(sum(l_quantity), 2) AS quantity, true AS fewer_files, true AS none_small FROM lineitem GROUP BY 1
+""")
+def compact_files(spark, sf):
+    """Lines in many small files by return flag, compacted to a tenth of a folder: the rows are the same, files are fewer, and no folder
+    has two files left that would fit into one."""
+    path = scratch_path(spark, "compact")
+    lines = load(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    lines.repartition(24).write.partitionBy("l_returnflag").parquet(path)
+    before = L.file_sizes(spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).collect()
+    target = max(1, max(r["bytes"] for r in before) // 4)
+    L.compact_files(spark, path, target)
+    after = {r["folder"]: r for r in L.file_sizes(spark, path).groupBy("folder").agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("length")).alias("sizes")).collect()}
+    fewer = all(after[r["folder"]]["n"] < r["n"] for r in before)
+    none = all(len(r["sizes"]) == 1 or sum(r["sizes"][:2]) > 0.5 * target for r in after.values())
+    return (spark.read.parquet(path).groupBy("l_returnflag")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
+            .withColumns({"fewer_files": F.lit(fewer), "none_small": F.lit(none)}))
+
+
+@query("indexed_read", """
+SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
+WHERE o_orderdate BETWEEN TIMESTAMP '1997-03-01' AND TIMESTAMP '1997-03-31'
+""")
+def indexed_read(spark, sf):
+    """Orders clustered by date, a table of their files' bounds, and a month read through it: other files are not opened."""
+    path = scratch_path(spark, "indexed")
+    W.write_clustered(load(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice"), path, ["o_orderdate"], n_files=16)
+    index = L.file_bounds(spark, path, ["o_orderdate"])
+    stamp = lambda d: dt.datetime(1997, 3, d)
+    return L.read_indexed(spark, path, index, "o_orderdate", stamp(1), stamp(31))

@@ -7,7 +7,6 @@ weather-column defects this library must not copy).
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,20 +30,34 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**TS_OPTIONS).json(path)
 
 
-def write_json_array_documents(df: DataFrame, path: str, spread_by: str, rows_per_doc: int = 50_000) -> None:
-    """Pretty-printed JSON array documents (one document spans many lines).
+def write_json_array_documents(df: DataFrame, path: str, spread_by: str | None = None, rows_per_doc: int = 50_000) -> None:
+    """Pretty-printed JSON array documents (one document spans many lines), one file each of about ``rows_per_doc`` rows.
 
-    A multi-line document cannot be split when read, so rows are hashed on
-    ``spread_by`` into about ``rows_per_doc``-row documents, one file each: many
-    bounded files instead of one huge one. ``spread_by`` is not written.
+    A multi-line document cannot be split when read, so there are many bounded ones instead of one huge one. Rows
+    are dealt out evenly and become lines one by one; a line's frame depends on its place in the file (a bracket before the first,
+    commas between, a bracket after the last), so no document is held in memory. ``spread_by`` is a helper column that is not written.
     """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     cols = [c for c in df.columns if c != spread_by]
     n_docs = max(1, -(-df.count() // rows_per_doc))
-    doc = F.pmod(F.xxhash64(spread_by), F.lit(n_docs)).alias("doc")
-    docs = (df.select(doc, F.to_json(F.struct(*cols), TS_OPTIONS).alias("j"))
-            .groupBy("doc").agg(F.concat(F.lit("[\n  "), F.array_join(F.collect_list("j"), ",\n  "),
-                                         F.lit("\n]")).alias("value")))
-    docs.write.partitionBy("doc").text(path)
+
+    def framed(batches):
+        first = True
+        for b in batches:
+            if not b.num_rows:
+                continue
+            line = b.column(0)
+            if first:
+                yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise("[", line.slice(0, 1), "")], ["value"])
+                line, first = line.slice(1), False
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(",", line, "")], ["value"])
+        if not first:
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+
+    lines = df.select(F.to_json(F.struct(*cols), TS_OPTIONS).alias("value")).repartition(n_docs)
+    lines.mapInArrow(framed, "value string").write.text(path)
 
 
 def flatten_nested_as_json(df: DataFrame) -> DataFrame:
@@ -150,8 +163,3 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], n_files: int
     spread = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
     (df.repartitionByRange(n, *keys, spread).sortWithinPartitions(*keys)
      .write.mode(mode).parquet(path))
-
-
-def files_for_target_size(total_bytes: int, target_bytes: int) -> int:
-    """Number of output files that puts each near ``target_bytes``."""
-    return max(1, math.ceil(total_bytes / max(1, target_bytes)))

@@ -256,3 +256,64 @@ def test_orphan_search_spares_young_files(spark, tmp_path):
     t = VersionedTable.create(spark, f"{tmp_path}/t", spark.range(3))
     spark.range(4).write.parquet(f"{tmp_path}/t/data/_dir=running")
     assert MT.orphan_files(t).count() == 0 and MT.orphan_files(t, min_age_ms=0).count() > 0
+
+
+# ---------------------------------------------------------------- layouts
+
+
+def test_compaction_packs_small_files_only(spark, tmp_path):
+    from shoal.sinks import layout as L
+    path = f"{tmp_path}/c"
+    df = spark.range(20_000).select("id", F.xxhash64("id").alias("h"), (F.col("id") % 2).alias("p"))
+    df.where("p = 0").coalesce(1).drop("p").write.parquet(f"{path}/p=0")  # one right-sized file
+    df.where("p = 1").repartition(12).drop("p").write.parquet(f"{path}/p=1")
+    sizes = {r["file"]: r["length"] for r in L.file_sizes(spark, path).collect()}
+    target = max(sizes.values())
+    big = {f for f, n in sizes.items() if n >= 0.75 * target}
+    replaced = {r["file"] for r in L.compact_files(spark, path, target).collect()}
+    after = {r["file"]: r["length"] for r in L.file_sizes(spark, path).collect()}
+    assert big <= set(after) and replaced == set(sizes) - big and not replaced & set(after)
+    new = [n for f, n in after.items() if f not in sizes]
+    assert 1 <= len(new) < len(replaced) / 3 and all(n < 1.5 * target for n in new)
+    back = spark.read.parquet(path).select("id", "h", F.col("p").cast("long"))
+    assert back.count() == 20_000 and back.exceptAll(df).count() == 0
+    assert L.compact_files(spark, path, 1).count() == 0  # nothing is small
+
+
+def test_bucketed_join_has_no_exchange(spark, tmp_path):
+    from shoal.plans.io import bucketed_join
+    rows = [(1, i, float(i)) for i in range(500)] + [(i, i, 1.0) for i in range(2, 600)]  # a hot key
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 9) for i in range(1, 700)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    out = bucketed_join(spark, str(tmp_path))
+    got = {r["o_orderkey"]: (r["n_lines"], r["amount"]) for r in out.collect()}
+    assert got[1] == (500, sum(range(500))) and len(got) == 599
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+
+
+def test_index_opens_only_matching_files(spark, tmp_path):
+    from shoal import sinks as W
+    from shoal.sinks import layout as L
+    path = f"{tmp_path}/i"
+    W.write_clustered(spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.col("id")).alias("v")), path, ["id"], n_files=10)
+    index = L.file_bounds(spark, path, ["id", "v"])
+    rows = index.collect()
+    assert sum(r["n_rows"] for r in rows) == 1000 and sum(r["v_nulls"] for r in rows) == 100
+    part = L.read_indexed(spark, path, index, "id", 150, 260)
+    assert sorted(r["id"] for r in part.collect()) == list(range(150, 261))
+    assert 1 <= len(part.inputFiles()) <= 4 < len(rows)
+    assert L.read_indexed(spark, path, index, "id", low=5000).count() == 0
+    assert L.read_indexed(spark, path, index, "id").count() == 1000
+
+
+def test_json_documents_are_framed_by_position(spark, tmp_path):
+    from shoal import sinks as W
+    df = spark.range(250).select("id", F.array("id").alias("a"), F.lit('x"y').alias("s"))
+    W.write_json_array_documents(df, f"{tmp_path}/j", rows_per_doc=100)
+    docs = [json.loads(p.read_text()) for p in (tmp_path / "j").glob("part-*") if p.stat().st_size]
+    assert sorted(len(d) for d in docs)[-1] <= 100 and sum(map(len, docs)) == 250 and len(docs) == 3
+    back = S.read_json_documents(spark, f"{tmp_path}/j", "id bigint, a array<bigint>, s string")
+    assert sorted(map(tuple, back.select("id", "s").collect())) == [(i, 'x"y') for i in range(250)]
+    W.write_json_array_documents(df.limit(0), f"{tmp_path}/e")
+    assert S.read_json_documents(spark, f"{tmp_path}/e", "id bigint").count() == 0
