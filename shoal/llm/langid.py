@@ -54,9 +54,10 @@ def ngrams(t: Texts):
     letter, lower = _letters()
     doc = np.repeat(np.arange(t.n, dtype=np.int32), np.diff(t.offsets))
     c = np.where(letter[t.codes], lower[t.codes], 0)
-    # a boundary of its own before every document and after the last
-    c = np.insert(c, t.offsets, 0)
-    doc = np.insert(doc, t.offsets, np.r_[np.arange(t.n), t.n - 1].astype(np.int32))
+    # a boundary of its own before and after every document
+    ends = np.repeat(t.offsets, 2)[1:-1]
+    c = np.insert(c, ends, 0)
+    doc = np.insert(doc, ends, np.repeat(np.arange(t.n, dtype=np.int32), 2))
     keep = (c != 0) | np.r_[True, (c[:-1] != 0) | (doc[1:] != doc[:-1])]
     c, doc = c[keep], doc[keep]
     g = np.zeros(len(c), np.uint32)

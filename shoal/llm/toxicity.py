@@ -77,7 +77,8 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray,
     documents, picked by hashed doc_id; the rest of the labelled rows is not needed for a classifier."""
     bounded_batches(rows.sparkSession)
     rows = rows.filter("toxic is not null and doc_id is not null")
-    rows = hash_sample(rows, "doc_id", sample, rows.count(), salt=1)
+    # the rate follows the ids, not the rows: copies of one must not thin out the others
+    rows = hash_sample(rows, "doc_id", sample, rows.select("doc_id").distinct().count(), salt=1)
 
     def extract(batches):
         for b in batches:
