@@ -49,8 +49,10 @@ DEPTH, MIN_CONTEXT = 3, 64
 MIN_COUNT, DISCOUNT = 4, 0.75
 #: Divergence in nats per token, and total gain in nats, from which a context stays.
 MIN_DIVERGENCE, MIN_GAIN = 0.02, 30.0
-#: Words that a task gathers before it counts them.
-GATHER = 1 << 21
+#: Words, or n-grams, that a task gathers before it counts them; tokens that it gathers before it asks for their weights.
+GATHER, GATHER_TOKENS = 1 << 20, 1 << 19
+#: Parts of the documents that are scored one after the other.
+SLICES = 4
 #: Tokens whose n-grams share one bucket of counts; rows of the table of weights that share one bucket at scoring.
 COUNT_BUCKET, WEIGHT_BUCKET = 1 << 20, 1 << 19
 #: Bits of a bitmap for each key that it is to hold, at least; powers of two of its bits at least and at most (32 MB).
@@ -418,8 +420,11 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         keys, docs = np.concatenate(keys), np.concatenate(docs)
         if not len(keys):
             return table_of(asked, {}, 0)
-        order = np.lexsort((docs, keys, keys % np.uint64(buckets)))
-        keys, docs = keys[order], docs[order]
+        # by key within bucket, documents in order: they come so within a length, and the sort is stable
+        order = np.argsort(docs, kind="stable")
+        order = order[np.argsort(keys[order], kind="stable")]
+        order = order[np.argsort((keys[order] % np.uint64(buckets)).astype(np.int32), kind="stable")]
+        keys, docs = keys[order], docs[order].astype(np.int32)
         new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
         times = np.diff(np.r_[new, len(keys)])
         keys, docs = keys[new], docs[new]
@@ -448,7 +453,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
                 base = np.where(is_end, log_count[-1], np.where(there, log_count[at], 0.0))
                 i = np.flatnonzero(~common & ~is_begin)
                 open_keys.append(token[i])
-                open_docs.append(doc[i] + doc0)
+                open_docs.append((doc[i] + doc0).astype(np.int32))
                 tree = np.zeros(t.n)
                 for length, key in enumerate(grams(token, depth + 1), 1):
                     whole = np.flatnonzero(place >= length - 1)
@@ -458,7 +463,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
                         tree += np.bincount(whose[there], weight[at[there]], t.n)
                     left = np.flatnonzero(~there & marked(bits, key))
                     open_keys.append(key[left])
-                    open_docs.append(whose[left] + doc0)
+                    open_docs.append((whose[left] + doc0).astype(np.int32))
                 known = np.bincount(doc, common & learned, t.n).astype(np.int64)
                 carried = {f"_{k}": b.column(c).slice(t.first, t.n) for k, c in enumerate(carry)}
                 # a head goes to a bucket of its part's own, below those of the table
@@ -466,7 +471,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
                                        "doc": pa.array(np.arange(doc0, doc0 + t.n)), "n_tokens": pa.array(np.bincount(doc, minlength=t.n) - 1),
                                        "known": pa.array(known), "base": pa.array(np.bincount(doc, base, t.n)), "tree": pa.array(tree)}, t.n)
                 doc0, n = doc0 + t.n, n + len(token)
-                if n >= GATHER:
+                if n >= GATHER_TOKENS:
                     yield ask(part, open_keys, open_docs)
                     part, doc0, n, open_keys, open_docs = part + 1, 0, 0, [], []
         if n:
@@ -522,9 +527,16 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         arrow = to_arrow_schema(result)
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    requests = docs.select(*dict.fromkeys([*carry, "text"])).mapInArrow(run, asked)
-    answers = table.groupBy("bucket").cogroup(requests.groupBy("bucket")).applyInArrow(answer, told)
-    return answers.groupBy("part").applyInArrow(add, result)
+    # slice by slice, so that what is asked and answered never lies on disk for all documents at once
+    docs = docs.select(*dict.fromkeys([*carry, "text"]))
+    mine = F.pmod(F.xxhash64(*docs.columns), F.lit(SLICES))
+    out = None
+    for i in range(SLICES):
+        requests = docs.filter(mine == i).mapInArrow(run, asked)
+        answers = table.groupBy("bucket").cogroup(requests.groupBy("bucket")).applyInArrow(answer, told)
+        scored = materialise(answers.groupBy("part").applyInArrow(add, result), f"lm-scores-{i}", tidy=True)
+        out = scored if out is None else out.union(scored)
+    return out
 
 
 def split(docs: DataFrame) -> DataFrame:
