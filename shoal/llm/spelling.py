@@ -132,43 +132,46 @@ def trie(words: DataFrame) -> DataFrame:
 def walk(words: DataFrame, hold: str) -> DataFrame:
     """(id, ends): words and the words that they reach with one edit after their first ``hold`` letters (an expression)."""
     edges = trie(words)
-    states = words.select("id", "word", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("node"), F.lit(0).alias("edits"),
-                          F.lit(SALTS).alias("salts"))
-    size, whole = "char_length(label)", "char_length(word)"
-    same = f"substring(word, pos + 1, {size}) = label"
+    edges = edges.withColumn("size", F.char_length("label"))
+    states = words.select("id", "word", F.char_length("word").alias("whole"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("node"),
+                          F.lit(0).alias("edits"), F.lit(SALTS).alias("salts"))
+    same = "substring(word, pos + 1, size) = label"
     # letters of this edge that must still be taken as they are; an edit lies behind them
     due = f"({hold} - pos)"
-    apart = f"{due} < {size} and ({due} <= 0 or substring(word, pos + 1, {due}) = substring(label, 1, {due}))"
-    moves = [f"struct({same} as ok, pos + {size} as pos, 0 as edits)"]
-    for more in (0, -1, 1):
-        taken = f"substring(word, pos + 1, {size} + {more})"
-        moves.append(f"struct({apart} and char_length({taken}) = {size} + {more} and levenshtein({taken}, label, 1) = 1 as ok, "
-                     f"pos + {size} + {more} as pos, 1 as edits)")
+    apart = f"{due} < size and ({due} <= 0 or substring(word, pos + 1, {due}) = substring(label, 1, {due}))"
 
-    def alive(pos: str, edits: str) -> str:
+    def alive(pos: str, edits: int) -> str:
         """Can a state after the edge still end? By the letters left, or by the next one."""
-        left = f"({whole} - {pos})"
-        return (f"{left} between least - (1 - {edits}) and most + (1 - {edits}) and ({edits} = 0 or ends is not null and {left} = 0 "
-                f"or {left} > 0 and contains(nexts, substring(word, {pos} + 1, 1)))")
+        if not edits:
+            return f"whole - ({pos}) between least - 1 and most + 1"
+        return (f"whole - ({pos}) between least and most and (ends is not null and whole = {pos} "
+                f"or whole > {pos} and contains(nexts, substring(word, {pos} + 1, 1)))")
+
+    # what is cheap is asked first: hardly any edge needs its letters compared
+    moves = [f"struct({alive('pos + size', 0)} and {same} as ok, pos + size as pos, 0 as edits)"]
+    for more in (0, -1, 1):
+        taken = f"substring(word, pos + 1, size + {more})"
+        moves.append(f"struct({alive(f'pos + size + {more}', 1)} and whole >= pos + size + {more} and {apart} "
+                     f"and levenshtein({taken}, label, 1) = 1 as ok, pos + size + {more} as pos, 1 as edits)")
 
-    columns = ["id", "word", "pos", "child", "edits", "salts", "most", "ends"]
+    columns = ["id", "word", "whole", "pos", "child", "edits", "salts", "most", "ends"]
     reached, level = [], 0
     while True:
         dealt = states.withColumn("salt", F.pmod(F.xxhash64("word"), F.col("salts")).cast("int")).drop("salts")
         free = F.expr(f"edits = 0 and pos >= {hold}")
         # one edge each, by its first letter: edited states, and those whose next letter is to be taken as it is
         one = dealt.filter(~free).withColumn("first", F.expr("substring(word, pos + 1, 1)")).join(edges, ["node", "salt", "first"])
-        edited = (one.filter(f"edits = 1 and {same}").withColumn("pos", F.expr(f"pos + {size}")).filter(alive("pos", "1")).select(columns))
-        first = one.filter("edits = 0").unionByName(dealt.filter(free).join(edges, ["node", "salt"]))
-        spread = (first.select("id", "word", "child", "salts", "most", "ends", "least", "nexts", F.explode(F.expr(f"array({', '.join(moves)})")).alias("m"))
-                  .filter("m.ok").filter(alive("m.pos", "m.edits"))
-                  .select("id", "word", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends"))
+        edited = (one.filter(f"edits = 1 and {alive('pos + size', 1)} and {same}").withColumn("pos", F.expr("pos + size")).select(columns))
+        first = (one.filter("edits = 0").unionByName(dealt.filter(free).join(edges, ["node", "salt"]))
+                 .filter("whole - pos - size between least - 1 and most + 1"))
+        spread = (first.select("id", "word", "whole", "child", "salts", "most", "ends", F.explode(F.expr(f"array({', '.join(moves)})")).alias("m"))
+                  .filter("m.ok").select("id", "word", "whole", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends"))
         # the few states met twice do no harm: the pairs are made distinct
         now = materialise(edited.unionByName(spread), f"trie-level-{level}", tidy=True)
         # an end one edit away, or one letter short of the word
-        reached.append(now.filter(f"ends is not null and {whole} - pos = 1 - edits").select("id", "ends"))
+        reached.append(now.filter("ends is not null and whole - pos = 1 - edits").select("id", "ends"))
         level += 1
-        states = now.filter("most > 0").select("id", "word", "pos", F.col("child").alias("node"), "edits", "salts")
+        states = now.filter("most > 0").select("id", "word", "whole", "pos", F.col("child").alias("node"), "edits", "salts")
         if states.isEmpty():
             break
     pairs = reached[0]
