@@ -349,7 +349,8 @@ def compact_files(spark, sf):
     has two files left that would fit into one."""
     path = scratch_path(spark, "compact")
     lines = load(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
-    lines.repartition(24).write.partitionBy("l_returnflag").parquet(path)
+    with L.open_files(spark, 8):
+        lines.repartition(24).write.partitionBy("l_returnflag").parquet(path)
     before = L.file_sizes(spark, path).groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).collect()
     target = max(1, max(r["bytes"] for r in before) // 4)
     L.compact_files(spark, path, target)

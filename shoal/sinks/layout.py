@@ -6,7 +6,8 @@ What the driver handles is a list of files, never rows: names, sizes and bounds.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +15,19 @@ from pyspark.sql import functions as F
 #: A file of at least this share of the target size is left alone.
 GOOD_ENOUGH = 0.75
 FOLDER = r"^(.*)/[^/]+$"
+#: Spark's setting for partitioned writes: files that a task may have open before it sorts its rows by folder.
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def open_files(spark: SparkSession, n: int) -> Iterator[None]:
+    """Partitioned writes hand rows to up to ``n`` open files a task as they come; without it a task sorts all its rows by folder first."""
+    before = spark.conf.get(OPEN_FILES)
+    spark.conf.set(OPEN_FILES, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(OPEN_FILES, before)
 
 
 def file_sizes(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +50,7 @@ def compact_files(spark: SparkSession, path: str, target_bytes: int) -> DataFram
     """Rewrite the small files of a Parquet folder (partitioned or not) into files of about ``target_bytes``; others are not touched.
     Returns the (file, folder, length, bin) that were replaced.
 
-    Each bin is written by one task, sorted as its files were. New files are written aside and moved in before the old ones go: a
+    Each bin is written by one task of its own, row by row as they come: memory does not follow the target. New files are written aside and moved in before the old ones go: a
     reader in between sees rows twice, none lost; a job that fails before leaves the folder as it was. For readers at any time use a
     versioned table.
     """
@@ -48,9 +62,11 @@ def compact_files(spark: SparkSession, path: str, target_bytes: int) -> DataFram
     numbered = plan.select("file", F.dense_rank().over(Window.orderBy("folder", "bin")).alias("_bin"))
     n = plan.select("folder", "bin").distinct().count()
     aside = f"{path.rstrip('/')}/_compact-{uuid.uuid4().hex[:12]}"
-    (rows.withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/"))
-     .join(F.broadcast(numbered.withColumn("_file", F.regexp_replace("file", "^file:///", "file:/")).drop("file")), "_file").drop("_file")
-     .repartition(n, "_bin").write.partitionBy("_bin").parquet(aside))
+    dealt = (rows.withColumn("_file", F.regexp_replace(F.col("_metadata.file_path"), "^file:///", "file:/"))
+             .join(F.broadcast(numbered.withColumn("_file", F.regexp_replace("file", "^file:///", "file:/")).drop("file")), "_file").drop("_file")
+             .repartitionById(n, F.col("_bin") - 1))
+    with open_files(spark, 2):
+        dealt.write.partitionBy("_bin").parquet(aside)
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = at(aside).getFileSystem(conf)

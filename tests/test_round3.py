@@ -280,6 +280,23 @@ def test_compaction_packs_small_files_only(spark, tmp_path):
     assert L.compact_files(spark, path, 1).count() == 0  # nothing is small
 
 
+def test_compaction_writes_a_bin_a_task_without_a_sort(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from shoal.sinks import layout as L
+    path = f"{tmp_path}/b"
+    spark.range(24_000).select("id", F.xxhash64("id").alias("h")).repartition(48).write.parquet(path)
+    sizes = {r["file"]: r["length"] for r in L.file_sizes(spark, path).collect()}
+    before, held, write = spark.conf.get(L.OPEN_FILES), [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, p: (held.append(int(spark.conf.get(L.OPEN_FILES))), write(w, p))[1])
+    bins = L.compact_files(spark, path, 4 * max(sizes.values())).select("bin").distinct().count()
+    after = [r["file"] for r in L.file_sizes(spark, path).collect()]
+    tasks = {f.rsplit("part-", 1)[1][:5] for f in after}
+    assert held and min(held) > 0 and spark.conf.get(L.OPEN_FILES) == before  # rows are not sorted by bin
+    assert bins >= 10 and len(after) == bins == len(tasks)
+    assert spark.read.parquet(path).agg(F.count("id"), F.sum("id")).first() == (24_000, 24_000 * 23_999 // 2)
+
+
 def test_bucketed_join_has_no_exchange(spark, tmp_path):
     from shoal.plans.io import bucketed_join
     rows = [(1, i, float(i)) for i in range(500)] + [(i, i, 1.0) for i in range(2, 600)]  # a hot key
