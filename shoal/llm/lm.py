@@ -16,7 +16,7 @@ Words and n-grams with a share of at least ``FREQUENT`` (at most ``1 / FREQUENT`
 no key is hot. For the others a task gathers some million tokens of documents and asks each bucket of the table, dealt by hash, for
 what it needs in one row: the distinct keys, and which document has which key how often, as compressed byte planes. The bucket
 answers with sums by document, and the answers meet again by gathering. Counting works alike: tasks send each bucket of n-grams one
-row of counts. So n-grams never become rows of a shuffle, and no bucket grows with the corpus. A bitmap of bounded
+row of counts, frequent words by number. So n-grams never become rows of a shuffle, and no bucket grows with the corpus. A bitmap of bounded
 size keeps n-grams away from the shuffles that the table cannot hold; what it lets through in error is not found
 in the table. Words and n-grams are identified by 64-bit hashes.
 
@@ -236,7 +236,7 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
         if candidates.isEmpty():
             break
         # a token that follows a candidate MIN_COUNT times follows its suffix as often, so the others need no counting
-        bits = spark.sparkContext.broadcast((bitmap(candidates.select(F.col("node").alias("key"))), bitmap(often)))
+        bits = spark.sparkContext.broadcast((bitmap(candidates.select(F.col("node").alias("key"))), bitmap(often), words))
         pairs = materialise(following(docs, length, bits, max(1, total // COUNT_BUCKET)).join(candidates.select("node", "suffix", "size"), "node"),
                             f"lm-pairs-{length}", tidy=True)
         bits.destroy()
@@ -296,28 +296,53 @@ def _cuts(sorted_ids: np.ndarray):
     return zip(sorted_ids[at[:-1]].tolist(), at[:-1].tolist(), at[1:].tolist())
 
 
+def pack_grams(whole: np.ndarray, node: np.ndarray, nxt: np.ndarray, buckets: int, words: np.ndarray) -> pa.RecordBatch:
+    """The n-grams ``whole`` (of a context and a token) counted, one row for each bucket that has some: its contexts and how many
+    n-grams each has; the tokens by their number, plus one, among the sorted ``words``, or 0 and their hash apart; the counts."""
+    whole, first, n = np.unique(whole, return_index=True, return_counts=True)
+    bucket, node, nxt = (whole % np.uint64(buckets)).astype(np.int64), node[first], nxt[first]
+    order = np.lexsort((nxt, node, bucket))
+    bucket, node, nxt, n = bucket[order], node[order], nxt[order], n[order]
+    there, at = _find(words, nxt)
+    number = np.where(there, at + 1, 0)
+    rows = {c: [] for c in ("bucket", "size", "nodes", "node", "each", "number", "others", "n")}
+    for k, i, j in _cuts(bucket):
+        new = np.flatnonzero(np.r_[True, node[i + 1:j] != node[i:j - 1]])
+        for c, x in (("bucket", k), ("size", j - i), ("nodes", len(new)), ("node", rising(node[i:j][new])),
+                     ("each", packed(np.diff(np.r_[new, j - i]))), ("number", packed(number[i:j])),
+                     ("others", packed(nxt[i:j][~there[i:j]])), ("n", packed(n[i:j]))):
+            rows[c].append(x)
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64() if c in ("bucket", "size", "nodes") else pa.binary()) for c, x in rows.items()], list(rows))
+
+
+def unpack_grams(table: pa.Table, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, nxt, n) of rows by :func:`pack_grams`."""
+    out = []
+    for r in table.select(["size", "nodes", "node", "each", "number", "others", "n"]).to_pylist():
+        node = np.repeat(unrisen(r["node"], r["nodes"]), unpacked(r["each"], r["nodes"]).astype(np.int64))
+        number = unpacked(r["number"], r["size"]).astype(np.int64)
+        held = number > 0
+        nxt = np.empty(len(number), np.uint64)
+        nxt[held] = words[number[held] - 1]
+        nxt[~held] = unpacked(r["others"], int((~held).sum()))
+        out.append((node, nxt, unpacked(r["n"], r["size"]).astype(np.int64)))
+    node, nxt, n = (np.concatenate(x) for x in zip(*out))
+    return node, nxt, n
+
+
 def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
     """(node, nxt, n) for the contexts of ``length`` tokens and the n-grams of that length at the token that ``bits`` lets through, counted
-    over all ``docs``, from MIN_COUNT on."""
+    over all ``docs``, from MIN_COUNT on. ``bits``: both bitmaps and the frequent words."""
     def found(t: Texts):
         token, _, place = sequence(t)
         *_, suffix, whole = grams(token, length + 1)
         context = np.r_[EMPTY, suffix[:-1]]
-        contexts, often = bits.value
+        contexts, often, _ = bits.value
         i = np.flatnonzero((place >= length) & marked(contexts, context) & marked(often, token if length == 1 else suffix))
         return whole[i], context[i], token[i]
 
     def ask(held):
-        whole, node, nxt = (np.concatenate(x) for x in zip(*held))
-        whole, first, n = np.unique(whole, return_index=True, return_counts=True)
-        bucket, node, nxt = (whole % np.uint64(buckets)).astype(np.int64), node[first], nxt[first]
-        order = np.lexsort((nxt, node, bucket))
-        bucket, node, nxt, n = bucket[order], node[order], nxt[order], n[order]
-        cuts = list(_cuts(bucket))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _, _ in cuts], pa.int64()), pa.array([j - i for _, i, j in cuts], pa.int64()),
-             pa.array([rising(node[i:j]) for _, i, j in cuts], pa.binary()), pa.array([packed(nxt[i:j]) for _, i, j in cuts], pa.binary()),
-             pa.array([packed(n[i:j]) for _, i, j in cuts], pa.binary())], ["bucket", "size", "node", "nxt", "n"])
+        return pack_grams(*(np.concatenate(x) for x in zip(*held)), buckets, bits.value[2])
 
     def run(batches):
         held, n = [], 0
@@ -332,9 +357,7 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
             yield ask(held)
 
     def merge(table: pa.Table) -> pa.Table:
-        size = table["size"].to_pylist()
-        read = lambda c, f: np.concatenate([f(raw, n) for raw, n in zip(table[c].to_pylist(), size)])
-        node, nxt, n = read("node", unrisen), read("nxt", unpacked), read("n", unpacked).astype(np.int64)
+        node, nxt, n = unpack_grams(table, bits.value[2])
         order = np.argsort(extend(node, nxt), kind="stable")
         node, nxt, n = node[order], nxt[order], n[order]
         at = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (nxt[1:] != nxt[:-1])])
@@ -342,7 +365,7 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
         keep = n >= MIN_COUNT
         return pa.table([pa.array(x) for x in (node[at][keep].view(np.int64), nxt[at][keep].view(np.int64), n[keep])], ["node", "nxt", "n"])
 
-    asked = docs.mapInArrow(run, "bucket long, size long, node binary, nxt binary, n binary")
+    asked = docs.mapInArrow(run, "bucket long, size long, nodes long, node binary, each binary, number binary, others binary, n binary")
     return asked.groupBy("bucket").applyInArrow(merge, "node long, nxt long, n long")
 
 
