@@ -5,7 +5,7 @@ checksum of document and run. Words seen often enough make up a trie, held as a
 which words differ or end, an edge carries the letters up to the next node, so a long word costs a few edges.
 
 All words walk the trie at once. A state is (word, position, node, edits). A level joins the states with the edges of their
-nodes: an edge takes its letters unchanged, or with one letter inserted, deleted or replaced if nothing was edited before. A state
+nodes, reading only the edges that stand as many edges below the root: an edge takes its letters unchanged, or with one letter inserted, deleted or replaced if nothing was edited before. A state
 that has been edited meets only the one edge that goes on with its next letter. States that cannot end (remaining letters fewer or more
 than any word below the node has, a next letter that no edge has) are dropped. A word's end reached after one edit is a neighbour.
 An edit in the first half of a word is found by the words read backwards, which stand in the same trie after a mark, so only second
@@ -98,9 +98,9 @@ def prefixes(words: DataFrame) -> DataFrame:
 
 
 def trie(words: DataFrame) -> DataFrame:
-    """Edges (node, salt, first, label, child, salts, least, most, ends, nexts): the letters to the next node, the copies its own edges
-    have, the fewest and most letters that words have below it, the id of the word that ends there, the letters that go on from there.
-    One row for each copy of the edge."""
+    """Edges (node, salt, first, label, child, salts, least, most, ends, nexts, level): the letters to the next node, the copies its own edges
+    have, the fewest and most letters that words have below it, the id of the word that ends there, the letters that go on from there, the
+    edges that lead from the root to ``node``. One row for each copy of the edge."""
     every = materialise(prefixes(words), "trie-prefixes", tidy=True)
     nodes = (every.groupBy("node").agg(F.count(F.lit(1)).alias("words"), F.min("next").alias("lo"), F.max("next").alias("hi"),
                                        F.min("rest").alias("least"), F.max("rest").alias("most"), F.min("depth").alias("depth"),
@@ -110,13 +110,13 @@ def trie(words: DataFrame) -> DataFrame:
     ways = (every.select("id", "depth", "node").join(nodes, "node")
             .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("depth", "node", "words", "least", "most", "ends"))).alias("way")))
     steps = (words.select("id", "word").join(ways, "id")
-             .select("word", F.explode(F.expr("transform(sequence(1, size(way) - 1), i -> struct(way[i - 1] as a, way[i] as b))")).alias("s")))
+             .select("word", F.posexplode(F.expr("transform(sequence(1, size(way) - 1), i -> struct(way[i - 1] as a, way[i] as b))")).alias("level", "s")))
     crowd = F.least(F.lit(SALTS), F.ceil(F.greatest("s.b.words", 4 * F.col("s.a.words")) / CROWD)).cast("int")
     edges = materialise(steps.select(F.col("s.a.node").alias("node"), F.col("s.b.node").alias("child"),
                                      F.expr("substring(word, s.a.depth + 1, s.b.depth - s.a.depth)").alias("label"),
                                      F.col("s.b.least").alias("least"), F.col("s.b.most").alias("most"), F.col("s.b.ends").alias("ends"),
-                                     crowd.alias("salts"))
-                        .groupBy("node", "child", "label").agg(F.max("salts").alias("salts"), F.min("least").alias("least"),
+                                     crowd.alias("salts"), "level")
+                        .groupBy("node", "child", "label", "level").agg(F.max("salts").alias("salts"), F.min("least").alias("least"),
                                                                F.max("most").alias("most"), F.min("ends").alias("ends"))
                         .withColumn("first", F.substring("label", 1, 1)), "trie-edges", tidy=True)
     drop_table(every)
@@ -125,14 +125,13 @@ def trie(words: DataFrame) -> DataFrame:
     ahead = edges.groupBy(F.col("node").alias("child")).agg(F.concat_ws("", F.collect_set("first")).alias("nexts"))  # an alphabet at most
     return materialise(edges.join(here, "node", "left").join(ahead, "child", "left")
                        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("here", F.lit(SALTS)) - 1)))
-                       .select("node", "salt", "first", "label", "child", "salts", "least", "most", "ends", F.coalesce("nexts", F.lit("")).alias("nexts")),
-                       "trie-copies", tidy=True)
+                       .select("node", "salt", "first", "label", "child", "salts", "least", "most", "ends", F.coalesce("nexts", F.lit("")).alias("nexts"), "level")
+                       .sortWithinPartitions("level"), "trie-copies", tidy=True)
 
 
 def walk(words: DataFrame, hold: str) -> DataFrame:
     """(id, ends): words and the words that they reach with one edit after their first ``hold`` letters (an expression)."""
-    edges = trie(words)
-    edges = edges.withColumn("size", F.char_length("label"))
+    all_edges = trie(words).withColumn("size", F.char_length("label"))
     states = words.select("id", "word", F.char_length("word").alias("whole"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("node"),
                           F.lit(0).alias("edits"), F.lit(SALTS).alias("salts"))
     same = "substring(word, pos + 1, size) = label"
@@ -157,6 +156,8 @@ def walk(words: DataFrame, hold: str) -> DataFrame:
     columns = ["id", "word", "whole", "pos", "child", "edits", "salts", "most", "ends"]
     reached, level = [], 0
     while True:
+        # every state has taken one edge a level: only the edges that stand there are met
+        edges = all_edges.filter(F.col("level") == level).drop("level")
         dealt = states.withColumn("salt", F.pmod(F.xxhash64("word"), F.col("salts")).cast("int")).drop("salts")
         free = F.expr(f"edits = 0 and pos >= {hold}")
         # one edge each, by its first letter: edited states, and those whose next letter is to be taken as it is
