@@ -22,6 +22,8 @@ from shoal.session import scratch_path
 #: Rows per Arrow batch and characters per array chunk: what one Python worker holds at a time.
 BATCH_ROWS = 512
 CHUNK_CHARS = 1 << 20
+#: Rows of a small table that share one file.
+FILE_ROWS = 1 << 16
 #: Spark's setting for removing the shuffle files of a finished query.
 TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -35,11 +37,20 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+def few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in a partition for each ``FILE_ROWS`` of its ``rows``, one for each core at least, if it has more: partitions are joined
+    where they are, without a shuffle. Else a small table is written as a file for each shuffle partition, and for each
+    file of a local folder Hadoop starts processes that set its rights."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
+def materialise(df: DataFrame, name: str, tidy: bool = False, rows: int | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back: cuts the lineage,
     survives lost executors, is read column by column. ``tidy``: the write's shuffle files go once it has ended, not only when
-    the driver collects its garbage."""
+    the driver collects its garbage. ``rows``: how many rows it has about, for :func:`few_files`."""
     spark = df.sparkSession
+    if rows is not None:
+        df = few_files(df, rows)
     path = scratch_path(spark, name)
     before = spark.conf.get(TIDY)
     if tidy:
@@ -184,8 +195,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     neighbours. Only two numbers per round reach the driver. Empty edges give no rows.
     """
     spark = edges.sparkSession
-    now = materialise(edges.filter(F.col(a) != F.col(b))
-                      .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    edges = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
+    rows = edges.count()
+    now = materialise(edges.distinct(), "edges", rows=rows)
     state = None
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -196,14 +208,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                                                F.struct("u", F.col("m").alias("v")))).alias("e"))
                  .select("e.u", "e.v").filter("u <> v").distinct())
-        new = materialise(small, "edges")
+        new = materialise(small, "edges", rows=rows)
         after = new.agg(F.count(F.lit(1)).alias("n"),
                         F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         drop_table(now)
         now = new
         if state == after or not after["n"]:
             break
-        state = after
+        state, rows = after, after["n"]
     roots = now.select(F.col("v").alias("node")).distinct()
     return (now.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .union(roots.select("node", F.col("node").alias("component"))))

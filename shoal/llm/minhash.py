@@ -30,14 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.common import (MIX1, ODD, Texts, append_columns, bounded_batches, chunks, components, lists, materialise,
-                              splitmix)
+from shoal.llm.common import (MIX1, ODD, Texts, append_columns, bounded_batches, chunks, components, few_files, lists,
+                              materialise, splitmix)
 
 BANDS, ROWS = 40, 5
 #: Pairs of texts that one Python worker holds at a time while it confirms them.
 PAIR_ROWS = 64
 #: Documents and shingles of one side of a block, shingles counted at a time.
 BLOCK_DOCS, BLOCK_SHINGLES, COLUMNS = 512, 200_000, 4096
+#: As many plain rows as one text, or its comparison, counts when a table's files are numbered.
+TEXT_ROWS = 16
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -212,21 +214,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Documents are linked when 100 * intersection >= percent * union of their shingle sets."""
     sketched = materialise(sketch(docs, width), "minhash-sets")
     ready = sketched.filter("n_shingles > 0 and doc_id is not null")
+    # bounds of the tables' rows, so that small ones become few files
+    n = sketched.count()
     classes = materialise(ready.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"),
                                                         F.first("n_shingles").alias("size"),
-                                                        F.first("bands").alias("bands")), "minhash-classes")
+                                                        F.first("bands").alias("bands")), "minhash-classes", rows=8 * n)
     spread = classes.select(F.explode("bands").alias("bucket"), "node", "size")
     centres = spread.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("top")) \
         .filter("centre < top").drop("top")
-    members = materialise(spread.join(centres, "bucket"), "minhash-buckets")
+    members = materialise(spread.join(centres, "bucket"), "minhash-buckets", rows=BANDS * n)
+    held = members.count()
 
     # equal digests again fold repeated ids; a text is looked up once per class
     wanted = members.select("node").distinct()
     texts = materialise(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-                        .select(F.col("doc_id").alias("node"), "text").distinct(), "minhash-texts")
-    stars = members.filter("node <> centre").select("node", "centre").distinct()
+                        .select(F.col("doc_id").alias("node"), "text").distinct(), "minhash-texts", rows=TEXT_ROWS * min(n, held))
+    stars = materialise(members.filter("node <> centre").select("node", "centre").distinct(), "minhash-asked", rows=held)
     first = materialise(confirm(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), texts, width, percent),
-                        "minhash-stars")
+                        "minhash-stars", rows=TEXT_ROWS * stars.count())
     link = f"100 * inter >= {percent} * total"
     groups = components(first.filter(link))
 
@@ -238,11 +243,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rest = (tagged.join(mixed.select("bucket"), "bucket").select("centre", "node", "size", "group").distinct()
             .join(groups.select(F.col("node").alias("centre"), "component"), "centre", "left")
             .withColumn("outside", F.col("group") != F.coalesce("component", "centre")).drop("component"))
-    rest = materialise(rest, "minhash-rest")
+    rest = materialise(rest, "minhash-rest", rows=held)
+    left = rest.count()
     blocks = lambda when: F.ceil(F.greatest(F.count(when) / BLOCK_DOCS,
                                             F.sum(F.when(when.isNotNull(), F.col("size"))) / BLOCK_SHINGLES)).cast("int")
     sizes = materialise(rest.groupBy("centre").agg(blocks(F.when(F.col("outside"), 1)).alias("ls"),
-                                                   blocks(F.lit(1)).alias("rs")), "minhash-sizes")
+                                                   blocks(F.lit(1)).alias("rs")), "minhash-sizes", rows=left)
     part = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     sized = rest.join(sizes, "centre").join(texts, "node")
@@ -250,7 +256,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     asked = sized.filter("outside").select(*body, F.lit(True).alias("asks"), part("ls", 1).alias("lb"), every("rs").alias("rb"))
     there = sized.select(*body, F.lit(False).alias("asks"), every("ls").alias("lb"), part("rs", 2).alias("rb"))
     second = materialise(asked.unionByName(there).groupBy("centre", "lb", "rb")
-                         .applyInArrow(lambda t: cross_links(t, width, percent), "a long, b long"), "minhash-rest-links")
+                         .applyInArrow(lambda t: cross_links(t, width, percent), "a long, b long"), "minhash-rest-links", rows=TEXT_ROWS * left)
     links = first.filter(link).select("a", "b").union(second)
     groups = components(links)
 
@@ -260,7 +266,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     out = (ready.select("doc_id", "n_shingles", "d1", "d2").join(of_class, ["d1", "d2"])
            .select("doc_id", "n_shingles", "component_id").union(alone))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    return few_files(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))), n)
 
 
 ORACLE = r"""
