@@ -102,19 +102,28 @@ def grams(token: np.ndarray, longest: int):
         yield key
 
 
-def _gathered(batches, found, names):
-    """Rows (``names``, n): counts of the rows that ``found`` gives for each chunk as (key, columns), gathered over many chunks."""
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, a place and the number of each. ``np.unique`` keeps the first place, by a stable sort that takes
+    several times as long."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], order[at], np.diff(np.r_[at, len(keys)])
+
+
+def word_counts(batches):
+    """Rows (key, n): the words of many chunks, counted."""
     held, n = [], 0
 
     def flush():
-        keys, *cols = (np.concatenate(x) for x in zip(*held))
-        _, first, counts = np.unique(keys, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([*(pa.array(c[first].view(np.int64)) for c in cols), pa.array(counts)], [*names, "n"])
+        keys = np.sort(np.concatenate(held))
+        at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(np.diff(np.r_[at, len(keys)]))], ["key", "n"])
 
     for b in batches:
         for t in chunks(b.column("text")):
-            held.append(found(t))
-            n += len(held[-1][0])
+            held.append(word_hashes(t)[0])
+            n += len(held[-1])
             if n >= GATHER:
                 yield flush()
                 held, n = [], 0
@@ -140,14 +149,43 @@ def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def finder(keys: np.ndarray):
+    """A function that tells (is it there, where) of wanted keys among sorted ones. Keys are hashes, so their first bits, as many as
+    tell about as many keys apart, lead to one a few places before it at most."""
+    bits = max(1, len(keys).bit_length())
+    shift = np.uint64(64 - bits)
+    start = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << shift).astype(np.int32)
+    ended = np.r_[keys, np.uint64(2**64 - 1)]
+
+    def find(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = start[wanted >> shift]
+        i = np.flatnonzero(ended[at] < wanted)
+        while len(i):
+            at[i] += 1
+            i = i[ended[at[i]] < wanted[i]]
+        there = ended[at] == wanted
+        there &= at < len(keys)
+        return there, np.minimum(at, max(0, len(keys) - 1))
+
+    return find
+
+
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(is it there, where) of each wanted key among sorted ones."""
+    """(is it there, where) of each wanted key among sorted ones. For few wanted keys, or sorted ones; else :func:`finder`."""
     if not len(keys):
         return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return keys[at] == wanted, at
 
 
+def ordered(bucket: np.ndarray, buckets: int, key: np.ndarray, last: np.ndarray, most: int) -> np.ndarray:
+    """An order by bucket, key and ``last`` (``most`` at most), from one sort: as many of a key's first bits as have room
+    count. Keys that agree in those may stand mixed, which only makes more rows of the same counts."""
+    low, high = max(1, int(most).bit_length()), max(1, int(buckets - 1).bit_length())
+    key = key >> np.uint64(low + high) << np.uint64(low)
+    return np.argsort(bucket.astype(np.uint64) << np.uint64(64 - high) | key | last.astype(np.uint64))
+
+
 def _sorted(table: DataFrame, *cols: str) -> tuple[np.ndarray, ...]:
     """Key and columns of a small table, by unsigned key."""
     got = table.select("key", *cols).toArrow()
@@ -205,14 +243,7 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     bounded_batches(spark)
     docs = docs.select("text")
 
-    def words_of(t: Texts):
-        h = word_hashes(t)[0]
-        return h, h
-
-    def unigrams(batches):
-        yield from _gathered(batches, words_of, ["key"])
-
-    counts = materialise(docs.mapInArrow(unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words", tidy=True)
+    counts = materialise(docs.mapInArrow(word_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words", tidy=True)
     row = counts.agg(F.count(F.lit(1)).alias("v"), F.sum("n").alias("n")).first()
     n_docs = docs.count()
     total, distinct = (row["n"] or 0) + n_docs, row["v"] + (n_docs > 0)
@@ -231,19 +262,23 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     # n-grams of as many tokens as the contexts have, seen often enough; single tokens by their own hash
     often = counts.filter(F.col("n") >= MIN_COUNT).select("key").union(one(END).select("key"))
     kept_nodes, kept_grams = [], []
+    n_rows, n_tree = distinct + 1, 0  # bounds of the tables' rows, so that small ones become few files
     for length in range(1, depth + 1):
-        candidates = materialise(_named(grown.filter(F.col("n") >= MIN_CONTEXT), length), f"lm-candidates-{length}", tidy=True)
-        if candidates.isEmpty():
+        candidates = materialise(_named(grown.filter(F.col("n") >= MIN_CONTEXT), length), f"lm-candidates-{length}", tidy=True, rows=n_rows)
+        n_nodes = candidates.count()
+        if not n_nodes:
             break
         # a token that follows a candidate MIN_COUNT times follows its suffix as often, so the others need no counting
         bits = spark.sparkContext.broadcast((bitmap(candidates.select(F.col("node").alias("key"))), bitmap(often), words))
         pairs = materialise(following(docs, length, bits, max(1, total // COUNT_BUCKET)).join(candidates.select("node", "suffix", "size"), "node"),
                             f"lm-pairs-{length}", tidy=True)
         bits.destroy()
+        n_rows = pairs.count()
+        n_tree += n_rows + n_nodes
         # each row has its parent's, for the same reason
         rows = (pairs.join(state.select(F.col("node").alias("suffix"), "nxt", F.col("lp").alias("parent")), ["suffix", "nxt"])
                 .withColumn("p", (F.col("n") - F.lit(DISCOUNT)) / F.col("size")))
-        rows = materialise(rows, f"lm-rows-{length}", tidy=True)
+        rows = materialise(rows, f"lm-rows-{length}", tidy=True, rows=n_rows)
         free, parent_free = 1 - F.col("p"), F.greatest(F.lit(1e-12), 1 - F.col("parent"))
         tested = (rows.groupBy("node", "size").agg(
             F.sum("p").alias("p"), F.sum(F.pow(F.lit(10.0), "parent")).alias("parent"), F.sum("n").alias("n"),
@@ -251,12 +286,12 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
             .withColumn("gain", F.col("gain") + (F.col("size") - F.col("n")) * F.ln(free / parent_free))
             .filter((F.col("gain") >= MIN_GAIN) & (F.col("gain") >= F.col("size") * MIN_DIVERGENCE))
             .select("node", F.log10(free / parent_free).alias("weight")))
-        kept = materialise(candidates.join(tested, "node"), f"lm-kept-{length}", tidy=True)
+        kept = materialise(candidates.join(tested, "node"), f"lm-kept-{length}", tidy=True, rows=n_nodes)
         rows = rows.join(kept.select("node", "weight"), "node", "left")
         stays = F.col("weight").isNotNull()
         kept_nodes.append(kept)
         kept_grams.append(materialise(_keyed(rows.filter(stays).select(
-            "node", "nxt", "n", (F.log10("p") - F.col("parent") - F.col("weight")).alias("weight"))), f"lm-grams-{length}", tidy=True))
+            "node", "nxt", "n", (F.log10("p") - F.col("parent") - F.col("weight")).alias("weight"))), f"lm-grams-{length}", tidy=True, rows=n_rows))
         state = rows.select("node", "nxt", F.when(stays, F.log10("p")).otherwise(F.col("parent")).alias("lp"))
         # a context one longer is a candidate and the token after it
         grown = pairs.filter(F.col("nxt") != F.lit(signed(END))).select("node", "nxt", "n", "suffix")
@@ -267,7 +302,7 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     for kept, listed in zip(kept_nodes, kept_grams):
         contexts = contexts.unionByName(kept)
         tree = tree.unionByName(listed).unionByName(kept.select(F.col("node").alias("key"), F.col("size").alias("n"), "weight"))
-    tree = materialise(tree.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")), "lm-tree", tidy=True)
+    tree = materialise(tree.groupBy("key").agg(F.max("n").alias("n"), F.sum("weight").alias("weight")), "lm-tree", tidy=True, rows=n_tree)
     return Model(total, distinct, n_docs, depth, words, log_count, contexts, tree), counts
 
 
@@ -299,12 +334,12 @@ def _cuts(sorted_ids: np.ndarray):
 def pack_grams(whole: np.ndarray, node: np.ndarray, nxt: np.ndarray, buckets: int, words: np.ndarray) -> pa.RecordBatch:
     """The n-grams ``whole`` (of a context and a token) counted, one row for each bucket that has some: its contexts and how many
     n-grams each has; the tokens by their number, plus one, among the sorted ``words``, or 0 and their hash apart; the counts."""
-    whole, first, n = np.unique(whole, return_index=True, return_counts=True)
+    whole, first, n = distinct(whole)
     bucket, node, nxt = (whole % np.uint64(buckets)).astype(np.int64), node[first], nxt[first]
-    order = np.lexsort((nxt, node, bucket))
-    bucket, node, nxt, n = bucket[order], node[order], nxt[order], n[order]
-    there, at = _find(words, nxt)
+    there, at = finder(words)(nxt)
     number = np.where(there, at + 1, 0)
+    order = ordered(bucket, buckets, node, number, len(words))
+    bucket, node, nxt, n, there, number = (x[order] for x in (bucket, node, nxt, n, there, number))
     rows = {c: [] for c in ("bucket", "size", "nodes", "node", "each", "number", "others", "n")}
     for k, i, j in _cuts(bucket):
         new = np.flatnonzero(np.r_[True, node[i + 1:j] != node[i:j - 1]])
@@ -330,6 +365,25 @@ def unpack_grams(table: pa.Table, words: np.ndarray) -> tuple[np.ndarray, np.nda
     return node, nxt, n
 
 
+def pack_weights(table: pa.Table) -> pa.Table:
+    """A bucket of (key, root, weight, word) in one row, by key."""
+    key = table["key"].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    root, weight, word = (table[c].to_numpy()[order] for c in ("root", "weight", "word"))
+    row = [rising(key[order]), packed(root.view(np.uint64)), packed(weight.view(np.uint64)), packed(word)]
+    return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), pa.array([len(key)], pa.int64()), *(pa.array([x], pa.binary()) for x in row)],
+                    ["bucket", "size", "keys", "root", "weight", "word"])
+
+
+def unpack_weights(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(key, root, weight, word) of no row or one by :func:`pack_weights`, by key."""
+    if not table.num_rows:
+        return np.zeros(0, np.uint64), *[np.zeros(0)] * 3
+    r = table.to_pylist()[0]
+    return (unrisen(r["keys"], r["size"]), *(unpacked(r[c], r["size"]).view(np.float64) for c in ("root", "weight")),
+            unpacked(r["word"], r["size"]).astype(np.float64))
+
+
 def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
     """(node, nxt, n) for the contexts of ``length`` tokens and the n-grams of that length at the token that ``bits`` lets through, counted
     over all ``docs``, from MIN_COUNT on. ``bits``: both bitmaps and the frequent words."""
@@ -358,7 +412,7 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         node, nxt, n = unpack_grams(table, bits.value[2])
-        order = np.argsort(extend(node, nxt), kind="stable")
+        order = np.argsort(extend(node, nxt))
         node, nxt, n = node[order], nxt[order], n[order]
         at = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (nxt[1:] != nxt[:-1])])
         n = np.add.reduceat(n, at)
@@ -424,6 +478,9 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
     buckets = max(1, -(-table.count() // WEIGHT_BUCKET))
     # a word and an n-gram, or two rows of a rare word, never share a key: an n-gram's is mixed once more
     table = table.withColumn("bucket", F.expr(f"pmod(cast(key as decimal(20,0)) + if(key < 0, 18446744073709551616, 0), {buckets})").cast("long"))
+    # a bucket becomes one row, once, and each slice meets it so: no slice moves or sorts the table's rows again
+    table = materialise(table.groupBy("bucket").applyInArrow(pack_weights, "bucket long, size long, keys binary, root binary, weight binary, word binary"),
+                        "lm-weights", tidy=True)
 
     own = [docs.schema[c] for c in carry]
     heads = T.StructType([*(T.StructField(f"_{i}", f.dataType) for i, f in enumerate(own)),
@@ -443,11 +500,8 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         keys, docs = np.concatenate(keys), np.concatenate(docs)
         if not len(keys):
             return table_of(asked, {}, 0)
-        # by key within bucket, documents in order: they come so within a length, and the sort is stable
-        order = np.argsort(docs, kind="stable")
-        order = order[np.argsort(keys[order], kind="stable")]
-        order = order[np.argsort((keys[order] % np.uint64(buckets)).astype(np.int32), kind="stable")]
-        keys, docs = keys[order], docs[order].astype(np.int32)
+        order = ordered(keys % np.uint64(buckets), buckets, keys, docs, docs.max())
+        keys, docs = keys[order], docs[order]
         new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
         times = np.diff(np.r_[new, len(keys)])
         keys, docs = keys[new], docs[new]
@@ -466,11 +520,12 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
 
     def run(batches):
         words, log_count, often, weight, bits = held.value
+        find_word, find_often = finder(words), finder(often)
         part, doc0, n, open_keys, open_docs = TaskContext.get().partitionId() << 32, 0, 0, [], []
         for b in batches:
             for t in chunks(b.column("text")):
                 token, doc, place = sequence(t)
-                there, at = _find(words, token)
+                there, at = find_word(token)
                 is_end, is_begin = token == END, place == 0
                 common = there | is_end
                 base = np.where(is_end, log_count[-1], np.where(there, log_count[at], 0.0))
@@ -481,7 +536,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
                 for length, key in enumerate(grams(token, depth + 1), 1):
                     whole = np.flatnonzero(place >= length - 1)
                     key, whose = key[whole], doc[whole]
-                    there, at = _find(often, key)
+                    there, at = find_often(key)
                     if there.any():
                         tree += np.bincount(whose[there], weight[at[there]], t.n)
                     left = np.flatnonzero(~there & marked(bits, key))
@@ -506,9 +561,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         is_head = requests["doc"].is_valid()
         kept = requests.filter(is_head)
         out = [table_of(told, {c: kept[c].combine_chunks() for c in kept.column_names if c in told.names}, kept.num_rows)]
-        key = weights["key"].to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        key, root, weight, word = key[order], *(weights[c].to_numpy()[order] for c in ("root", "weight", "word"))
+        key, root, weight, word = unpack_weights(weights)
         rows = {c: [] for c in ("part", "size", "docs", "more_base", "more_tree", "more_known")}
         for r in requests.filter(pa.compute.invert(is_head)).select(["part", "size", "keys", "each", "docs", "times"]).to_pylist():
             there, at = _find(key, unrisen(r["keys"], r["size"]))
@@ -519,12 +572,12 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
             hit = np.repeat(there, each)
             at = np.repeat(at, each)[hit]
             docs, times = unpacked(r["docs"], n)[hit].astype(np.int64), unpacked(r["times"], n)[hit].astype(np.int64)
-            some, whose = np.unique(docs, return_inverse=True)
+            some = np.flatnonzero(np.bincount(docs))
             rows["part"].append(r["part"])
             rows["size"].append(len(some))
             rows["docs"].append(rising(some))
-            for c, x in (("more_base", root), ("more_tree", weight), ("more_known", word.astype(np.float64))):
-                rows[c].append(packed(np.bincount(whose, x[at] * times, len(some)).view(np.uint64)))
+            for c, x in (("more_base", root), ("more_tree", weight), ("more_known", word)):
+                rows[c].append(packed(np.bincount(docs, x[at] * times)[some].view(np.uint64)))
         n = len(rows["size"])
         out.append(table_of(told, {c: pa.array(x, pa.int64() if c in ("part", "size") else pa.binary()) for c, x in rows.items()}, n))
         return pa.Table.from_batches(out)
