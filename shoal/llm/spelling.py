@@ -33,35 +33,50 @@ from shoal.llm.common import chunks, drop_table, materialise
 from shoal.llm.merkle import CRC_SQL, crc_sql
 
 #: Runs of letters (here in UTF-8, after A-Z are lowered), which occurrences lose a letter.
-RUN = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+")
+RUN = re.compile(rb"[a-z]+(?:\xc3[\x80-\xbf][a-z]*)*|(?:\xc3[\x80-\xbf][a-z]*)+")
 DROP = 199
 #: Code points and occurrences of a word at least; how much more frequent a form is.
 LENGTH, COUNT, TIMES = 6, 5, 5
+#: Bytes to split a text by if no letters of others follow: A-Z are lowered, what is no letter in ASCII is a space. The first bytes
+#: of characters that are no letters.
+SPLIT = bytes(c if c >= 128 else 32 if not chr(c).isalpha() else ord(chr(c).lower()) for c in range(256))
+FOREIGN = bytes(c for c in range(0xC0, 256) if c != 0xC3)
+NATIVE = bytes(c for c in range(256) if c not in FOREIGN)
 #: Stands before a word that is read backwards; no letter.
 MARK = "<"
 #: Distinct words that a task gathers before it hands them on.
 GATHER = 1 << 18
 #: Copies of a crowded node's edges, and the states that one copy is meant for.
 SALTS, CROWD = 64, 8192
+#: States that one state becomes on a level, about: for the number of files.
+STEPS = 4
+
+
+def letter_runs(raw: bytes) -> list[bytes]:
+    """The maximal runs of letters of a text in UTF-8, A-Z lowered."""
+    if raw.translate(None, NATIVE):
+        return RUN.findall(raw.lower())
+    return raw.translate(SPLIT).split()
 
 
 def occurrences(docs: DataFrame, shortest: int = LENGTH) -> DataFrame:
     """(word, n): the words of all texts after the loss of letters. Words that are too short for every use are left out."""
     def run(batches):
         held: Counter = Counter()
+        crc = zlib.crc32
         for b in batches:
             for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
                 if not raw:
                     continue
-                begin = None if doc_id is None else zlib.crc32(f"{doc_id}:".encode())
-                for w, n in Counter(RUN.findall(raw.lower())).items():
-                    if len(w) < shortest:
-                        continue
-                    if begin is not None and (h := zlib.crc32(w, begin)) % DROP == 0:
+                found = [w for w in letter_runs(raw) if len(w) >= shortest]
+                held.update(found)
+                if doc_id is not None:
+                    begin = crc(f"{doc_id}:".encode())
+                    for w in [w for w in found if not crc(w, begin) % DROP]:
                         s = w.decode()
-                        at = h % len(s)
-                        w = (s[:at] + s[at + 1:]).encode()
-                    held[w] += n
+                        at = crc(w, begin) % len(s)
+                        held[w] -= 1
+                        held[(s[:at] + s[at + 1:]).encode()] += 1
             if len(held) >= GATHER:
                 yield _rows(held)
                 held = Counter()
@@ -73,6 +88,7 @@ def occurrences(docs: DataFrame, shortest: int = LENGTH) -> DataFrame:
 
 
 def _rows(held: Counter) -> pa.RecordBatch:
+    held = +held  # not those of which every occurrence lost a letter
     return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()).cast(pa.string()), pa.array(held.values(), pa.int64())],
                                       ["word", "n"])
 
@@ -153,8 +169,12 @@ def walk(words: DataFrame, hold: str) -> DataFrame:
         moves.append(f"struct({alive(f'pos + size + {more}', 1)} and whole >= pos + size + {more} and {apart} "
                      f"and levenshtein({taken}, label, 1) = 1 as ok, pos + size + {more} as pos, 1 as edits)")
 
+    # what each of these needs, without a look at the label: most edges of a crowded node end here, before they become a row for each move
+    cheap = (f"({alive('pos + size', 0)} and substring(word, pos + 1, 1) = first or "
+             f"{due} < size and ({' or '.join(alive(f'pos + size + {more}', 1) for more in (0, -1, 1))}))")
+
     columns = ["id", "word", "whole", "pos", "child", "edits", "salts", "most", "ends"]
-    reached, level = [], 0
+    reached, level, rows = [], 0, states.count()
     while True:
         # every state has taken one edge a level: only the edges that stand there are met
         edges = all_edges.filter(F.col("level") == level).drop("level")
@@ -164,16 +184,17 @@ def walk(words: DataFrame, hold: str) -> DataFrame:
         one = dealt.filter(~free).withColumn("first", F.expr("substring(word, pos + 1, 1)")).join(edges, ["node", "salt", "first"])
         edited = (one.filter(f"edits = 1 and {alive('pos + size', 1)} and {same}").withColumn("pos", F.expr("pos + size")).select(columns))
         first = (one.filter("edits = 0").unionByName(dealt.filter(free).join(edges, ["node", "salt"]))
-                 .filter("whole - pos - size between least - 1 and most + 1"))
+                 .filter("whole - pos - size between least - 1 and most + 1").filter(cheap))
         spread = (first.select("id", "word", "whole", "child", "salts", "most", "ends", F.explode(F.expr(f"array({', '.join(moves)})")).alias("m"))
                   .filter("m.ok").select("id", "word", "whole", F.col("m.pos").alias("pos"), "child", F.col("m.edits").alias("edits"), "salts", "most", "ends"))
         # the few states met twice do no harm: the pairs are made distinct
-        now = materialise(edited.unionByName(spread), f"trie-level-{level}", tidy=True)
+        now = materialise(edited.unionByName(spread), f"trie-level-{level}", tidy=True, rows=STEPS * rows)
         # an end one edit away, or one letter short of the word
         reached.append(now.filter("ends is not null and whole - pos = 1 - edits").select("id", "ends"))
         level += 1
         states = now.filter("most > 0").select("id", "word", "whole", "pos", F.col("child").alias("node"), "edits", "salts")
-        if states.isEmpty():
+        rows = states.count()
+        if not rows:
             break
     pairs = reached[0]
     for r in reached[1:]:
