@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -53,8 +53,11 @@ MIN_DIVERGENCE, MIN_GAIN = 0.02, 30.0
 GATHER, GATHER_TOKENS = 1 << 20, 1 << 19
 #: Parts of the documents that are scored one after the other.
 SLICES = 4
-#: Tokens whose n-grams share one bucket of counts; rows of the table of weights that share one bucket at scoring.
-COUNT_BUCKET, WEIGHT_BUCKET = 1 << 20, 1 << 19
+#: Tokens whose n-grams share one bucket of counts; rows of the table of weights that share one bucket at scoring, and training tokens
+#: for each of its buckets and each slice, at most: the tokens a slice asks for grow faster than the table.
+COUNT_BUCKET, WEIGHT_BUCKET, ASK_BUCKET = 1 << 20, 1 << 18, 1 << 20
+#: Bytes of packed rows that go to a Python worker at once: a group of them is some tens of MB, rows times BATCH_ROWS no bound.
+BATCH_BYTES = 1 << 21
 #: Bits of a bitmap for each key that it is to hold, at least; powers of two of its bits at least and at most (32 MB).
 KEY_BITS, LEAST_BITS, MOST_BITS = 8, 20, 28
 #: Bits of a held word's number in a packed context, for inspection.
@@ -63,6 +66,12 @@ CONTEXT_BITS = 20
 BEGIN, END, EMPTY = np.uint64(0xB5297A4D3F84D5A1), np.uint64(0x68E31DA4C2B7596F), np.uint64(0)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches bounded by rows and by bytes."""
+    bounded_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def signed(key: np.uint64) -> int:
     return int(np.array([key], np.uint64).view(np.int64)[0])
 
@@ -182,8 +191,11 @@ def ordered(bucket: np.ndarray, buckets: int, key: np.ndarray, last: np.ndarray,
     """An order by bucket, key and ``last`` (``most`` at most), from one sort: as many of a key's first bits as have room
     count. Keys that agree in those may stand mixed, which only makes more rows of the same counts."""
     low, high = max(1, int(most).bit_length()), max(1, int(buckets - 1).bit_length())
-    key = key >> np.uint64(low + high) << np.uint64(low)
-    return np.argsort(bucket.astype(np.uint64) << np.uint64(64 - high) | key | last.astype(np.uint64))
+    key = key >> np.uint64(low + high)
+    key <<= np.uint64(low)
+    key |= last.astype(np.uint64)
+    key |= bucket.astype(np.uint64) << np.uint64(64 - high)
+    return np.argsort(key)
 
 
 def _sorted(table: DataFrame, *cols: str) -> tuple[np.ndarray, ...]:
@@ -240,7 +252,7 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     """Learn from (doc_id, text) rows: one pass over the texts for the words and one for each length of context up to ``depth``.
     The driver gets the frequent words and bitmaps, all of bounded size. Returns the model and the table of all word counts."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    small_batches(spark)
     docs = docs.select("text")
 
     counts = materialise(docs.mapInArrow(word_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "lm-words", tidy=True)
@@ -331,6 +343,12 @@ def _cuts(sorted_ids: np.ndarray):
     return zip(sorted_ids[at[:-1]].tolist(), at[:-1].tolist(), at[1:].tolist())
 
 
+def _rows(table: pa.Table, absent: str | None = None):
+    """The rows as dicts, a batch at a time; only those without a value in column ``absent``, if given."""
+    for b in table.to_batches():
+        yield from (b.filter(b.column(absent).is_null()) if absent else b).to_pylist()
+
+
 def pack_grams(whole: np.ndarray, node: np.ndarray, nxt: np.ndarray, buckets: int, words: np.ndarray) -> pa.RecordBatch:
     """The n-grams ``whole`` (of a context and a token) counted, one row for each bucket that has some: its contexts and how many
     n-grams each has; the tokens by their number, plus one, among the sorted ``words``, or 0 and their hash apart; the counts."""
@@ -353,7 +371,7 @@ def pack_grams(whole: np.ndarray, node: np.ndarray, nxt: np.ndarray, buckets: in
 def unpack_grams(table: pa.Table, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(node, nxt, n) of rows by :func:`pack_grams`."""
     out = []
-    for r in table.select(["size", "nodes", "node", "each", "number", "others", "n"]).to_pylist():
+    for r in _rows(table.select(["size", "nodes", "node", "each", "number", "others", "n"])):
         node = np.repeat(unrisen(r["node"], r["nodes"]), unpacked(r["each"], r["nodes"]).astype(np.int64))
         number = unpacked(r["number"], r["size"]).astype(np.int64)
         held = number > 0
@@ -413,11 +431,12 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
     def merge(table: pa.Table) -> pa.Table:
         node, nxt, n = unpack_grams(table, bits.value[2])
         order = np.argsort(extend(node, nxt))
-        node, nxt, n = node[order], nxt[order], n[order]
+        node, nxt = node[order], nxt[order]
         at = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (nxt[1:] != nxt[:-1])])
-        n = np.add.reduceat(n, at)
+        n = np.add.reduceat(n[order], at)
         keep = n >= MIN_COUNT
-        return pa.table([pa.array(x) for x in (node[at][keep].view(np.int64), nxt[at][keep].view(np.int64), n[keep])], ["node", "nxt", "n"])
+        at, n = at[keep], n[keep]
+        return pa.table([pa.array(x) for x in (node[at].view(np.int64), nxt[at].view(np.int64), n)], ["node", "nxt", "n"])
 
     asked = docs.mapInArrow(run, "bucket long, size long, nodes long, node binary, each binary, number binary, others binary, n binary")
     return asked.groupBy("bucket").applyInArrow(merge, "node long, nxt long, n long")
@@ -464,10 +483,15 @@ def tree_part(model: Model, number: np.ndarray, older: np.ndarray, newer: np.nda
     return out, np.ones(len(number), bool)
 
 
+def weight_buckets(rows: int, tokens: int) -> int:
+    """Buckets of a table of weights of so many rows, learned from so many tokens."""
+    return max(1, -(-rows // WEIGHT_BUCKET), -(-tokens // (SLICES * ASK_BUCKET)))
+
+
 def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``carry`` with n_tokens, n_known, train_tokens, base_score and score, for every row of ``docs`` (text)."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    small_batches(spark)
     m, counts = model
     frequent = F.col("n") >= F.lit(FREQUENT * m.total)
     held = spark.sparkContext.broadcast((m.words, m.log_count, *_sorted(m.tree.filter(frequent), "weight"),
@@ -475,7 +499,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
     learned, depth, log_total, total = m.docs > 0, m.depth, m.log_total, m.total
     table = (counts.filter(~frequent).select("key", F.log10(F.col("n") + 1.0).alias("root"), F.lit(0.0).alias("weight"), F.lit(1).alias("word"))
              .union(m.tree.filter(~frequent).select("key", F.lit(0.0), "weight", F.lit(0))))
-    buckets = max(1, -(-table.count() // WEIGHT_BUCKET))
+    buckets = weight_buckets(table.count(), total)
     # a word and an n-gram, or two rows of a rare word, never share a key: an n-gram's is mixed once more
     table = table.withColumn("bucket", F.expr(f"pmod(cast(key as decimal(20,0)) + if(key < 0, 18446744073709551616, 0), {buckets})").cast("long"))
     # a bucket becomes one row, once, and each slice meets it so: no slice moves or sorts the table's rows again
@@ -497,11 +521,15 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
 
     def ask(part: int, keys: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
         """One row for each bucket that has keys of this part's documents."""
-        keys, docs = np.concatenate(keys), np.concatenate(docs)
+        gathered = keys, docs
+        keys, docs = (np.concatenate(x) for x in gathered)
+        for x in gathered:
+            x.clear()  # no second copy while they are sorted
         if not len(keys):
             return table_of(asked, {}, 0)
         order = ordered(keys % np.uint64(buckets), buckets, keys, docs, docs.max())
         keys, docs = keys[order], docs[order]
+        del order
         new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
         times = np.diff(np.r_[new, len(keys)])
         keys, docs = keys[new], docs[new]
@@ -557,13 +585,12 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
 
     def answer(weights: pa.Table, requests: pa.Table) -> pa.Table:
         """Heads as they came; for each request the sums of its documents."""
-        requests = requests.combine_chunks()
         is_head = requests["doc"].is_valid()
-        kept = requests.filter(is_head)
-        out = [table_of(told, {c: kept[c].combine_chunks() for c in kept.column_names if c in told.names}, kept.num_rows)]
+        kept = requests.select([c for c in requests.column_names if c in told.names]).filter(is_head).combine_chunks()
+        out = [table_of(told, {c: kept[c].combine_chunks() for c in kept.column_names}, kept.num_rows)]
         key, root, weight, word = unpack_weights(weights)
         rows = {c: [] for c in ("part", "size", "docs", "more_base", "more_tree", "more_known")}
-        for r in requests.filter(pa.compute.invert(is_head)).select(["part", "size", "keys", "each", "docs", "times"]).to_pylist():
+        for r in _rows(requests.select(["part", "size", "keys", "each", "docs", "times", "doc"]), "doc"):
             there, at = _find(key, unrisen(r["keys"], r["size"]))
             if not there.any():
                 continue
@@ -612,6 +639,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         answers = table.groupBy("bucket").cogroup(requests.groupBy("bucket")).applyInArrow(answer, told)
         scored = materialise(answers.groupBy("part").applyInArrow(add, result), f"lm-scores-{i}", tidy=True)
         out = scored if out is None else out.union(scored)
+    held.destroy()
     return out
 
 
