@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +105,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Texts:
-    """Some documents as one array of code points; ``offsets[i]:offsets[i + 1]`` is document i."""
+    """Some documents as one array of code points, made when first asked for; ``offsets[i]:offsets[i + 1]`` is document i."""
 
     def __init__(self, col: pa.Array, first: int):
         self.first, self.n = first, len(col)
@@ -113,14 +114,22 @@ class Texts:
         wide = pa.types.is_large_string(col.type)
         _, off, data = col.buffers()
         at = np.frombuffer(off, np.int64 if wide else np.int32)[col.offset:col.offset + self.n + 1].astype(np.int64)
-        raw = memoryview(data)[at[0]:at[-1]] if data is not None else b""
-        lead = (np.frombuffer(raw, np.uint8) & 0xC0) != 0x80
-        self.text = str(raw, "utf-8", "replace") if len(raw) else ""
-        self.codes = np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        if lead.all():
-            self.offsets = at - at[0]
-        else:
-            self.offsets = np.r_[0, np.cumsum(lead)][at - at[0]]
+        self.raw = memoryview(data)[at[0]:at[-1]] if data is not None else b""
+        #: ``offsets`` in bytes
+        self.places = at - at[0]
+
+    @cached_property
+    def text(self) -> str:
+        return str(self.raw, "utf-8", "replace") if len(self.raw) else ""
+
+    @cached_property
+    def codes(self) -> np.ndarray:
+        return np.frombuffer(self.text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+    @cached_property
+    def offsets(self) -> np.ndarray:
+        lead = (np.frombuffer(self.raw, np.uint8) & 0xC0) != 0x80
+        return self.places if lead.all() else np.r_[0, np.cumsum(lead)][self.places]
 
     def lowered(self) -> np.ndarray:
         """Code points with A-Z lowered."""

@@ -29,17 +29,18 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from functools import cached_property
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoal.llm.common import MIX1, ODD, Texts, bounded_batches, chunks, crc_mod, materialise, splitmix
+from shoal.llm.common import MIX1, MIX2, ODD, Texts, bounded_batches, chunks, crc_mod, materialise
 
 #: Share of training tokens from which a word or an n-gram is held by every task.
 FREQUENT = 4e-6
@@ -60,6 +61,9 @@ COUNT_BUCKET, WEIGHT_BUCKET, ASK_BUCKET = 1 << 20, 1 << 18, 1 << 20
 BATCH_BYTES = 1 << 21
 #: Bits of a bitmap for each key that it is to hold, at least; powers of two of its bits at least and at most (32 MB).
 KEY_BITS, LEAST_BITS, MOST_BITS = 8, 20, 28
+#: Bytes of texts that become arrays at once; bytes from which a word is hashed apart; what a word of 0 to 8 bytes keeps of eight.
+CHUNK_BYTES, LONG_WORD = 1 << 18, 512
+MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 #: Bits of a held word's number in a packed context, for inspection.
 CONTEXT_BITS = 20
 #: Tokens that are no words, and the key of the empty context.
@@ -77,27 +81,57 @@ def signed(key: np.uint64) -> int:
 
 
 def word_hashes(t: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document) of all words, in order."""
-    starts, ends, doc = t.words()
-    return (t.hashes(t.lowered(), starts, ends) if len(starts) else np.zeros(0, np.uint64)), doc
+    """(hash, number of words by document) of all words, in order; of their bytes, eight at a time, as each word has but a few eights."""
+    raw = np.frombuffer(t.raw, np.uint8)
+    inside = (raw != 32) & (raw - np.uint8(9) > 4)
+    edge = np.zeros(len(raw) + 1, bool)  # where a document starts or ends
+    edge[t.places] = True
+    edge[1:-1] |= inside[1:] != inside[:-1]
+    edge[[0, -1]] = True
+    starts, ends = np.flatnonzero(inside & edge[:-1]), np.flatnonzero(inside & edge[1:]) + 1
+    each = np.diff(np.searchsorted(starts, t.places))
+    size = ends - starts
+    low = np.zeros(len(raw) + 8, np.uint8)
+    low[:-8] = raw
+    low[:-8] += (raw - np.uint8(65) < 26).view(np.uint8) << np.uint8(5)
+    eights = np.ndarray((len(raw) + 1,), "<u8", low, strides=(1,))
+    with np.errstate(over="ignore"):
+        h = eights[starts] & MASKS[np.minimum(size, 8)]
+        h = _splitmix(h + size.astype(np.uint64) * ODD)
+        i, at = np.flatnonzero(size > 8), 8
+        while len(i) and at < LONG_WORD:
+            h[i] = _splitmix(h[i] * MIX1 + (eights[starts[i] + at] & MASKS[np.minimum(size[i] - at, 8)]))
+            at += 8
+            i = i[size[i] > at]
+    for k in i.tolist():
+        h[k] = int.from_bytes(blake2b(low[starts[k]:ends[k]], digest_size=8).digest(), "little")
+    return h, each
 
 
 def extend(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Key of the n-gram of a context and the token after it."""
     with np.errstate(over="ignore"):
-        return splitmix(context * MIX1 + token * ODD)
+        return _splitmix(context * MIX1 + token * ODD)
+
+
+def _splitmix(x: np.ndarray) -> np.ndarray:
+    """:func:`splitmix` in place."""
+    for step, by in ((30, MIX1), (27, MIX2), (31, None)):
+        x ^= x >> np.uint64(step)
+        if by is not None:
+            x *= by
+    return x
 
 
 def sequence(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, document, place in it) of a chunk's documents, begin and end included."""
-    h, doc = word_hashes(t)
-    size = np.bincount(doc, minlength=t.n) + 2
+    h, each = word_hashes(t)
+    size = each + 2
     first = np.cumsum(size) - size
     own = np.repeat(np.arange(t.n), size)
-    place = np.arange(len(own)) - first[own]
+    place = np.arange(len(own)) - np.repeat(first, size)
     token = np.empty(len(own), np.uint64)
-    inner = (place > 0) & (place < size[own] - 1)
-    token[inner] = h
+    token[np.arange(len(h)) + np.repeat(2 * np.arange(t.n) + 1, each)] = h
     token[first], token[first + size - 1] = BEGIN, END
     return token, own, place
 
@@ -111,11 +145,27 @@ def grams(token: np.ndarray, longest: int):
         yield key
 
 
+def by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, sorted keys) of hashes; equal ones as they came. Sorts numbers of a key's first bits and its place, which takes a third of the time
+    of an ``argsort``; that is left for keys that differ only in bits without room."""
+    n = len(keys)
+    low = np.uint64(max(1, n - 1).bit_length())
+    x = keys >> low
+    x <<= low
+    x |= np.arange(n, dtype=np.uint64)
+    x.sort()
+    x &= (np.uint64(1) << low) - np.uint64(1)
+    order = x.view(np.int64)
+    got = keys[order]
+    if (got[1:] < got[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        got = keys[order]
+    return order, got
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct keys in order, a place and the number of each. ``np.unique`` keeps the first place, by a stable sort that takes
-    several times as long."""
-    order = np.argsort(keys)
-    keys = keys[order]
+    """The distinct keys in order, a place and the number of each."""
+    order, keys = by_key(keys)
     at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     return keys[at], order[at], np.diff(np.r_[at, len(keys)])
 
@@ -130,7 +180,7 @@ def word_counts(batches):
         return pa.RecordBatch.from_arrays([pa.array(keys[at].view(np.int64)), pa.array(np.diff(np.r_[at, len(keys)]))], ["key", "n"])
 
     for b in batches:
-        for t in chunks(b.column("text")):
+        for t in chunks(b.column("text"), CHUNK_BYTES):
             held.append(word_hashes(t)[0])
             n += len(held[-1])
             if n >= GATHER:
@@ -155,24 +205,30 @@ def bitmap(keys: DataFrame) -> np.ndarray:
 def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Has each key a bit? True for every key that was given one."""
     slot = keys & np.uint64(len(bits) * 64 - 1)
-    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    word = bits.take((slot >> np.uint64(6)).view(np.int64))
+    slot &= np.uint64(63)
+    word >>= slot
+    word &= np.uint64(1)
+    return word.astype(bool)
 
 
 def finder(keys: np.ndarray):
     """A function that tells (is it there, where) of wanted keys among sorted ones. Keys are hashes, so their first bits, as many as
-    tell about as many keys apart, lead to one a few places before it at most."""
-    bits = max(1, len(keys).bit_length())
+    tell about twice as many keys apart, lead to one a few places before it at most."""
+    bits = len(keys).bit_length() + 1
     shift = np.uint64(64 - bits)
     start = np.searchsorted(keys, np.arange(1 << bits, dtype=np.uint64) << shift).astype(np.int32)
     ended = np.r_[keys, np.uint64(2**64 - 1)]
 
     def find(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = start[wanted >> shift]
-        i = np.flatnonzero(ended[at] < wanted)
+        at = start.take((wanted >> shift).view(np.int64))
+        got = ended.take(at)
+        i = np.flatnonzero(got < wanted)
         while len(i):
             at[i] += 1
-            i = i[ended[at[i]] < wanted[i]]
-        there = ended[at] == wanted
+            got[i] = ended[at[i]]
+            i = i[got[i] < wanted[i]]
+        there = got == wanted
         there &= at < len(keys)
         return there, np.minimum(at, max(0, len(keys) - 1))
 
@@ -187,15 +243,32 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[at] == wanted, at
 
 
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, by its first 31 bits, so that buckets follow the order of the keys."""
+    return ((keys >> np.uint64(33)) * np.uint64(buckets) >> np.uint64(31)).view(np.int64)
+
+
+def bucket_column(key: str, buckets: int) -> Column:
+    """:func:`bucket_of` in Spark."""
+    return F.shiftright(F.shiftrightunsigned(key, 33) * F.lit(buckets).cast("long"), 31)
+
+
 def ordered(bucket: np.ndarray, buckets: int, key: np.ndarray, last: np.ndarray, most: int) -> np.ndarray:
     """An order by bucket, key and ``last`` (``most`` at most), from one sort: as many of a key's first bits as have room
     count. Keys that agree in those may stand mixed, which only makes more rows of the same counts."""
-    low, high = max(1, int(most).bit_length()), max(1, int(buckets - 1).bit_length())
-    key = key >> np.uint64(low + high)
+    low, high, place = (max(1, int(x).bit_length()) for x in (most, buckets - 1, len(key) - 1))
+    if low + high + place > 48:
+        place = 0
+    key = key >> np.uint64(low + high + place)
     key <<= np.uint64(low)
     key |= last.astype(np.uint64)
+    key <<= np.uint64(place)
     key |= bucket.astype(np.uint64) << np.uint64(64 - high)
-    return np.argsort(key)
+    if not place:
+        return np.argsort(key)
+    key |= np.arange(len(key), dtype=np.uint64)
+    key.sort()
+    return (key & np.uint64((1 << place) - 1)).view(np.int64)
 
 
 def _sorted(table: DataFrame, *cols: str) -> tuple[np.ndarray, ...]:
@@ -265,8 +338,8 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
     def one(token: np.uint64) -> DataFrame:
         return spark.createDataFrame([(signed(token), n_docs)], "key long, n long")
 
-    # state: log10 probability of a next token after a candidate, kept or not; at first that of the root
-    state = (counts.union(one(END))
+    # state: log10 probability of a next token after a candidate, kept or not; at first that of the root, for tokens that may be listed
+    state = (counts.filter(F.col("n") >= MIN_COUNT).union(one(END))
              .select(F.lit(0).cast("long").alias("node"), F.col("key").alias("nxt"),
                      (F.log10(F.col("n") + 1.0) - F.lit(float(np.log10(total + distinct + 1)))).alias("lp")))
     grown = counts.union(one(BEGIN)).select(F.lit(0).cast("long").alias("node"), F.col("key").alias("nxt"), "n",
@@ -319,13 +392,22 @@ def fit(docs: DataFrame, depth: int = DEPTH) -> tuple[Model, DataFrame]:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """Numbers as compressed byte planes: small or similar ones take little."""
-    return pa.compress(x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+    """Numbers as compressed byte planes, as many as the largest has: small or similar ones take little."""
+    x = x.astype("<u8")
+    planes = np.empty((max(1, (int(x.max(initial=0)).bit_length() + 7) // 8), len(x)), np.uint8)
+    each = x.view(np.uint8).reshape(-1, 8)
+    for k, plane in enumerate(planes):
+        plane[:] = each[:, k]
+    return bytes([len(planes)]) + pa.compress(planes.data if planes.size else b"", codec="zstd", asbytes=True)
 
 
 def unpacked(raw: bytes, n: int) -> np.ndarray:
-    planes = pa.decompress(raw, decompressed_size=8 * n, codec="zstd", asbytes=True)
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view("<u8").ravel()
+    k = raw[0]
+    planes = pa.decompress(memoryview(raw)[1:], decompressed_size=k * n, codec="zstd", asbytes=True)
+    out = np.zeros((n, 8), np.uint8)
+    for i in range(k):
+        out[:, i] = np.frombuffer(planes, np.uint8, n, i * n)
+    return out.view("<u8").ravel()
 
 
 def rising(x: np.ndarray) -> bytes:
@@ -343,9 +425,9 @@ def _cuts(sorted_ids: np.ndarray):
     return zip(sorted_ids[at[:-1]].tolist(), at[:-1].tolist(), at[1:].tolist())
 
 
-def _rows(table: pa.Table, absent: str | None = None):
+def _rows(table: pa.Table | pa.RecordBatch, absent: str | None = None):
     """The rows as dicts, a batch at a time; only those without a value in column ``absent``, if given."""
-    for b in table.to_batches():
+    for b in table.to_batches() if isinstance(table, pa.Table) else [table]:
         yield from (b.filter(b.column(absent).is_null()) if absent else b).to_pylist()
 
 
@@ -353,7 +435,7 @@ def pack_grams(whole: np.ndarray, node: np.ndarray, nxt: np.ndarray, buckets: in
     """The n-grams ``whole`` (of a context and a token) counted, one row for each bucket that has some: its contexts and how many
     n-grams each has; the tokens by their number, plus one, among the sorted ``words``, or 0 and their hash apart; the counts."""
     whole, first, n = distinct(whole)
-    bucket, node, nxt = (whole % np.uint64(buckets)).astype(np.int64), node[first], nxt[first]
+    bucket, node, nxt = bucket_of(whole, buckets), node[first], nxt[first]
     there, at = finder(words)(nxt)
     number = np.where(there, at + 1, 0)
     order = ordered(bucket, buckets, node, number, len(words))
@@ -386,9 +468,9 @@ def unpack_grams(table: pa.Table, words: np.ndarray) -> tuple[np.ndarray, np.nda
 def pack_weights(table: pa.Table) -> pa.Table:
     """A bucket of (key, root, weight, word) in one row, by key."""
     key = table["key"].to_numpy().view(np.uint64)
-    order = np.argsort(key)
+    order, key = by_key(key)
     root, weight, word = (table[c].to_numpy()[order] for c in ("root", "weight", "word"))
-    row = [rising(key[order]), packed(root.view(np.uint64)), packed(weight.view(np.uint64)), packed(word)]
+    row = [rising(key), packed(root.view(np.uint64)), packed(weight.view(np.uint64)), packed(word)]
     return pa.table([pa.array([table["bucket"][0].as_py()], pa.int64()), pa.array([len(key)], pa.int64()), *(pa.array([x], pa.binary()) for x in row)],
                     ["bucket", "size", "keys", "root", "weight", "word"])
 
@@ -407,11 +489,13 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
     over all ``docs``, from MIN_COUNT on. ``bits``: both bitmaps and the frequent words."""
     def found(t: Texts):
         token, _, place = sequence(t)
-        *_, suffix, whole = grams(token, length + 1)
-        context = np.r_[EMPTY, suffix[:-1]]
+        *_, suffix = grams(token, length)
         contexts, often, _ = bits.value
-        i = np.flatnonzero((place >= length) & marked(contexts, context) & marked(often, token if length == 1 else suffix))
-        return whole[i], context[i], token[i]
+        # the token before ends the context
+        i = np.flatnonzero((place[1:] >= length) & marked(contexts, suffix[:-1])) + 1
+        i = i[marked(often, (token if length == 1 else suffix)[i])]
+        context, token = suffix[i - 1], token[i]
+        return extend(context, token), context, token
 
     def ask(held):
         return pack_grams(*(np.concatenate(x) for x in zip(*held)), buckets, bits.value[2])
@@ -419,7 +503,7 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
     def run(batches):
         held, n = [], 0
         for b in batches:
-            for t in chunks(b.column("text")):
+            for t in chunks(b.column("text"), CHUNK_BYTES):
                 held.append(found(t))
                 n += len(held[-1][0])
                 if n >= GATHER:
@@ -430,7 +514,7 @@ def following(docs: DataFrame, length: int, bits, buckets: int) -> DataFrame:
 
     def merge(table: pa.Table) -> pa.Table:
         node, nxt, n = unpack_grams(table, bits.value[2])
-        order = np.argsort(extend(node, nxt))
+        order, _ = by_key(extend(node, nxt))
         node, nxt = node[order], nxt[order]
         at = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (nxt[1:] != nxt[:-1])])
         n = np.add.reduceat(n[order], at)
@@ -494,14 +578,13 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
     small_batches(spark)
     m, counts = model
     frequent = F.col("n") >= F.lit(FREQUENT * m.total)
-    held = spark.sparkContext.broadcast((m.words, m.log_count, *_sorted(m.tree.filter(frequent), "weight"),
-                                         bitmap(m.tree.filter(~frequent))))
+    held = spark.sparkContext.broadcast((m.words, m.log_count, *_sorted(m.tree.filter(frequent), "weight"), bitmap(m.tree)))
     learned, depth, log_total, total = m.docs > 0, m.depth, m.log_total, m.total
     table = (counts.filter(~frequent).select("key", F.log10(F.col("n") + 1.0).alias("root"), F.lit(0.0).alias("weight"), F.lit(1).alias("word"))
              .union(m.tree.filter(~frequent).select("key", F.lit(0.0), "weight", F.lit(0))))
     buckets = weight_buckets(table.count(), total)
     # a word and an n-gram, or two rows of a rare word, never share a key: an n-gram's is mixed once more
-    table = table.withColumn("bucket", F.expr(f"pmod(cast(key as decimal(20,0)) + if(key < 0, 18446744073709551616, 0), {buckets})").cast("long"))
+    table = table.withColumn("bucket", bucket_column("key", buckets))
     # a bucket becomes one row, once, and each slice meets it so: no slice moves or sorts the table's rows again
     table = materialise(table.groupBy("bucket").applyInArrow(pack_weights, "bucket long, size long, keys binary, root binary, weight binary, word binary"),
                         "lm-weights", tidy=True)
@@ -527,14 +610,14 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
             x.clear()  # no second copy while they are sorted
         if not len(keys):
             return table_of(asked, {}, 0)
-        order = ordered(keys % np.uint64(buckets), buckets, keys, docs, docs.max())
-        keys, docs = keys[order], docs[order]
+        order, keys = by_key(keys)  # and by document, as the documents of a key came in order
+        docs = docs[order]
         del order
         new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])
         times = np.diff(np.r_[new, len(keys)])
         keys, docs = keys[new], docs[new]
         rows = {c: [] for c in ("bucket", "size", "keys", "each", "docs", "times")}
-        for bucket, i, j in _cuts((keys % np.uint64(buckets)).astype(np.int64)):
+        for bucket, i, j in _cuts(bucket_of(keys, buckets)):
             at = np.flatnonzero(np.r_[True, keys[i + 1:j] != keys[i:j - 1]])
             rows["bucket"].append(bucket)
             rows["size"].append(len(at))
@@ -551,7 +634,7 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         find_word, find_often = finder(words), finder(often)
         part, doc0, n, open_keys, open_docs = TaskContext.get().partitionId() << 32, 0, 0, [], []
         for b in batches:
-            for t in chunks(b.column("text")):
+            for t in chunks(b.column("text"), CHUNK_BYTES):
                 token, doc, place = sequence(t)
                 there, at = find_word(token)
                 is_end, is_begin = token == END, place == 0
@@ -562,14 +645,13 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
                 open_docs.append((doc[i] + doc0).astype(np.int32))
                 tree = np.zeros(t.n)
                 for length, key in enumerate(grams(token, depth + 1), 1):
-                    whole = np.flatnonzero(place >= length - 1)
-                    key, whose = key[whole], doc[whole]
+                    some = np.flatnonzero(marked(bits, key) & (place >= length - 1))
+                    key, whose = key[some], doc[some]
                     there, at = find_often(key)
                     if there.any():
                         tree += np.bincount(whose[there], weight[at[there]], t.n)
-                    left = np.flatnonzero(~there & marked(bits, key))
-                    open_keys.append(key[left])
-                    open_docs.append((whose[left] + doc0).astype(np.int32))
+                    open_keys.append(key[~there])
+                    open_docs.append((whose[~there] + doc0).astype(np.int32))
                 known = np.bincount(doc, common & learned, t.n).astype(np.int64)
                 carried = {f"_{k}": b.column(c).slice(t.first, t.n) for k, c in enumerate(carry)}
                 # a head goes to a bucket of its part's own, below those of the table
@@ -603,8 +685,9 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
             rows["part"].append(r["part"])
             rows["size"].append(len(some))
             rows["docs"].append(rising(some))
-            for c, x in (("more_base", root), ("more_tree", weight), ("more_known", word)):
+            for c, x in (("more_base", root), ("more_tree", weight)):
                 rows[c].append(packed(np.bincount(docs, x[at] * times)[some].view(np.uint64)))
+            rows["more_known"].append(packed(np.bincount(docs, word[at] * times)[some]))
         n = len(rows["size"])
         out.append(table_of(told, {c: pa.array(x, pa.int64() if c in ("part", "size") else pa.binary()) for c, x in rows.items()}, n))
         return pa.Table.from_batches(out)
@@ -620,8 +703,9 @@ def score(docs: DataFrame, model: tuple[Model, DataFrame], carry: tuple[str, ...
         more = np.zeros((3, int(doc.max()) + 1 if len(doc) else 0))
         for r in table.filter(pa.compute.invert(is_head)).select(["size", "docs", "more_base", "more_tree", "more_known"]).to_pylist():
             docs = unrisen(r["docs"], r["size"]).astype(np.int64)
-            for k, c in enumerate(("more_base", "more_tree", "more_known")):
+            for k, c in enumerate(("more_base", "more_tree")):
                 more[k, docs] += unpacked(r[c], r["size"]).view(np.float64)
+            more[2, docs] += unpacked(r["more_known"], r["size"])
         size = head["n_tokens"].to_numpy()
         base = head["base"].to_numpy() + more[0, doc] - size * log_total
         columns = [*(head[f"_{i}"].combine_chunks() for i in range(len(own))), pa.array(size),
