@@ -22,7 +22,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,28 +84,34 @@ class Grid:
         """The bounds of both halves, squared; what single precision loses is far below what ``reach`` adds."""
         return [np.square(v).astype(np.float32) for v in self.sides(x, home)]
 
-    def far(self, x: np.ndarray, cells: np.ndarray, home: np.ndarray | None = None) -> np.ndarray:
-        """Rows x ``cells``: the combined bound, squared."""
-        a, b = self.squares(x, home)
-        return a[:, cells // self.width] + b[:, cells % self.width]
-
     def within(self, x: np.ndarray, cells: np.ndarray, home: np.ndarray | None = None) -> np.ndarray:
-        """Rows x ``cells``: whether the row visits the cell."""
-        return self.far(x, cells, home) <= self.reach ** 2
+        """Rows x ``cells``, which are sorted: whether the row visits the cell."""
+        a, b = self.squares(x, home)
+        out, limit = np.empty((len(x), len(cells)), bool), np.float32(self.reach ** 2)
+        first, cut = np.unique(cells // self.width, return_index=True)
+        for i, s, t in zip(first, cut, np.r_[cut[1:], len(cells)]):
+            j = cells[s:t] % self.width
+            near = b if t - s == self.width else b[:, j[0]:j[-1] + 1] if j[-1] - j[0] + 1 == t - s else b[:, j]
+            np.less_equal(near, (limit - a[:, i])[:, None], out=out[:, s:t])
+        return out
 
     def visits(self, x: np.ndarray) -> list[np.ndarray]:
         """Cells to visit per row, nearest first; the home is the first."""
-        home, far = self.home(x), self.far(x, np.arange(self.cells))
+        home, seen = self.home(x), self.within(x, np.arange(self.cells))
+        a, b = self.squares(x)
+        far = (a[:, :, None] + b[:, None]).reshape(len(x), -1)
         far[np.arange(len(x)), home] = -1
-        order = np.argsort(far, axis=1, kind="stable")
-        return [o[:n] for o, n in zip(order, (far <= self.reach ** 2).sum(1))]
+        order = np.argsort(np.where(seen, far, np.inf), axis=1, kind="stable")
+        return [o[:n] for o, n in zip(order, seen.sum(1))]
 
 
 def packed(col: pa.Array, kind: str) -> pa.Array:
-    """Lists of numbers as their bytes; equal numbers have equal bytes."""
+    """Lists of numbers as their bytes, NULL for NULL; equal numbers have equal bytes."""
     flat = col.flatten().to_numpy(zero_copy_only=False).astype(kind) + np.zeros((), kind)  # -0.0 becomes 0.0
-    off = (col.offsets.to_numpy() - col.offsets[0].as_py()) * flat.itemsize
-    return pa.Array.from_buffers(pa.binary(), len(col), [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(flat)])
+    there = col.is_valid().to_numpy(zero_copy_only=False)
+    off = np.r_[0, np.cumsum(np.where(there, np.diff(col.offsets.to_numpy()), 0))] * flat.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(col), [pa.py_buffer(np.packbits(there, bitorder="little")), pa.py_buffer(off.astype(np.int32)),
+                                                         pa.py_buffer(flat)])
 
 
 def unpacked(col: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
@@ -220,12 +226,19 @@ def compare(table: pa.Table, grids: dict[int, Grid], kind: str, cosine: float) -
     # rows of one node share a label
     names, at = np.unique(node, return_inverse=True)
     again = len(names) < len(node)
+    # single precision counts a tile's links exactly up to here
+    exact = np.float32 if copies.max() * TILE < 1 << 24 else np.float64
     groups = Groups(len(names))
 
     def tile(p: np.ndarray, q: np.ndarray, same: bool) -> None:
-        s = x[p] @ x[q].T
+        s = x.take(p, axis=0) @ x.take(q, axis=0).T
         if s.max() < cosine - slack:
             return
+        if s.min() >= cosine + slack and not again and not same:
+            links[p] += copies[q].sum()
+            links[q] += copies[p].sum()
+            groups.add(at[np.r_[p, q]], at[np.r_[np.full(len(p), q[0]), np.full(len(q), p[0])]])
+            return
         hit = s >= cosine - slack
         if again or same:
             hit &= node[p][:, None] != node[q][None]
@@ -238,11 +251,14 @@ def compare(table: pa.Table, grids: dict[int, Grid], kind: str, cosine: float) -
         if not n:
             return
         if n * 16 > hit.size:
-            full = hit.astype(np.float64)
-            links[p] += (full @ copies[q]).astype(np.int64)
+            full = hit.astype(exact)
+            links[p] += (full @ copies[q].astype(exact)).astype(np.int64)
             if not same:
-                links[q] += (copies[p] @ full).astype(np.int64)
-            i, j = np.nonzero(hit & (groups.label[at[p]][:, None] != groups.label[at[q]][None]))
+                links[q] += (copies[p].astype(exact) @ full).astype(np.int64)
+            one, two = groups.label[at[p]], groups.label[at[q]]
+            if one.max() == two.min() and one.min() == two.max():
+                return
+            i, j = np.nonzero(hit & (one[:, None] != two[None]))
             a, b = p[i], q[j]
         else:
             i, j = np.nonzero(hit)
@@ -260,26 +276,25 @@ def compare(table: pa.Table, grids: dict[int, Grid], kind: str, cosine: float) -
     split = int(np.searchsorted(second, True))
     ends = [(0, split), (0, split) if alone else (split, len(node))]
     if min(b - a for a, b in ends):
-        cut = [runs(home[a:b], CELL) for a, b in ends]
+        cut = [runs(home[a:b], CELL // 4) for a, b in ends]
 
-        def seen(side: int, r: int) -> np.ndarray:
-            """Rows of a run x runs of the other side: whether the row visits one of the run's cells."""
+        def seen(side: int, r: int) -> list[np.ndarray]:
+            """For each run of the other side the rows of a run that visit one of its cells."""
             (_, _, rows), (cells, first, _) = cut[side], cut[1 - side]
-            own = slice(ends[side][0] + rows[r], ends[side][0] + rows[r + 1])
-            return np.logical_or.reduceat(grid.within(unit(raw[order[own]]), cells, home[own]), first[:-1], axis=1)
+            start = ends[side][0] + rows[r]
+            own = slice(start, ends[side][0] + rows[r + 1])
+            near = grid.within(unit(raw[order[own]]), cells, home[own])
+            if len(first) <= len(cells):
+                near = np.logical_or.reduceat(near, first[:-1], axis=1)
+            near = np.ascontiguousarray(near.T)
+            return np.split((np.nonzero(near)[1] + start).astype(np.int32), np.cumsum(np.count_nonzero(near, axis=1))[:-1])
 
         back = [seen(1, t) for t in range(len(cut[1][2]) - 1)]
-        meets = np.array([v.any(0) for v in back])
         for r in range(len(cut[0][2]) - 1):
-            forth = back[r] if alone else seen(0, r)
-            for t in np.flatnonzero(forth.any(0) & meets[:, r]):
-                if alone and t < r:
-                    continue
-                p = np.flatnonzero(forth[:, t]) + ends[0][0] + cut[0][2][r]
-                if alone and t == r:
-                    tiles(p, p, True)
-                else:
-                    tiles(p, np.flatnonzero(back[t][:, r]) + ends[1][0] + cut[1][2][t], False)
+            for t, p in enumerate(back[r] if alone else seen(0, r)):
+                q = back[t][r]
+                if len(p) and len(q) and not (alone and t < r):
+                    tiles(p, q, alone and t == r)
     groups.join()
     root = names[groups.label[at]]
     keep = (links > 0) | (root != node)
@@ -304,22 +319,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label)."""
     spark = vectors.sparkSession
     bounded_batches(spark, 4096)
-    rows = vectors.select("vec_id", "label", "embedding", (valid() & F.col("label").isNotNull()
-                                                         & F.col("vec_id").isNotNull()).alias("ok"))
     single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
     kind, size = ("<f4", 4) if single else ("<f8", 8)
-    ok = append_columns(rows.filter("ok").select("vec_id", "label", F.col("embedding").cast("array<float>" if single else "array<double>").alias("x")),
-                        ["vec_id", "label"], ["x"], lambda b: [packed(b.column("x"), kind)], "v binary")
+    ok = valid() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
+    rows = materialise(append_columns(vectors.select("vec_id", "label", F.when(ok, F.col("embedding").cast("array<float>" if single else "array<double>")).alias("x")),
+                                      ["vec_id", "label"], ["x"], lambda b: [packed(b.column("x"), kind)], "v binary"), "vec-rows")
     digest = F.unhex(F.md5("v"))
-    vecs = materialise(ok.groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
+    ids = materialise(rows.select("vec_id", "label", digest.alias("key")), "vec-ids")
+    vecs = materialise(rows.filter("v is not null").groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
                        .withColumn("dim", F.expr(f"cast(octet_length(v) / {size} as int)")), "vec-vectors", tidy=True)
+    drop_table(rows)
     # joined by a digest from here on, never by the vector
     classes = materialise(vecs.select("label", digest.alias("key"), "node", "copies"), "vec-classes")
     labels = materialise(vecs.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n"))
                          .withColumn("code", F.monotonically_increasing_id()), "vec-labels")
     dims = labels.groupBy("dim").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
     if not dims:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
+        return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.col("vec_id").isNotNull().alias("kept"))
     grids, block = {}, {}
     for dim, n, most in dims:
@@ -334,8 +350,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         dim, v = b.column("dim").to_numpy(zero_copy_only=False), b.column("v")
         for d in np.unique(dim).tolist():
             at = np.flatnonzero(dim == d)
-            for s in range(0, len(at), 512):
-                yield grids[d], at[s:s + 512], unit(unpacked(v.take(pa.array(at[s:s + 512])), kind))
+            for s in range(0, len(at), 2048):
+                yield grids[d], at[s:s + 2048], unit(unpacked(v.take(pa.array(at[s:s + 2048])), kind))
 
     def homes(b: pa.RecordBatch):
         home = np.zeros(len(b), np.int64)
@@ -357,19 +373,19 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     def place(b: pa.RecordBatch):
         code, where = (b.column(c).to_numpy(zero_copy_only=False) for c in ("code", "where"))
         home, own, parts = np.zeros(len(b), np.int64), np.zeros(len(b), np.int32), np.ones(len(b), np.int32)
-        met = [[0]] * len(b)
+        row, met = [np.flatnonzero(code < 0)], [np.zeros((code < 0).sum(), np.int64)]
         for grid, at, x in matrices(b):
             home[at] = grid.home(x)
-            for c in np.unique(code[at]).tolist():
-                if c < 0:
-                    continue
+            for c in np.unique(code[at][code[at] >= 0]).tolist():
                 some = np.flatnonzero(code[at] == c)
                 rows, cut = at[some], cuts[c]
                 own[rows], parts[rows] = cut.block(home[rows], where[rows]), cut.parts
-                for r, v in zip(rows.tolist(), cut.visited(x[some], home[rows])):
-                    met[r] = np.flatnonzero(v)
+                r, v = np.nonzero(cut.visited(x[some], home[rows]))
+                row.append(rows[r])
+                met.append(v)
+        row, met = np.concatenate(row), np.concatenate(met)
         return [pa.array(home), pa.array(own), pa.array(parts),
-                lists(np.concatenate(met).astype(np.int32) if met else np.zeros(0, np.int32), np.array([len(m) for m in met], np.int64))]
+                lists(met[np.argsort(row, kind="stable")].astype(np.int32), np.bincount(row, minlength=len(b)))]
 
     where = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 31)) / F.lit(float(1 << 31))
     placed = vecs.join(large, ["label", "dim"], "left").withColumn("code", F.coalesce("code", F.lit(-1))).withColumn("where", where)
@@ -394,9 +410,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
              .select(F.col("label").alias("_l"), F.col("key").alias("_k"),
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                      F.coalesce("component", "node").alias("component_id")))
-    linked = (ok.select("vec_id", "label", digest.alias("key")).join(known, (F.col("label") == F.col("_l")) & (F.col("key") == F.col("_k")))
-              .select("vec_id", "n_links", "component_id"))
-    rest = rows.filter(~F.col("ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    linked = (ids.join(known, (F.col("label") == F.col("_l")) & (F.col("key") == F.col("_k"))).select("vec_id", "n_links", "component_id"))
+    rest = ids.filter("key is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
