@@ -322,8 +322,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
     kind, size = ("<f4", 4) if single else ("<f8", 8)
     ok = valid() & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
-    rows = materialise(append_columns(vectors.select("vec_id", "label", F.when(ok, F.col("embedding").cast("array<float>" if single else "array<double>")).alias("x")),
-                                      ["vec_id", "label"], ["x"], lambda b: [packed(b.column("x"), kind)], "v binary"), "vec-rows")
+    x = F.when(ok, F.col("embedding").cast("array<float>" if single else "array<double>")).alias("x")
+    rows = materialise(append_columns(vectors.select("vec_id", "label", x), ["vec_id", "label"], ["x"],
+                                      lambda b: [packed(b.column("x"), kind)], "v binary"), "vec-rows")
     digest = F.unhex(F.md5("v"))
     ids = materialise(rows.select("vec_id", "label", digest.alias("key")), "vec-ids")
     vecs = materialise(rows.filter("v is not null").groupBy("label", "v").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"))
